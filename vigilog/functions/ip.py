@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _QUAD = r"^\d{1,3}(\.\d{1,3}){3}$"
@@ -32,10 +35,11 @@ def _number(quad: str) -> int:
     return a * 16777216 + b * 65536 + c * 256 + d
 
 
-def is_internal(ip: Column) -> Column:
-    """Whether an address lies in a private range; null when it is not an address."""
-    n = ip_to_long(ip)
-    hit = F.lit(False)
-    for low, high in PRIVATE_RANGES:
-        hit = hit | n.between(_number(low), _number(high))
-    return F.when(n.isNotNull(), hit)
+def is_internal(n: Column) -> Column:
+    """Whether an address, as a number, lies in a private range."""
+    return reduce(or_, [n.between(_number(low), _number(high)) for low, high in PRIVATE_RANGES])
+
+
+def with_ip_columns(df: DataFrame, column: str = "ip_address") -> DataFrame:
+    """Add ``ip_long`` and ``internal``; both are null for text that is no address."""
+    return df.withColumn("ip_long", ip_to_long(F.col(column))).withColumn("internal", is_internal(F.col("ip_long")))

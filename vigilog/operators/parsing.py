@@ -17,13 +17,15 @@ def parse_value(df: DataFrame, value: str = "value", schema: T.StructType = S.WI
 
     A record that is not a JSON object keeps its text in ``_corrupt``; the
     query goes on. Other columns of ``df`` pass through.
+
+    ``inline`` keeps a filter on the fields above the parsing. As a plain
+    projection it would be pushed below and every record parsed twice.
     """
     full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     rest = [c for c in df.columns if c != value]
-    raw = F.col(value).cast("string")
-    return (df.select(*rest, raw.alias("raw"))
-            .withColumn("data", F.from_json("raw", full, {"columnNameOfCorruptRecord": CORRUPT}))
-            .select(*rest, "raw", "data.*"))
+    data = F.from_json("raw", full, {"columnNameOfCorruptRecord": CORRUPT})
+    return (df.select(*rest, F.col(value).cast("string").alias("raw"))
+            .select(*rest, "raw", F.inline(F.array(data))))
 
 
 def good_records(parsed: DataFrame) -> DataFrame:
@@ -111,9 +113,14 @@ def kafka_record(events: DataFrame) -> DataFrame:
 
 
 def header(headers: Column, key: str) -> Column:
-    """Text of the last header with this key, enum prefix removed; null when it is absent."""
+    """Text of the last header with this key; null when it is absent."""
     hits = F.filter(headers, lambda h: h["key"] == key)
-    return text.strip_enum_prefix(F.get(hits, F.size(hits) - 1)["value"].cast("string"))
+    return F.try_element_at(hits, F.lit(-1))["value"].cast("string")
+
+
+def enum_header(headers: Column, key: str) -> Column:
+    """A header that holds an enumerated value, with or without the name of its enumeration."""
+    return text.strip_enum_prefix(header(headers, key))
 
 
 def log_line() -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,10 +153,10 @@ def severity_pivot(events: DataFrame) -> DataFrame:
 
 
 def severity_share(events: DataFrame) -> DataFrame:
-    """Count and share of the total per severity; the total is that of the counted table."""
-    counted = count_by(events, "severity", "severity")
-    total = counted.agg(F.sum("n")).scalar()
-    return counted.select("severity", "n", F.round(F.col("n").cast("double") / total, 6).alias("share"))
+    """Count and share of the total per severity; the total is taken over the counted rows, one per severity."""
+    total = F.sum("n").over(W.partitionBy(F.lit(1)))
+    return count_by(events, "severity", "severity").select(
+        "severity", "n", F.round(F.col("n").cast("double") / total, 6).alias("share"))
 
 
 def top_countries(events: DataFrame, k: int = 10) -> DataFrame:

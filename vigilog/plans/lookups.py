@@ -18,22 +18,27 @@ SESSIONS = """SELECT session_id, min(CASE WHEN event_type = 'LOGIN_SUCCESS' THEN
 
 
 def user_table(spark, sf_dir):
-    """User dimension from the customer, nation and region tables."""
-    return (table(spark, sf_dir, "customer")
-            .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    """User dimension from the customer table."""
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("user_"), F.col("c_custkey").cast("string")).alias("user_id"),
+        F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), "c_nationkey")
+
+
+def place_table(spark, sf_dir):
+    return (table(spark, sf_dir, "nation")
             .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-            .select(F.concat(F.lit("user_"), F.col("c_custkey").cast("string")).alias("user_id"),
-                    F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
-                    F.col("n_name").alias("nation"), F.col("r_name").alias("region")))
+            .select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"),
+                    F.col("r_name").alias("region")))
 
 
 @query(SE + """SELECT event_id, user_id, c2.c_name AS name, c2.c_mktsegment AS segment, n2.n_name AS nation, r_name AS region
   FROM se LEFT JOIN customer c2 ON user_num = c2.c_custkey LEFT JOIN nation n2 ON c2.c_nationkey = n2.n_nationkey
   LEFT JOIN region ON n2.n_regionkey = r_regionkey""")
 def enrich_user(spark, sf_dir):
+    """Profile and place of the user, joined one after the other: each side is judged by its own size."""
     e = sec_events(spark, sf_dir).select("event_id", "user_id")
-    return enrich.enrich_users(e, user_table(spark, sf_dir)).select(
-        "event_id", "user_id", "name", "segment", "nation", "region")
+    profiled = enrich.enrich_users(e, user_table(spark, sf_dir))
+    return profiled.join(place_table(spark, sf_dir), "c_nationkey", "left").drop("c_nationkey")
 
 
 @query(SE + f"""SELECT event_id, se.session_id, coalesce(ts BETWEEN created_at AND expires_at, false) AS live,

@@ -165,7 +165,7 @@ def kafka_record(spark, sf_dir):
     return record.select(
         F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("bigint").alias("event_id"),
         F.col("key").cast("string").alias("key"), parsing.header(h, "schema-version").alias("schema_version"),
-        parsing.header(h, "event-type").alias("event_type"), parsing.header(h, "severity").alias("severity"),
+        parsing.enum_header(h, "event-type").alias("event_type"), parsing.enum_header(h, "severity").alias("severity"),
         parsing.header(h, "source").alias("source"), parsing.header(h, "timestamp").alias("timestamp"),
         parsing.header(h, "correlation-id").alias("correlation_id"))
 
@@ -261,14 +261,14 @@ IP_LONG = """CAST(split_part(ip_address, '.', 1) AS BIGINT) * 16777216 + CAST(sp
 
 @query(SE + f"SELECT event_id, {IP_LONG} AS ip_long, ip_address AS ip_text FROM se")
 def ip_to_long(spark, sf_dir):
-    n = ip.ip_to_long(F.col("ip_address"))
-    return sec_events(spark, sf_dir).select("event_id", n.alias("ip_long"), ip.long_to_ip(n).alias("ip_text"))
+    e = ip.with_ip_columns(sec_events(spark, sf_dir))
+    return e.select("event_id", "ip_long", ip.long_to_ip(F.col("ip_long")).alias("ip_text"))
 
 
 @query(SE + """SELECT user_type, user_num % 4 <> 3 AS internal, count(*) AS n FROM se GROUP BY 1, 2""")
 def internal_external(spark, sf_dir):
-    return (sec_events(spark, sf_dir).groupBy("user_type", ip.is_internal(F.col("ip_address")).alias("internal"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    e = ip.with_ip_columns(sec_events(spark, sf_dir))
+    return e.groupBy("user_type", "internal").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _counter(rule: str, condition: str) -> str:

@@ -107,9 +107,8 @@ def located_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as it would arrive: ``arrival_seq`` and the JSON ``value``; every 19th record is broken."""
     e = located_events(spark, sf_dir).withColumn("event_id", F.col("event_id").cast("string"))
-    good = parsing.wire_json(e)
-    return e.select("arrival_seq", F.when(F.col("arrival_seq") % 19 == 0, F.concat(F.lit("{bad "), good))
-                    .otherwise(good).cast("binary").alias("value"))
+    damage = F.when(F.col("arrival_seq") % 19 == 0, F.lit("{bad ")).otherwise(F.lit(""))
+    return e.select("arrival_seq", F.concat(damage, parsing.wire_json(e)).cast("binary").alias("value"))
 
 
 def se_cte(also: str = "") -> str:

@@ -58,15 +58,27 @@ def good_and_dead(good: str, dead: str) -> OnBatch:
     return on_batch
 
 
-def retained(path: str, n: int = 1000) -> OnBatch:
-    """Keep the last n events in a versioned table of at most n rows."""
+def retained(path: str, n: int = 1000, fmt: str = "parquet") -> OnBatch:
+    """Keep the last n events in a versioned table (or JSON snapshot) of at most n rows."""
     def on_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         old = snapshots.latest_version(spark, path, before=batch_id)
         new = retain_last(df, n)
         if old is not None:
-            new = retain_last(append_new(spark.read.schema(df.schema).parquet(old), new), n)
-        snapshots.write_version(new, path, batch_id, files=1)
+            new = retain_last(append_new(spark.read.schema(df.schema).format(fmt).load(old), new), n)
+        snapshots.write_version(new, path, batch_id, files=1, fmt=fmt)
+    return on_batch
+
+
+def stats_documents(path: str) -> OnBatch:
+    """Running statistics as one JSON document per version."""
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        old = snapshots.latest_version(spark, path, before=batch_id)
+        counts = stats.distributions(df)
+        if old is not None:
+            counts = stats.merge(stats.read_stats_document(spark.read.text(old)), counts)
+        snapshots.write_version(stats.stats_document(counts), path, batch_id, files=1, fmt="text")
     return on_batch
 
 

@@ -40,13 +40,14 @@ def latest_version(spark: SparkSession, path: str, before: int | None = None) ->
     return version_path(path, versions[-1]) if versions else None
 
 
-def write_version(df: DataFrame, path: str, version: int, keep: int = 2, files: int | None = None) -> None:
+def write_version(df: DataFrame, path: str, version: int, keep: int = 2, files: int | None = None,
+                  fmt: str = "parquet") -> None:
     """Write one version and drop all but the newest ``keep``.
 
     ``files`` limits the number of files of a table known to be small.
     """
     spark = df.sparkSession
-    (df.coalesce(files) if files else df).write.mode("overwrite").parquet(version_path(path, version))
+    (df.coalesce(files) if files else df).write.format(fmt).mode("overwrite").save(version_path(path, version))
     versions = committed_versions(spark, path)
     for old in versions[:-keep]:
         fs, p = _fs(spark, version_path(path, old))

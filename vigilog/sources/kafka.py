@@ -56,7 +56,7 @@ def severe_records(records: DataFrame) -> DataFrame:
     A record without the header is kept, so the result must be filtered by
     field once more after parsing.
     """
-    severity = parsing.header(F.col("headers"), "severity")
+    severity = parsing.enum_header(F.col("headers"), "severity")
     return records.filter(severity.isNull() | severity.isin("HIGH", "CRITICAL"))
 
 
