@@ -28,14 +28,19 @@ def parse_value(df: DataFrame, value: str = "value", schema: T.StructType = S.WI
             .select(*rest, "raw", F.inline(F.array(data))))
 
 
+def readable() -> Column:
+    """Whether a parsed record was a JSON object; never null. Blank text does not count as corrupt to the parser."""
+    return F.col(CORRUPT).isNull() & (F.coalesce(F.trim("raw"), F.lit("")) != "")
+
+
 def good_records(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col(CORRUPT).isNull() & F.col("raw").isNotNull()).drop(CORRUPT)
+    return parsed.filter(readable()).drop(CORRUPT)
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
     """Records that could not be read, with their text."""
     rest = [c for c in parsed.columns if c not in set(S.WIRE_FIELDS) | {CORRUPT, "raw"}]
-    return (parsed.filter(F.col(CORRUPT).isNotNull() | F.col("raw").isNull())
+    return (parsed.filter(~readable())
             .select(*rest, "raw", F.lit("unreadable record").alias("reason")))
 
 

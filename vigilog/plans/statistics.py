@@ -119,7 +119,7 @@ def throughput(spark, sf_dir):
 def success_rate(spark, sf_dir):
     """Delivered means readable on arrival."""
     parsed = parsing.parse_value(wire_records(spark, sf_dir))
-    return stats.success_rate(parsed, F.col(parsing.CORRUPT).isNull())
+    return stats.success_rate(parsed, parsing.readable())
 
 
 @query(SE + """SELECT coalesce(country, 'Unknown') AS country, count(*) AS n FROM se WHERE has_geo = 1
