@@ -7,20 +7,31 @@ unless more than B/2 are accepted already and its place is not a multiple of 3.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vigilog.functions import codes
 
 
-def rate_limit(events: DataFrame, keys: list[str], budget: int = 30, order: str = "arrival_seq") -> DataFrame:
-    """The first ``budget`` events per window; the rest is dropped, not delayed."""
+def _head(events: DataFrame, keys: list[str], rows: int, order: str) -> DataFrame:
+    """The first rows per window, numbered. Spark cuts before the shuffle as well as after it."""
     place = F.row_number().over(W.partitionBy(*keys).orderBy(order))
-    return events.withColumn("place", place).filter(F.col("place") <= budget).withColumn(
+    return events.withColumn("place", place).filter(F.col("place") <= rows).withColumn(
         "place", F.col("place").cast("bigint"))
 
 
+def _free(budget: int) -> Column:
+    """Whether the rule lets an event at this place pass while the budget lasts."""
+    return F.coalesce((F.col("place") <= budget // 2 + 1) | codes.is_high(F.col("severity"))
+                      | (F.col("place") % 3 == 0), F.lit(False))
+
+
+def rate_limit(events: DataFrame, keys: list[str], budget: int = 30, order: str = "arrival_seq") -> DataFrame:
+    """The first ``budget`` events per window; the rest is dropped, not delayed."""
+    return _head(events, keys, budget, order)
+
+
 def priority_sample(events: DataFrame, keys: list[str], budget: int = 30, order: str = "arrival_seq") -> DataFrame:
     """Accepted events with their ``place`` in the window and the running ``accepted`` count.
 
@@ -28,12 +39,21 @@ def priority_sample(events: DataFrame, keys: list[str], budget: int = 30, order:
     3B at the latest. Cutting there first is exact and lets Spark cut before
     the shuffle: a window with a third of all events costs what any other does.
     """
-    w = W.partitionBy(*keys).orderBy(order)
-    head = events.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= 3 * budget)
-    candidate = ((F.col("place") <= budget // 2 + 1) | codes.is_high(F.col("severity"))
-                 | (F.col("place") % 3 == 0))
-    candidate = F.coalesce(candidate, F.lit(False))
-    running = F.sum(F.when(candidate, 1).otherwise(0)).over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
-    return (head.withColumns({"_candidate": candidate, "accepted": running})
-            .filter(F.col("_candidate") & (F.col("accepted") <= budget)).drop("_candidate")
-            .withColumn("place", F.col("place").cast("bigint")))
+    return _accept(_head(events, keys, 3 * budget, order), keys, budget, _free(budget), F.lit(0), order)
+
+
+def continue_sample(events: DataFrame, state: DataFrame, keys: list[str], budget: int = 30, sampling: bool = True,
+                    order: str = "arrival_seq") -> DataFrame:
+    """The same for later events of windows that were begun; ``state`` has ``seen`` and ``accepted`` per window."""
+    begun = state.select(*keys, F.col("seen").alias("_seen"), F.col("accepted").alias("_accepted"))
+    head = (_head(events, keys, 3 * budget, order).join(begun, keys, "left")
+            .withColumn("place", F.col("place") + F.coalesce("_seen", F.lit(0))))
+    free = _free(budget) if sampling else F.lit(True)
+    return _accept(head, keys, budget, free, F.coalesce("_accepted", F.lit(0)), order).drop("_seen", "_accepted")
+
+
+def _accept(head: DataFrame, keys: list[str], budget: int, free: Column, before: Column, order: str) -> DataFrame:
+    run = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return (head.withColumn("_free", free)
+            .withColumn("accepted", before + F.sum(F.when(F.col("_free"), 1).otherwise(0)).over(run))
+            .filter(F.col("_free") & (F.col("accepted") <= budget)).drop("_free"))

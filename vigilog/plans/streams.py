@@ -70,8 +70,9 @@ def stream_dedup(spark, sf_dir):
 
 def _sampled(spark, sf_dir, sampling_on):
     e = stream_events(spark, sf_dir).select("event_id", "arrival_seq", "severity", F.to_date("ts").cast("string").alias("day"))
-    spark, out = _drain(stateful.sample_stream(e, ["day"], sampling=sampling_on), "sample")
-    return spark.read.parquet(out)
+    spark, out = _drain(e, "sample", lambda path: batches.sampled(f"{path}/accepted", f"{path}/state", ["day"],
+                                                                  sampling=sampling_on))
+    return spark.read.parquet(f"{out}/accepted")
 
 
 @query(SE + selection.LIMITED)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from vigilog.functions import codes
 from vigilog.operators import parsing, stats
-from vigilog.operators.dedup import append_new
+from vigilog.operators.dedup import append_new, keep_first
+from vigilog.operators.sampling import continue_sample
 from vigilog.operators.views import retain_last
 from vigilog.sinks import snapshots
 
@@ -63,10 +64,11 @@ def retained(path: str, n: int = 1000, fmt: str = "parquet") -> OnBatch:
     def on_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         old = snapshots.latest_version(spark, path, before=batch_id)
-        new = retain_last(df, n)
-        if old is not None:
-            new = retain_last(append_new(spark.read.schema(df.schema).format(fmt).load(old), new), n)
-        snapshots.write_version(new, path, batch_id, files=1, fmt=fmt)
+        if old is None:
+            log = keep_first(df)
+        else:
+            log = append_new(spark.read.schema(df.schema).format(fmt).load(old), df)
+        snapshots.write_version(retain_last(log, n), path, batch_id, files=1, fmt=fmt)
     return on_batch
 
 
@@ -108,8 +110,34 @@ def latest_rows(log: DataFrame, keys: list[str]) -> DataFrame:
             .select(*keys, *[F.col("v")[c].alias(c) for c in values]))
 
 
-def both(*steps: OnBatch) -> OnBatch:
-    """Several writers over one batch, which is computed once."""
+def sampled(out: str, state: str, keys: list[str], budget: int = 30, sampling: bool = True,
+            then: OnBatch | None = None) -> OnBatch:
+    """Rate limit or priority sampling that goes on across batches.
+
+    The state, places used and events accepted per window, is a small
+    versioned table. Only the first 3 x budget events of a window in a batch
+    can be accepted, and those are cut out before the shuffle; the other
+    events are counted map-side. ``then`` gets the accepted events.
+    """
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("seen")).withColumn("accepted", F.lit(0).cast("bigint"))
+        path = snapshots.latest_version(spark, state, before=batch_id)
+        old = spark.read.schema(counted.schema).parquet(path) if path else counted.limit(0)
+        write_batch(continue_sample(df, old, keys, budget, sampling), out, batch_id)
+        accepted = spark.read.parquet(batch_path(out, batch_id))
+        added = accepted.groupBy(*keys).agg(F.lit(0).cast("bigint").alias("seen"),
+                                            F.count(F.lit(1)).alias("accepted"))
+        states = old.unionByName(counted).unionByName(added).groupBy(*keys).agg(
+            F.sum("seen").alias("seen"), F.sum("accepted").alias("accepted"))
+        snapshots.write_version(states, state, batch_id)
+        if then is not None:
+            then(accepted.drop("place", "accepted"), batch_id)
+    return on_batch
+
+
+def persisted(*steps: OnBatch) -> OnBatch:
+    """One or more writers over a batch that is computed once, stateful operators before it included."""
     def on_batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
         try:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from vigilog.functions import times
 from vigilog.operators import parsing, quality
 from vigilog.operators.stats import TOTAL, country_key
+from vigilog.sinks import batches
 
 
 def run_stream(df: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str,
@@ -35,9 +37,31 @@ def accepted_events(records: DataFrame) -> DataFrame:
     return parsing.with_time(parsing.fill_defaults(quality.split_valid(good)[0]))
 
 
-def dedup(events: DataFrame, horizon: str = "1 day") -> DataFrame:
-    """First arrival per event id; ids are remembered until the watermark passes them."""
-    return events.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["event_id"])
+def dedup(events: DataFrame, horizon: str = "1 day", salts: int = 1) -> DataFrame:
+    """First arrival per event id; ids are remembered until the watermark passes them.
+
+    With ``salts`` above 1 the copies of an id are first reduced in that many
+    separate groups, so that one id repeated endlessly does not load one task.
+    """
+    marked = events.withWatermark("ts", horizon)
+    if salts > 1:
+        salt = F.pmod(F.xxhash64("arrival_seq"), F.lit(salts))
+        marked = marked.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
+    return marked.dropDuplicatesWithinWatermark(["event_id"])
+
+
+def consume(records: DataFrame, out: str, checkpoint: str, window_seconds: int = 60, budget: int = 30,
+            keep: int = 1000, horizon: str = "1 day", interval: str | None = None) -> StreamingQuery:
+    """Records to accepted events, retained events and statistics, in this order:
+
+    parse, validate, drop repeats, sample per time window, then retain and
+    count what was accepted. ``records`` has ``value`` and ``arrival_seq``.
+    """
+    events = dedup(accepted_events(records), horizon)
+    windowed = events.withColumn("window_no", times.time_bucket(F.col("ts"), window_seconds))
+    after = batches.persisted(batches.retained(f"{out}/retained", keep), batches.running_stats(f"{out}/stats"))
+    sample = batches.sampled(f"{out}/accepted", f"{out}/windows", ["window_no"], budget, then=after)
+    return run_stream(windowed, batches.persisted(sample), checkpoint, interval=interval)
 
 
 def minute_counts(events: DataFrame, lateness: str = "30 minutes") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Operators whose result depends on order or timers: Arrow batches and small keyed state."""
+"""Session lifecycles: the one operator that needs timers, hence keyed Python state."""
 
 from __future__ import annotations
 
@@ -10,66 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_SEVERE = ("HIGH", "CRITICAL")
-
-
-class WindowSampler(StatefulProcessor):
-    """Rate limit or priority sampling per window; the state is (events seen, events accepted).
-
-    No event beyond place 3 x budget is ever accepted, so only the earliest
-    3 x budget rows of a batch are kept, whatever the size of the group.
-    """
-
-    def __init__(self, budget: int, sampling: bool, order: str, ttl_ms: int | None):
-        self.budget, self.sampling, self.order, self.ttl_ms = budget, sampling, order, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen long, accepted long", self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen, accepted = self.seen.get() if self.seen.exists() else (0, 0)
-        limit = 3 * self.budget
-        head, total = None, 0
-        for chunk in rows:
-            total += len(chunk)
-            if seen < limit and accepted < self.budget:
-                head = chunk if head is None else pd.concat([head, chunk], ignore_index=True)
-                head = head.nsmallest(limit - seen, self.order)
-        if head is None:
-            return
-        picks, places, counts = [], [], []
-        place = seen
-        for i, severity in enumerate(head["severity"]):
-            place += 1
-            free = place <= self.budget // 2 + 1 or severity in _SEVERE or place % 3 == 0
-            if accepted < self.budget and (free or not self.sampling):
-                accepted += 1
-                picks.append(i)
-                places.append(place)
-                counts.append(accepted)
-        self.seen.update((seen + total, accepted))
-        yield head.iloc[picks].assign(place=places, accepted=counts)
-
-    def close(self) -> None:
-        pass
-
-
-def sample_stream(events: DataFrame, keys: list[str], budget: int = 30, sampling: bool = True,
-                  order: str = "arrival_seq", ttl_ms: int | None = None) -> DataFrame:
-    """Streaming form of ``priority_sample`` (or, without ``sampling``, of ``rate_limit``).
-
-    ``keys`` name the window and, where arrival is only ordered within a
-    shard, the shard; the budget is per key. Rows of a window are taken in the
-    order of their batches.
-    """
-    schema = T.StructType(events.schema.fields + [T.StructField("place", T.LongType()),
-                                                  T.StructField("accepted", T.LongType())])
-    return events.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=WindowSampler(budget, sampling, order, ttl_ms),
-        outputStructType=schema, outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
-
-
-_LIFE = "created long, ended long, first long, last long, events long"
+# A part of a session as microseconds and a count; parts are merged with min, max and sum.
+_PART = "created long, ended long, first long, last long, events long"
 SESSION_ROW = T.StructType([
     T.StructField("session_id", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
@@ -80,6 +22,21 @@ SESSION_ROW = T.StructType([
 ])
 
 
+def _merge(parts: pd.DataFrame, by: str | None = None):
+    how = {"created": "min", "ended": "max", "first": "min", "last": "max", "events": "sum"}
+    return parts.groupby(by, as_index=False).agg(how) if by else parts.agg(how)
+
+
+def session_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Combine the events of a session within each Arrow batch, so that a hot session is not shuffled row by row."""
+    for df in batches:
+        at = df["at"]
+        parts = pd.DataFrame({
+            "session_id": df["session_id"], "created": at.where(df["event_type"] == "LOGIN_SUCCESS").astype("Int64"),
+            "ended": at.where(df["event_type"] == "LOGOUT").astype("Int64"), "first": at, "last": at, "events": 1})
+        yield _merge(parts, "session_id")
+
+
 def _stamp(micros):
     return None if micros is None else pd.Timestamp(micros, unit="us")
 
@@ -87,8 +44,7 @@ def _stamp(micros):
 class SessionTracker(StatefulProcessor):
     """Opens a session on login, attaches events, closes it on logout or by timer.
 
-    Times are folded with min and max, so rows may come in any order and a
-    group of any size is read chunk by chunk.
+    Parts are merged in any order, so the order of arrival does not matter.
     """
 
     def __init__(self, max_age_ms: int):
@@ -96,42 +52,35 @@ class SessionTracker(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.life = handle.getValueState("life", _LIFE)
+        self.life = handle.getValueState("life", _PART)
 
     def handleInputRows(self, key, rows, timerValues):
-        created, ended, first, last, n = self.life.get() if self.life.exists() else (None, None, None, None, 0)
-
-        def fold(how, old, series):
-            if not len(series):
-                return old
-            new = int(getattr(series, how.__name__)())
-            return new if old is None else how(old, new)
-
+        names = ["created", "ended", "first", "last", "events"]
+        merged = self.life.get() if self.life.exists() else None
         for chunk in rows:
-            kind, at = chunk["event_type"], chunk["at"]
-            created = fold(min, created, at[kind == "LOGIN_SUCCESS"])
-            ended = fold(max, ended, at[kind == "LOGOUT"])
-            first, last = fold(min, first, at), fold(max, last, at)
-            n += len(chunk)
+            parts = chunk[names].astype("Int64")
+            if merged is not None:
+                parts = pd.concat([parts, pd.DataFrame([merged], columns=names, dtype="Int64")])
+            merged = tuple(None if pd.isna(v) else int(v) for v in _merge(parts))
+        created, ended, first, last, _ = merged
+        self.life.update(merged)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         # A logout closes at once; otherwise the session ends with its age.
         # One that was not seen to open ages from its first event.
         closed = created is not None and ended is not None and ended >= created
-        start = created if created is not None else first
-        now = timerValues.getCurrentWatermarkInMs()
-        self.life.update((created, ended, first, last, n))
-        self.handle.registerTimer(max(now + 1, (last if closed else start) // 1000
-                                      + (0 if closed else self.max_age_ms) + 1))
+        start = first if created is None else created
+        due = last // 1000 + 1 if closed else start // 1000 + self.max_age_ms + 1
+        self.handle.registerTimer(max(due, timerValues.getCurrentWatermarkInMs() + 1))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        created, ended, first, last, n = self.life.get()
+        created, ended, _, last, events = self.life.get()
         state = ("unopened" if created is None
                  else "closed" if ended is not None and ended >= created else "expired")
         self.life.clear()
         yield pd.DataFrame({"session_id": [key[0]], "created_at": [_stamp(created)], "ended_at": [_stamp(ended)],
-                            "last_seen": [_stamp(last)], "events": [n], "state": [state]})
+                            "last_seen": [_stamp(last)], "events": [events], "state": [state]})
 
     def close(self) -> None:
         pass
@@ -139,8 +88,9 @@ class SessionTracker(StatefulProcessor):
 
 def track_sessions(events: DataFrame, max_age_ms: int = 8 * 3600 * 1000, lateness: str = "10 minutes") -> DataFrame:
     """One row per session when it ends, by logout or by age, in event time."""
-    rows = (events.filter(F.col("session_id").isNotNull()).withWatermark("ts", lateness)
-            .select("session_id", "event_type", "ts", F.unix_micros("ts").alias("at")))
-    return rows.groupBy("session_id").transformWithStateInPandas(
-        statefulProcessor=SessionTracker(max_age_ms), outputStructType=SESSION_ROW,
-        outputMode="Append", timeMode="EventTime")
+    rows = (events.filter(F.col("session_id").isNotNull())
+            .select("session_id", "event_type", F.unix_micros("ts").alias("at")))
+    parts = rows.mapInPandas(session_parts, f"session_id string, {_PART}")
+    return (parts.withColumn("ts", F.timestamp_micros("last")).withWatermark("ts", lateness).groupBy("session_id")
+            .transformWithStateInPandas(statefulProcessor=SessionTracker(max_age_ms), outputStructType=SESSION_ROW,
+                                        outputMode="Append", timeMode="EventTime"))
