@@ -10,9 +10,10 @@ from tests.test_golden import SAMPLED_OUT, SEVERITY
 from tests.test_golden import SEVERITIES as SEVERITIES_56
 from tests.test_golden import TYPES as TYPES_56
 from vigilog.operators import parsing, sampling, sessions, stats, views
-from vigilog.sinks import batches, kafka as kafka_sink, snapshots
+from vigilog.sinks import batches, snapshots
+from vigilog.sinks import kafka as kafka_sink
 from vigilog.sources import files
-from vigilog.streaming import ingest, progress, stateful
+from vigilog.streaming import ingest, progress
 
 TYPES = ["LOGIN_SUCCESS", "LOGIN_FAILURE", "DATA_ACCESS", "LOGOUT", "ACCOUNT_LOCKOUT"]
 SEVERITIES = ["INFO", "MEDIUM", "HIGH", "LOW", "CRITICAL", "INFO", "INFO"]
@@ -146,9 +147,19 @@ def test_session_lifecycle(spark, tmp_path):
                                    at(2, 2, "DATA_ACCESS", "stray"), at(3, 1, "DATA_ACCESS", "closed")])
     write_lines(folder, "b.json", [at(4, 2, "LOGOUT", "closed"), at(5, 3, "DATA_ACCESS", "old")])
     write_lines(folder, "c.json", [at(6, 22, "LOGIN_SUCCESS", "young")])
-    got = drain(stateful.track_sessions(stream(spark, folder)), tmp_path)
-    assert {r.session_id: (r.state, r.events) for r in got.collect()} == {
+    out = str(tmp_path / "out")
+    step = batches.session_log(f"{out}/ended", f"{out}/open")
+
+    def twice(df, batch_id):
+        step(df, batch_id)
+        step(df, batch_id)
+    ingest.run_stream(stream(spark, folder), twice, str(tmp_path / "cp")).awaitTermination()
+    ended = spark.read.parquet(f"{out}/ended")
+    assert {r.session_id: (r.state, r.events) for r in ended.collect()} == {
         "closed": ("closed", 3), "old": ("expired", 2), "stray": ("unopened", 1)}
+    assert ended.count() == 3
+    still_open = spark.read.parquet(snapshots.latest_version(spark, f"{out}/open")).filter("NOT over")
+    assert [r.session_id for r in still_open.filter("session_id IS NOT NULL").collect()] == ["young"]
     final = sessions.session_state(sessions.session_summary(batch(spark, folder)),
                                    F.lit("2025-04-13T22:00:00Z").cast("timestamp"))
     assert {r.session_id: (r.state, r.events) for r in final.collect()} == {

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 
 def keep_first(events: DataFrame, key: str = "event_id", order: str = "arrival_seq") -> DataFrame:
-    """First arrival per key.
+    """First arrival per key; rows without a key are all kept.
 
     The rank filter is applied before the shuffle too, so however often a key
     repeats, each map task sends one row of it.
     """
-    rank = F.row_number().over(W.partitionBy(key).orderBy(order))
+    own = F.when(F.col(key).isNull(), F.col(order))
+    rank = F.row_number().over(W.partitionBy(key, own).orderBy(order))
     return events.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 

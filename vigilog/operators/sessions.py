@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,21 +13,40 @@ from vigilog.operators.ordered import running_sum
 MAX_SESSION = "8 hours"
 
 
-def session_summary(events: DataFrame, max_age: str = MAX_SESSION) -> DataFrame:
-    """Lifecycle per session id: opened by a login, closed by a logout, expired after ``max_age``.
+def session_parts(events: DataFrame) -> DataFrame:
+    """Opening, closing, first and last time and size per session id.
 
-    Only mergeable aggregates, so a session of any size is combined map-side
-    and the order of arrival does not matter.
+    Parts of one session can be merged, so a session of any size is combined
+    map-side and the order of arrival does not matter.
     """
     login, logout = F.col("event_type") == "LOGIN_SUCCESS", F.col("event_type") == "LOGOUT"
-    created = F.min(F.when(login, F.col("ts")))
-    return (events.filter(F.col("session_id").isNotNull()).groupBy("session_id").agg(
-        created.alias("created_at"),
+    return events.filter(F.col("session_id").isNotNull()).groupBy("session_id").agg(
+        F.min(F.when(login, F.col("ts"))).alias("created_at"),
         F.max(F.when(logout, F.col("ts"))).alias("ended_at"),
-        (created + F.expr(f"INTERVAL {max_age}")).alias("expires_at"),
-        F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"),
-        F.count(F.lit(1)).alias("events"))
-        .withColumn("seconds", F.round(times.seconds_between(F.col("first_seen"), F.col("last_seen")), 3)))
+        F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("events"))
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("session_id").agg(
+        F.min("created_at").alias("created_at"), F.max("ended_at").alias("ended_at"),
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+        F.sum("events").alias("events"))
+
+
+def session_summary(events: DataFrame, max_age: str = MAX_SESSION) -> DataFrame:
+    """Lifecycle per session id: opened by a login, closed by a logout, expired after ``max_age``."""
+    return session_parts(events).withColumns({
+        "expires_at": F.col("created_at") + F.expr(f"INTERVAL {max_age}"),
+        "seconds": F.round(times.seconds_between(F.col("first_seen"), F.col("last_seen")), 3)})
+
+
+def ends_at(max_age: str = MAX_SESSION) -> Column:
+    """When a session is over: with its last event after a logout, else by age.
+
+    One that was not seen to open ages from its first event.
+    """
+    by_age = F.coalesce("created_at", "first_seen") + F.expr(f"INTERVAL {max_age}")
+    return F.when(F.col("ended_at") >= F.col("created_at"), F.col("last_seen")).otherwise(by_age)
 
 
 def session_state(sessions: DataFrame, as_of) -> DataFrame:

@@ -10,7 +10,7 @@ from vigilog.plans.tables import event_table, located, se_cte, table
 from vigilog.session import scratch_dir
 from vigilog.sinks import batches, snapshots
 from vigilog.sources import files
-from vigilog.streaming import ingest, stateful
+from vigilog.streaming import ingest
 
 SE = se_cte()
 
@@ -102,14 +102,13 @@ def stream_routed(spark, sf_dir):
     return main.join(severe, "event_id", "left").withColumn("severe", F.coalesce("severe", F.lit(False)))
 
 
-@query(SE + f"""SELECT session_id, created_at, ended_at, last_seen, events, state FROM (SELECT *,
-    CASE WHEN created_at IS NULL THEN 'unopened' WHEN ended_at >= created_at THEN 'closed' ELSE 'expired' END AS state,
-    CASE WHEN ended_at >= created_at THEN epoch_us(last_seen) // 1000 + 1
-         ELSE epoch_us(coalesce(created_at, first_seen)) // 1000 + 28800001 END AS due
-    FROM ({lookups.SESSIONS}) s) t
-  WHERE due <= (SELECT epoch_us(max(ts)) // 1000 - 600000 FROM se WHERE session_id IS NOT NULL)""")
+@query(SE + f"""SELECT session_id, created_at, ended_at, first_seen, last_seen, events, CASE WHEN created_at IS NULL
+      THEN 'unopened' WHEN ended_at >= created_at THEN 'closed' ELSE 'expired' END AS state
+  FROM ({lookups.SESSIONS}) s
+  WHERE CASE WHEN ended_at >= created_at THEN last_seen ELSE coalesce(created_at, first_seen) + INTERVAL 8 HOURS END
+    < (SELECT max(ts) FROM se) - INTERVAL 10 MINUTES""")
 def stream_session_lifecycle(spark, sf_dir):
-    """Sessions that have ended by the time the stream stops."""
-    ended = stateful.track_sessions(stream_events(spark, sf_dir))
-    spark, out = _drain(ended, "sessions")
-    return _ntz(spark.read.parquet(out).drop("batch_id"), "created_at", "ended_at", "last_seen")
+    """Sessions that are over by the time the stream stops."""
+    e = stream_events(spark, sf_dir).select("session_id", "event_type", "ts")
+    spark, out = _drain(e, "sessions", lambda path: batches.session_log(f"{path}/ended", f"{path}/open"))
+    return _ntz(spark.read.parquet(f"{out}/ended").drop("batch_id"), "created_at", "ended_at", "first_seen", "last_seen")

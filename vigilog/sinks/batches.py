@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.functions import codes
-from vigilog.operators import parsing, stats
+from vigilog.operators import parsing, sessions, stats
 from vigilog.operators.dedup import append_new, keep_first
 from vigilog.operators.sampling import continue_sample
 from vigilog.operators.views import retain_last
@@ -136,6 +136,36 @@ def sampled(out: str, state: str, keys: list[str], budget: int = 30, sampling: b
     return on_batch
 
 
+def session_log(out: str, state: str, max_age: str = sessions.MAX_SESSION, lateness: str = "10 minutes") -> OnBatch:
+    """One row per session when it is over, in event time.
+
+    The state is a versioned table of the sessions still open, so it is sized
+    by what is live within ``max_age``, not by history. The events of a batch
+    are combined per session map-side before they meet it. A row without
+    session id keeps the clock: the newest event time so far.
+    """
+    def newest(rows: DataFrame, column: str) -> int:
+        return rows.agg(F.max(F.unix_micros(column))).first()[0] or 0
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        parts, now = sessions.session_parts(df), newest(df, "ts")
+        path = snapshots.latest_version(spark, state, before=batch_id)
+        if path:
+            old = spark.read.parquet(path)
+            now = max(now, newest(old.filter(F.col("session_id").isNull()), "last_seen"))
+            parts = old.filter(~F.col("over")).drop("over").unionByName(parts)
+        clock = spark.range(1).select(F.timestamp_micros(F.lit(now)).alias("last_seen"))
+        merged = sessions.merge_parts(parts.unionByName(clock, allowMissingColumns=True))
+        passed = F.timestamp_micros(F.lit(now)) - F.expr(f"INTERVAL {lateness}")
+        over = F.col("session_id").isNotNull() & (sessions.ends_at(max_age) < passed)
+        snapshots.write_version(merged.withColumn("over", over), state, batch_id)
+        ended = spark.read.parquet(snapshots.version_path(state, batch_id)).filter("over").drop("over")
+        write_batch(sessions.session_state(ended.withColumn("expires_at", sessions.ends_at(max_age)), passed)
+                    .drop("expires_at"), out, batch_id)
+    return on_batch
+
+
 def persisted(*steps: OnBatch) -> OnBatch:
     """One or more writers over a batch that is computed once, stateful operators before it included."""
     def on_batch(df: DataFrame, batch_id: int) -> None:
