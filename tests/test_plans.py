@@ -39,18 +39,15 @@ def test_top_rows_need_no_full_sort(plans, name):
     assert "TakeOrderedAndProject" in plans[name] and "rangepartitioning" not in plans[name]
 
 
-@pytest.mark.parametrize("name,key", [("login_attempt_number", "user_id"), ("correlated_pairs", "correlation_id")])
-def test_ordered_groups_are_shuffled_by_bucket(plans, name, key):
-    # Whole groups meet in one task only as per-bucket summaries.
-    whole = [p for p in re.split(r"\n(?=.*Exchange)", plans[name]) if re.match(rf".*hashpartitioning\({key}#\d+, \d+\)", p)]
-    assert len(whole) == 1 and "Aggregate" in plans[name].split(whole[0].splitlines()[0])[1].splitlines()[1] + \
-        plans[name].split(whole[0].splitlines()[0])[1].splitlines()[2]
-    assert re.search(rf"hashpartitioning\({key}#\d+, _bucket#\d+L", plans[name])
-
-
-def test_gap_sessions_meet_per_user_only_after_aggregation(plans):
-    first, second = re.findall(r"hashpartitioning\(([^)]*)\)", plans["session_gaps"])
-    assert "_bucket" in second and "_bucket" not in first
+@pytest.mark.parametrize("name,key,bucketed", [
+    ("login_attempt_number", "user_id", 2), ("correlated_pairs", "correlation_id", 2), ("session_gaps", "user_id", 1)])
+def test_rows_are_shuffled_by_bucket_and_whole_groups_only_aggregated(plans, name, key, bucketed):
+    lines = plans[name].splitlines()
+    by_key = [i for i, line in enumerate(lines) if re.search(rf"Exchange hashpartitioning\({key}#\d+, \d+\)", line)]
+    for i in by_key:
+        below = "".join(lines[i + 1:i + 3])
+        assert "Aggregate" in below, below
+    assert len(re.findall(rf"hashpartitioning\({key}#\d+, _bucket#\d+L", plans[name])) == bucketed
 
 
 def test_only_bounded_sides_are_broadcast_by_hint(spark, sf_dir):

@@ -11,6 +11,8 @@ from tests.conftest import rows
 from vigilog.operators import correlation, dedup, enrich, ordered, sampling, sessions, views
 
 N = 3000
+# Above how many rows a group counts as hot: none, the largest only, every group.
+HOT = pytest.mark.parametrize("hot", [100_000, 800, 0])
 
 
 @pytest.fixture(scope="module")
@@ -40,36 +42,42 @@ def per_user(log):
     return groups
 
 
-def test_running_number_per_user(events, log):
+@HOT
+def test_running_number_per_user(events, log, hot):
     want = []
     for user, members in per_user(log).items():
         failures = sorted((r for r in members if r[3] == "LOGIN_FAILURE"), key=lambda r: (r[2], r[0]))
         want += [(r[0], n, user) for n, r in enumerate(failures, 1)]
-    got = sessions.login_attempts(events, bucket_seconds=1800).select("arrival_seq", "attempt_number", "user_id")
+    got = sessions.login_attempts(events, 1800, hot).select("arrival_seq", "attempt_number", "user_id")
     assert rows(got) == sorted(want, key=repr)
 
 
-def test_running_sum_of_values(events, log):
+@HOT
+def test_running_sum_of_values(events, log, hot):
     want = []
     for user, members in per_user(log).items():
         total = 0
         for r in sorted(members, key=lambda r: r[0]):
             total += r[2]
             want.append((r[0], total))
-    got = ordered.running_sum(events, ["user_id"], ["arrival_seq"], F.col("at"), F.floor(F.col("arrival_seq") / 100), "t")
+    got = ordered.running_sum(events, ["user_id"], ["arrival_seq"], F.col("at"), F.floor(F.col("arrival_seq") / 100), "t",
+                              hot)
     assert rows(got.select("arrival_seq", "t")) == sorted(want, key=repr)
 
 
-def test_previous_row_across_buckets(events, log):
+@HOT
+def test_previous_row_across_buckets(events, log, hot):
     want = []
     for user, members in per_user(log).items():
         seqs = sorted(r[0] for r in members)
         want += [(s, p) for s, p in zip(seqs, [None] + seqs, strict=False)]
-    got = ordered.previous(events, ["user_id"], ["arrival_seq"], {"arrival_seq": "prev"}, F.floor(F.col("arrival_seq") / 50))
+    got = ordered.previous(events, ["user_id"], ["arrival_seq"], {"arrival_seq": "prev"}, F.floor(F.col("arrival_seq") / 50),
+                           hot)
     assert rows(got.select("arrival_seq", "prev")) == sorted(want, key=repr)
 
 
-def test_gap_sessions(events, log):
+@HOT
+def test_gap_sessions(events, log, hot):
     gap, want = 900, []
     for user, members in per_user(log).items():
         times, no, start, n = sorted(r[2] for r in members), 0, None, 0
@@ -79,21 +87,22 @@ def test_gap_sessions(events, log):
                 no += 1
                 want.append((t, n, no, start, user))
                 start, n = None, 0
-    got = sessions.gap_sessions(events, gap).select(
+    got = sessions.gap_sessions(events, gap, hot_rows=hot).select(
         "user_id", "session_no", "events", F.unix_seconds("started_at").alias("started_at"),
         F.unix_seconds("ended_at").alias("ended_at"))
     assert rows(got) == sorted(want, key=repr)
 
 
-def test_lookup_with_hot_key(spark, events, log):
+@HOT
+def test_lookup_with_hot_key(spark, events, log, hot):
     table = spark.createDataFrame([(f"u{i}", i * 10) for i in range(5)], "user_id string, x int")
     known = {f"u{i}": i * 10 for i in range(5)}
-    for share in (0.001, 0.2, 0.9):
-        got = enrich.lookup_hot(events.select("arrival_seq", "user_id"), table, "user_id", share)
-        assert rows(got) == sorted(((r[0], r[1], known.get(r[1])) for r in log), key=repr)
+    got = enrich.lookup_hot(events.select("arrival_seq", "user_id"), table, "user_id", hot)
+    assert rows(got) == sorted(((r[0], r[1], known.get(r[1])) for r in log), key=repr)
 
 
-def test_links_of_a_huge_chain(events, log):
+@HOT
+def test_links_of_a_huge_chain(events, log, hot):
     chained = events.withColumns({"correlation_id": F.when(F.col("user_id") != "u5", F.col("user_id")).otherwise(""),
                                   "event_id": F.col("arrival_seq")})
     want = []
@@ -102,7 +111,7 @@ def test_links_of_a_huge_chain(events, log):
             continue
         seqs = sorted(r[0] for r in members)
         want += list(zip(seqs[1:], seqs, strict=False))
-    got = correlation.linked_pairs(chained, bucket_rows=64).select("arrival_seq", "prev_event_id")
+    got = correlation.linked_pairs(chained, 64, hot).select("arrival_seq", "prev_event_id")
     assert rows(got) == sorted(want, key=repr)
     sizes = {r.correlation_id: r.events for r in correlation.chains(chained).collect()}
     assert sizes == {u: len(m) for u, m in per_user(log).items() if u not in (None, "u5")}

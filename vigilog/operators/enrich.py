@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigilog.operators.skew import HOT_ROWS, hot_keys
+
 
 def enrich_users(events: DataFrame, users: DataFrame, key: str = "user_id") -> DataFrame:
     """User profile columns for every event; unknown users get nulls.
@@ -17,21 +19,18 @@ def enrich_users(events: DataFrame, users: DataFrame, key: str = "user_id") -> D
     return events.join(users, key, "left")
 
 
-def lookup_hot(facts: DataFrame, lookup: DataFrame, key: str, hot_share: float = 0.001) -> DataFrame:
+def lookup_hot(facts: DataFrame, lookup: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left join to a lookup that is unique per key and derived by a query.
 
     AQE does not split skew below an aggregation, so hot keys are taken out
-    beforehand. At most ``1 / hot_share`` keys can hold more than that share
-    of the rows: this bounds the lookup rows that are broadcast for them. Rows
-    of all other keys are joined by shuffle; rows without a key match nothing
-    and are not shuffled.
+    beforehand: their few lookup rows are broadcast. Rows of all other keys
+    are joined by shuffle; rows without a key match nothing and are not
+    shuffled.
     """
     keyed = facts.filter(F.col(key).isNotNull())
-    sizes = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > sizes.agg(F.sum("_n")).scalar() * F.lit(hot_share)).select(key)
+    hot = hot_keys(keyed, [key], hot_rows)
     hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
-    hot_rows = (keyed.join(F.broadcast(hot), key, "left_semi")
-                .join(F.broadcast(hot_lookup), key, "left"))
+    hot_rows_ = keyed.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_lookup), key, "left")
     cold_rows = keyed.join(F.broadcast(hot), key, "left_anti").join(lookup, key, "left")
-    return (cold_rows.unionByName(hot_rows)
+    return (cold_rows.unionByName(hot_rows_)
             .unionByName(facts.filter(F.col(key).isNull()), allowMissingColumns=True))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from vigilog.functions import times
 from vigilog.operators.enrich import lookup_hot
-from vigilog.operators.ordered import running_sum
+from vigilog.operators.ordered import bucketed, running_sum
+from vigilog.operators.skew import HOT_ROWS
 
 MAX_SESSION = "8 hours"
 
@@ -67,14 +68,15 @@ def session_lookup(events: DataFrame, sessions: DataFrame | None = None) -> Data
             .withColumns({"live": live, "session_start": F.when(live, F.col("_from"))}).drop("_from", "_until"))
 
 
-def gap_sessions(events: DataFrame, gap_seconds: int, key: str = "user_id", bucket_seconds: int = 3600) -> DataFrame:
+def gap_sessions(events: DataFrame, gap_seconds: int, key: str = "user_id", bucket_seconds: int = 3600,
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Sessions per key: a pause longer than the gap starts a new one.
 
-    Sessions are built per (key, time bucket) first and then joined across
-    buckets, so a hot key is spread over its buckets and the second step sees
-    sessions, not events. Those are at most span / gap + buckets per key.
+    The sessions of a hot key are built per time bucket first and then joined
+    across buckets, so its events are spread over tasks and the second step
+    sees sessions only. Those are at most span / gap + buckets per key.
     """
-    e = events.withColumn("_bucket", times.time_bucket(F.col("ts"), bucket_seconds))
+    rows, _ = bucketed(events, [key], times.time_bucket(F.col("ts"), bucket_seconds), hot_rows)
 
     def cut(df, keys, order, start, last_end):
         w = W.partitionBy(*keys).orderBy(*order)
@@ -83,7 +85,7 @@ def gap_sessions(events: DataFrame, gap_seconds: int, key: str = "user_id", buck
         return df.withColumn("_new", new).withColumn(
             "_s", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
 
-    local = (cut(e, [key, "_bucket"], ["ts", "arrival_seq"], "ts", "ts").groupBy(key, "_bucket", "_s").agg(
+    local = (cut(rows, [key, "_bucket"], ["ts"], "ts", "ts").groupBy(key, "_bucket", "_s").agg(
         F.min("ts").alias("started_at"), F.max("ts").alias("ended_at"), F.count(F.lit(1)).alias("events")))
     whole = (cut(local, [key], ["started_at"], "started_at", "ended_at").groupBy(key, "_s").agg(
         F.min("started_at").alias("started_at"), F.max("ended_at").alias("ended_at"),
@@ -97,8 +99,8 @@ def shared_sessions(events: DataFrame) -> DataFrame:
             .agg(F.count_distinct("user_id").alias("users")).filter(F.col("users") > 1))
 
 
-def login_attempts(events: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+def login_attempts(events: DataFrame, bucket_seconds: int = 3600, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Failed logins with their running number per user, in time order."""
     failures = events.filter(F.col("event_type") == "LOGIN_FAILURE")
     return running_sum(failures, ["user_id"], ["ts", "arrival_seq"], F.lit(1),
-                       times.time_bucket(F.col("ts"), bucket_seconds), "attempt_number")
+                       times.time_bucket(F.col("ts"), bucket_seconds), "attempt_number", hot_rows)
