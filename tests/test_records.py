@@ -51,9 +51,11 @@ def test_typed_details(spark):
     events = [record(0, "PERMISSION_CHANGE", additional_info={"target_user": "user_1", "permissions": ["read", "write"]}),
               record(1, "MFA_CHALLENGE", additional_info={"mfa_type": "sms", "success": False, "attempt_number": 2})]
     parsed = parsing.parse_value(as_values(spark, events))
-    assert parsing.typed_info(parsed, "PERMISSION_CHANGE").first()["info"]["permissions"] == ["read", "write"]
-    mfa = parsing.typed_info(parsed, "MFA_CHALLENGE").first()["info"]
+    assert parsing.typed_info(parsed, "PERMISSION_CHANGE").first()["permission_change"]["permissions"] == ["read", "write"]
+    both = parsing.typed_info(parsed, "MFA_CHALLENGE", "PERMISSION_CHANGE").orderBy("arrival_seq").collect()
+    mfa = both[1]["mfa_challenge"]
     assert (mfa["success"], mfa["attempt_number"]) == (False, 2)
+    assert both[0]["mfa_challenge"] is None and both[1]["permission_change"] is None
     assert set(S.INFO_SCHEMAS) == set(S.EVENT_TYPES)
 
 

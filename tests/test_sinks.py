@@ -31,11 +31,11 @@ def test_missing_file_is_empty(spark, tmp_path):
 
 def test_corrupt_file_is_set_apart(spark, tmp_path):
     (tmp_path / "log.json").write_text('[{"event_id": "a"}, {"event')
-    scanned = files.scan_events(spark, str(tmp_path / "log.json"), array_file=True).persist()
+    scanned = files.scan_events(spark, str(tmp_path / "log.json"), array_file=True)
     files.quarantine(scanned, str(tmp_path / "bad"))
     kept = spark.read.parquet(str(tmp_path / "bad")).collect()
     assert [r.raw for r in kept] == ['[{"event_id": "a"}, {"event']
-    assert scanned.filter(F.col(parsing.CORRUPT).isNull()).count() == 0
+    assert parsing.good_records(scanned).collect() == []
 
 
 def test_line_file_keeps_its_good_lines(spark, tmp_path):
@@ -44,6 +44,13 @@ def test_line_file_keeps_its_good_lines(spark, tmp_path):
     assert sorted(r.event_id or "-" for r in scanned.collect()) == ["-", "a", "b"]
 
 
+def test_scanned_records_without_id_get_a_stable_one(spark, tmp_path):
+    (tmp_path / "log.json").write_text('{"event_type": "LOGOUT"}\n{"event_type": "LOGIN_SUCCESS"}\n{bad\n')
+    ids = [[r.event_id for r in parsing.fill_defaults(parsing.good_records(
+        files.scan_events(spark, str(tmp_path / "log.json")))).collect()] for _ in range(2)]
+    assert ids[0] == ids[1] and len(set(ids[0])) == 2
+
+
 def test_corrupt_stats_document_counts_nothing(spark, tmp_path):
     (tmp_path / "s.json").write_text('{"event_counts": {"A": 1')
     assert files.load_stats_document(spark, str(tmp_path / "s.json")).agg(F.sum("n")).first()[0] in (None, 0)

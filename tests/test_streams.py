@@ -80,6 +80,16 @@ def test_minute_counts_equal_batch(spark, inbox, tmp_path):
     assert rows(got) == rows(stats.events_per_minute(batch(spark, inbox)))
 
 
+def test_an_event_without_time_takes_its_arrival(spark, tmp_path):
+    write_lines(tmp_path / "in", "a.json", [record(0, timestamp=None), record(1, timestamp="bad"), record(2)])
+    source = files.stream_json(spark, str(tmp_path / "in"))
+    ids = {r.event_id: r.ts.year for r in drain(ingest.accepted_events(source), tmp_path).collect()}
+    assert set(ids) == {"id-0", "id-2"} and ids["id-2"] == 2025 and ids["id-0"] > 2025
+    stamped = source.withColumn("received_at", F.lit("2024-02-03T04:05:06Z").cast("timestamp"))
+    ids = {r.event_id: r.ts.year for r in drain(ingest.accepted_events(stamped), tmp_path, "b").collect()}
+    assert ids == {"id-0": 2024, "id-2": 2025}
+
+
 def test_late_rows_count_in_totals_but_not_in_the_timeline(spark, tmp_path):
     folder = tmp_path / "in"
     write_lines(folder, "a.json", [record(i) for i in range(10)])

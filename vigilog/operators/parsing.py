@@ -28,27 +28,32 @@ def parse_value(df: DataFrame, value: str = "value", schema: T.StructType = S.WI
             .select(*rest, "raw", F.inline(F.array(data))))
 
 
-def readable() -> Column:
+def readable(parsed: DataFrame) -> Column:
     """Whether a parsed record was a JSON object; never null. Blank text does not count as corrupt to the parser."""
-    return F.col(CORRUPT).isNull() & (F.coalesce(F.trim("raw"), F.lit("")) != "")
+    whole = F.col(CORRUPT).isNull()
+    return whole & (F.coalesce(F.trim("raw"), F.lit("")) != "") if "raw" in parsed.columns else whole
 
 
 def good_records(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(readable()).drop(CORRUPT)
+    return parsed.filter(readable(parsed)).drop(CORRUPT)
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
     """Records that could not be read, with their text."""
     rest = [c for c in parsed.columns if c not in set(S.WIRE_FIELDS) | {CORRUPT, "raw"}]
-    return (parsed.filter(~readable())
+    return (parsed.filter(~readable(parsed))
             .select(*rest, "raw", F.lit("unreadable record").alias("reason")))
 
 
-def fill_defaults(events: DataFrame, raw: str = "raw") -> DataFrame:
-    """Missing and null alike take the default; a missing id becomes the hash of the record."""
+def fill_defaults(events: DataFrame) -> DataFrame:
+    """Missing and null alike take the default; a missing id becomes the hash of the record.
+
+    That is the hash of ``raw`` or, for a table without it, of all its columns.
+    """
     geo = F.col("geo_location")
+    content = F.col("raw") if "raw" in events.columns else F.to_json(F.struct(*events.columns))
     return events.withColumns({
-        "event_id": F.coalesce("event_id", text.stable_id(F.col(raw))),
+        "event_id": F.coalesce("event_id", text.stable_id(content)),
         "event_type": F.coalesce(text.strip_enum_prefix(F.col("event_type")), F.lit("UNKNOWN")),
         "severity": F.coalesce(text.strip_enum_prefix(F.col("severity")), F.lit("INFO")),
         "user_type": text.strip_enum_prefix(F.col("user_type")),
@@ -74,10 +79,15 @@ def info_map(info: Column) -> Column:
     return F.from_json(info, T.MapType(T.StringType(), T.StringType()))
 
 
-def typed_info(events: DataFrame, event_type: str) -> DataFrame:
-    """Events of one type with their typed details as columns ``info.*``."""
-    info = F.from_json("additional_info", T.StructType.fromDDL(S.INFO_SCHEMAS[event_type]))
-    return events.filter(F.col("event_type") == event_type).withColumn("info", info)
+def typed_info(events: DataFrame, *event_types: str) -> DataFrame:
+    """Events of these types with their typed details, one struct column per type, in one pass.
+
+    The column has the name of the type in lower case and is null for other types.
+    """
+    kind = F.col("event_type")
+    details = {t.lower(): F.when(kind == t, F.from_json("additional_info", T.StructType.fromDDL(S.INFO_SCHEMAS[t])))
+               for t in event_types}
+    return events.filter(kind.isin(*event_types)).withColumns(details)
 
 
 def wire_json(events: DataFrame) -> Column:

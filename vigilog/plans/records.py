@@ -84,7 +84,7 @@ def scan_events(spark, sf_dir):
     """Event log written as JSON lines and scanned; unreadable lines are set apart."""
     path = scratch_dir(spark, "scan")
     wire_records(spark, sf_dir).select(F.col("value").cast("string")).write.text(path)
-    return _flat(files.scan_events(spark, path).filter(F.col(parsing.CORRUPT).isNull()))
+    return _flat(parsing.good_records(files.scan_events(spark, path)))
 
 
 @query(SE + WIRE_SQL)
@@ -185,15 +185,13 @@ def json_extract(spark, sf_dir):
   UNION ALL SELECT event_id, event_type, 'customer', k * 10 FROM se WHERE event_type = 'DATA_ACCESS'""")
 def typed_info(spark, sf_dir):
     """Typed details of three event types."""
-    e = sec_events(spark, sf_dir)
-
-    def part(kind, detail, amount):
-        return parsing.typed_info(e, kind).select(
-            "event_id", "event_type", F.col(f"info.{detail}").cast("string").alias("detail"),
-            F.col(f"info.{amount}").alias("amount"))
-    return (part("LOGIN_FAILURE", "failure_reason", "attempt_number")
-            .unionByName(part("MFA_CHALLENGE", "success", "attempt_number"))
-            .unionByName(part("DATA_ACCESS", "data_type", "records_accessed")))
+    typed = parsing.typed_info(sec_events(spark, sf_dir), "LOGIN_FAILURE", "MFA_CHALLENGE", "DATA_ACCESS")
+    return typed.select(
+        "event_id", "event_type",
+        F.coalesce("login_failure.failure_reason", F.col("mfa_challenge.success").cast("string"),
+                   "data_access.data_type").alias("detail"),
+        F.coalesce("login_failure.attempt_number", "mfa_challenge.attempt_number",
+                   "data_access.records_accessed").alias("amount"))
 
 
 @query(SE + f"SELECT event_id, {LINE} AS line FROM se")

@@ -13,18 +13,24 @@ from vigilog.plans.tables import located_events, se_cte, sec_events
 
 SE = se_cte()
 RANK = "CASE severity WHEN 'CRITICAL' THEN 5 WHEN 'HIGH' THEN 4 WHEN 'MEDIUM' THEN 3 WHEN 'LOW' THEN 2 ELSE 1 END"
-COPIED = se_cte(also=""", se2 AS (SELECT event_id, arrival_seq, event_type, severity FROM se
-  UNION ALL SELECT event_id, arrival_seq + 1000000000000, event_type, 'FATAL' FROM se WHERE event_id % 10 = 0)""")
 HIGH = "severity IN ('HIGH', 'CRITICAL')"
+CUT = "2024-01-08 00:00:00"
+COPIED = se_cte(also=f""", se2 AS (SELECT event_id, arrival_seq, event_type, severity FROM se
+  UNION ALL SELECT event_id, arrival_seq + 1000000000000, event_type, 'FATAL' FROM se WHERE {HIGH})""")
 
 
 def repeated(events):
-    """The log with every tenth event once more at its end, under another severity."""
-    again = events.filter(F.col("event_id") % 10 == 0).withColumns({
+    """The log with its severe events sent once more at the end, under another severity."""
+    again = views.high_severity(events).withColumns({
         "arrival_seq": F.col("arrival_seq") + F.lit(1000000000000), "severity": F.lit("FATAL")})
     return events.unionByName(again)
 
 
+def history(events):
+    """The first part of the log."""
+    return events.filter(F.col("ts") < F.lit(CUT).cast("timestamp_ntz"))
+
+
 @query(SE + f"SELECT event_id, event_type, severity, user_id FROM se WHERE {HIGH}")
 def high_severity_events(spark, sf_dir):
     return views.high_severity(sec_events(spark, sf_dir)).select("event_id", "event_type", "severity", "user_id")
@@ -43,20 +49,20 @@ def dedup_first(spark, sf_dir):
         "event_id", "arrival_seq", "event_type", "severity"))
 
 
-@query(COPIED + """SELECT event_id, arrival_seq, event_type, severity FROM se2
-  WHERE event_id NOT IN (SELECT event_id FROM se WHERE event_id % 4 = 0)""")
+@query(COPIED + f"""SELECT event_id, arrival_seq, event_type, severity FROM se2
+  WHERE event_id NOT IN (SELECT event_id FROM se WHERE ts < TIMESTAMP '{CUT}')""")
 def anti_join_seen(spark, sf_dir):
     """Events not in the history, repeats among themselves left as they are."""
     e = sec_events(spark, sf_dir)
-    return dedup.drop_seen(repeated(e).select("event_id", "arrival_seq", "event_type", "severity"),
-                           e.filter(F.col("event_id") % 4 == 0))
+    return dedup.drop_seen(repeated(e).select("event_id", "arrival_seq", "event_type", "severity"), history(e))
 
 
 @query(COPIED + "SELECT event_id, arrival_seq, event_type, severity FROM se")
 def append_dedup(spark, sf_dir):
-    """A quarter of the log as history, the whole log with repeats as new events."""
-    e = sec_events(spark, sf_dir).select("event_id", "arrival_seq", "event_type", "severity")
-    return dedup.append_new(e.filter(F.col("event_id") % 4 == 0), repeated(e))
+    """The first part of the log as history, the whole log with repeats as new events."""
+    e = sec_events(spark, sf_dir)
+    columns = ["event_id", "arrival_seq", "event_type", "severity"]
+    return dedup.append_new(history(e).select(*columns), repeated(e.select(*columns)))
 
 
 @query(SE + "SELECT event_id, ts, event_type FROM se ORDER BY arrival_seq DESC LIMIT 1000")

@@ -81,10 +81,11 @@ def stats_grouping_sets(spark, sf_dir):
 
 @query(SE + LONG_FORM)
 def stats_merge(spark, sf_dir):
-    """Statistics of two halves of the log, added up."""
+    """Statistics of the log up to a day and of the rest, added up."""
     e = located_events(spark, sf_dir)
-    old, new = e.filter(F.col("event_id") % 2 == 0), e.filter(F.col("event_id") % 2 == 1)
-    return stats.merge(stats.distributions(old), stats.distributions(new))
+    day = F.lit("2024-01-16").cast("timestamp_ntz")
+    return stats.merge(stats.distributions(e.filter(F.col("ts") < day)),
+                       stats.distributions(e.filter(F.col("ts") >= day)))
 
 
 @query(SE + LONG_FORM)
@@ -119,7 +120,7 @@ def throughput(spark, sf_dir):
 def success_rate(spark, sf_dir):
     """Delivered means readable on arrival."""
     parsed = parsing.parse_value(wire_records(spark, sf_dir))
-    return stats.success_rate(parsed, parsing.readable())
+    return stats.success_rate(parsed, parsing.readable(parsed))
 
 
 @query(SE + """SELECT coalesce(country, 'Unknown') AS country, count(*) AS n FROM se WHERE has_geo = 1

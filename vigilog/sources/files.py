@@ -35,10 +35,10 @@ def scan_events(spark: SparkSession, path: str, array_file: bool = False) -> Dat
 
 
 def quarantine(scanned: DataFrame, path: str) -> None:
-    """Append the unreadable input of a scan to a side table."""
-    bad = scanned.filter(F.col(parsing.CORRUPT).isNotNull())
-    bad.select(F.col(parsing.CORRUPT).alias("raw"), F.current_timestamp().alias("found_at")) \
-        .write.mode("append").parquet(path)
+    """Append the unreadable input of a scan to a side table, with the id where it could be read."""
+    # Spark refuses to scan for the corrupt text alone; the id is the second column.
+    bad = scanned.filter(F.col(parsing.CORRUPT).isNotNull()).select(F.col(parsing.CORRUPT).alias("raw"), "event_id")
+    bad.withColumn("found_at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
 def load_stats(spark: SparkSession, path: str) -> DataFrame:

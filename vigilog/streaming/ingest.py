@@ -30,11 +30,15 @@ def run_stream(df: DataFrame, on_batch: Callable[[DataFrame, int], None], checkp
 def accepted_events(records: DataFrame) -> DataFrame:
     """Records to valid events with defaults and time; broken and invalid ones are left out.
 
+    An event without time takes that of its arrival: of the record, if it has
+    one as ``received_at``, else of the micro-batch, which a retry keeps.
     Write ``parsing.parse_value(records)`` with ``sinks.batches.good_and_dead``
     to keep the broken ones.
     """
     good = parsing.good_records(parsing.parse_value(records))
-    return parsing.with_time(parsing.fill_defaults(quality.split_valid(good)[0]))
+    arrived = F.col("received_at") if "received_at" in records.columns else F.current_timestamp()
+    return (parsing.with_time(parsing.fill_defaults(quality.split_valid(good)[0]))
+            .withColumn("ts", F.coalesce("ts", arrived)))
 
 
 def dedup(events: DataFrame, horizon: str = "1 day", salts: int = 1) -> DataFrame:
