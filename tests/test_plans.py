@@ -75,9 +75,11 @@ def test_filters_reach_the_scan(spark, sf_dir):
     assert "GreaterThan(event_id,990)" in plan_of(e)
 
 
-def test_a_record_is_parsed_once(spark):
+def test_a_record_is_parsed_once(spark, sf_dir):
     parsed = parsing.good_records(parsing.parse_value(as_values(spark, [record(0)])))
     assert plan_of(parsed.select("event_id", "severity")).count("from_json(") == 1
+    plan = plan_of(entry_points.queries()["parse_json"](spark, sf_dir))
+    assert plan.count("from_json(") == 1 and plan.count("StructsToJsonEvaluator(Map(ignoreNullFields") == 1
 
 
 def test_checks_are_counted_in_one_pass(plans):

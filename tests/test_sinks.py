@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import as_values, record, rows
@@ -80,8 +81,11 @@ def test_readers_only_see_committed_versions(spark, tmp_path):
     assert snapshots.committed_versions(spark, path) == [2, 3]
     assert spark.read.parquet(snapshots.latest_version(spark, path)).count() == 4
     assert snapshots.latest_version(spark, path, before=3).endswith("version=2")
+    with pytest.raises(ValueError, match="reset it"):
+        snapshots.write_version(spark.range(1), path, 0)
     snapshots.reset(spark, path)
     assert snapshots.latest_version(spark, path) is None
+    snapshots.write_version(spark.range(1), path, 0)
 
 
 def test_routed_output(spark, tmp_path):

@@ -250,3 +250,14 @@ def test_processing_time_trigger(spark, inbox, tmp_path):
 def test_kafka_sink_options():
     o = kafka_sink.sink_options("h:9092", "t")
     assert (o["kafka.acks"], o["kafka.retries"], o["kafka.retry.backoff.ms"]) == ("all", "5", "500")
+
+
+def test_folders_and_single_files_stream_alike(spark, tmp_path):
+    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "table.parquet"))
+    spark.range(10, 30).repartition(3).write.mode("append").parquet(str(tmp_path / "table.parquet"))
+    single = next((tmp_path / "table.parquet").glob("*.parquet"))
+    schema = spark.range(1).schema
+    folder = files.stream_table(spark, str(tmp_path / "table.parquet"), schema, files_per_trigger=2)
+    assert drain(folder, tmp_path, "a").count() == 30
+    n = spark.read.parquet(str(single)).count()
+    assert drain(files.stream_table(spark, str(single), schema), tmp_path, "b").count() == n

@@ -6,6 +6,9 @@ needs to know about the ones before it (a sum, a last row) is aggregated
 map-side, carried over by a window on the small per-bucket table, and handed
 in as one extra row per bucket. All rows are shuffled once, on (group,
 bucket), and no join is needed. Other groups are one bucket each.
+
+The input is read more than once, for its group sizes with the keys only. If
+it is expensive to compute, pass ``durable`` output.
 """
 
 from __future__ import annotations

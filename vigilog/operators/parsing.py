@@ -23,25 +23,26 @@ def parse_value(df: DataFrame, value: str = "value", schema: T.StructType = S.WI
     """
     full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     rest = [c for c in df.columns if c != value]
-    data = F.from_json("raw", full, {"columnNameOfCorruptRecord": CORRUPT})
+    # Blank text gives no struct at all; it is marked like other unreadable text.
+    blank = F.from_json(F.lit("{}"), full).withField(CORRUPT, F.coalesce("raw", F.lit("")))
+    data = F.coalesce(F.from_json("raw", full, {"columnNameOfCorruptRecord": CORRUPT}), blank)
     return (df.select(*rest, F.col(value).cast("string").alias("raw"))
             .select(*rest, "raw", F.inline(F.array(data))))
 
 
-def readable(parsed: DataFrame) -> Column:
-    """Whether a parsed record was a JSON object; never null. Blank text does not count as corrupt to the parser."""
-    whole = F.col(CORRUPT).isNull()
-    return whole & (F.coalesce(F.trim("raw"), F.lit("")) != "") if "raw" in parsed.columns else whole
+def readable() -> Column:
+    """Whether a parsed or scanned record was a JSON object; never null."""
+    return F.col(CORRUPT).isNull()
 
 
 def good_records(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(readable(parsed)).drop(CORRUPT)
+    return parsed.filter(readable()).drop(CORRUPT)
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
     """Records that could not be read, with their text."""
     rest = [c for c in parsed.columns if c not in set(S.WIRE_FIELDS) | {CORRUPT, "raw"}]
-    return (parsed.filter(~readable(parsed))
+    return (parsed.filter(~readable())
             .select(*rest, "raw", F.lit("unreadable record").alias("reason")))
 
 

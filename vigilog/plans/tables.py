@@ -17,22 +17,22 @@ from vigilog.session import configure
 # 10, 2, 5, 15, 5, 1, 1, 1, 2 of the 15 types and 60, 15, 10, 10, 30, 5 of
 # the 6 user types.
 EVENT_SQL = """
-SELECT event_id, event_id AS arrival_seq, ts, event_type, user_num, concat('user_', cast(user_num AS varchar(20))) AS user_id,
+SELECT event_id, event_id AS arrival_seq, ts, event_type, user_num, concat('user_', cast(user_num AS string)) AS user_id,
   user_type, severity,
   concat(CASE user_num % 4 WHEN 0 THEN '10.0' WHEN 1 THEN '172.16' WHEN 2 THEN '192.168' ELSE '84.232' END, '.',
-         cast(user_num % 250 AS varchar(20)), '.', cast(event_id % 250 AS varchar(20))) AS ip_address,
+         cast(user_num % 250 AS string), '.', cast(event_id % 250 AS string)) AS ip_address,
   CASE WHEN event_id % 13 = 0 THEN 0 ELSE 1 END AS has_geo,
   value, props, k,
   CASE WHEN event_type = 'LOGIN_FAILURE' THEN 401 WHEN event_type IN ('UNAUTHORIZED_ACCESS', 'ACCOUNT_LOCKOUT') THEN 403
        WHEN event_type IN ('PRIVILEGE_ESCALATION', 'DATA_EXFILTRATION') THEN 400
        WHEN event_type = 'MFA_CHALLENGE' AND k % 2 = 1 THEN 401 ELSE 200 END AS status_code,
-  concat('event ', event_type, ' number ', cast(k AS varchar(20))) AS message,
-  concat('agent/', cast(k % 7 AS varchar(20))) AS user_agent,
-  concat('corr_', cast(cast(floor(event_id / 4) AS bigint) AS varchar(20))) AS correlation_id,
+  concat('event ', event_type, ' number ', cast(k AS string)) AS message,
+  concat('agent/', cast(k % 7 AS string)) AS user_agent,
+  concat('corr_', cast(cast(floor(event_id / 4) AS bigint) AS string)) AS correlation_id,
   CASE WHEN event_id % 11 = 0 THEN NULL ELSE
-    concat('sess_', cast(cast(floor(user_num / 2) AS bigint) AS varchar(20)), '_', cast(cast(ts AS date) AS varchar(20))) END AS session_id,
-  CASE WHEN event_id % 23 = 0 THEN NULL ELSE concat('system_', cast(event_id % 10 AS varchar(20))) END AS source_system,
-  concat('system_', cast(k % 10 AS varchar(20))) AS target_system
+    concat('sess_', cast(cast(floor(user_num / 2) AS bigint) AS string), '_', cast(cast(ts AS date) AS string)) END AS session_id,
+  CASE WHEN event_id % 23 = 0 THEN NULL ELSE concat('system_', cast(event_id % 10 AS string)) END AS source_system,
+  concat('system_', cast(k % 10 AS string)) AS target_system
 FROM (
   SELECT e.event_id, e.ts, e.user_id AS user_num, e.value, e.props, e.k,
     CASE WHEN h < 40 THEN 'LOGIN_SUCCESS' WHEN h < 60 THEN 'LOGIN_FAILURE' WHEN h < 80 THEN 'LOGOUT'

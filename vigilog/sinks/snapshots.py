@@ -44,9 +44,12 @@ def write_version(df: DataFrame, path: str, version: int, keep: int = 2, files:
                   fmt: str = "parquet") -> None:
     """Write one version and drop all but the newest ``keep``.
 
-    ``files`` limits the number of files of a table known to be small.
+    ``files`` limits the number of files of a table known to be small. Newer
+    versions can only come from another checkpoint; they are not overwritten.
     """
     spark = df.sparkSession
+    if any(v > version for v in committed_versions(spark, path)):
+        raise ValueError(f"{path} has versions after {version}: reset it before starting from a new checkpoint")
     (df.coalesce(files) if files else df).write.format(fmt).mode("overwrite").save(version_path(path, version))
     versions = committed_versions(spark, path)
     for old in versions[:-keep]:
