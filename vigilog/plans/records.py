@@ -303,7 +303,8 @@ def severity_conformance(spark, sf_dir):
 
 @query(SE + " UNION ALL ".join(_counter(*r) for r in [
     ("severity_not_of_type", "false"), ("status_not_of_type", "event_id % 19 = 0 AND status_code <> 200"),
-    ("category_tag_missing", f"event_id % 21 = 0 AND NOT ({CATEGORY} = 'system' AND user_type = 'SYSTEM')"), ("user_tag_differs", "event_id % 31 = 0 AND user_type <> 'ADMIN'")]))
+    ("category_tag_missing", f"event_id % 21 = 0 AND NOT ({CATEGORY} = 'system' AND user_type = 'SYSTEM')"),
+    ("user_tag_differs", "event_id % 31 = 0 AND user_type <> 'ADMIN'")]))
 def conformance(spark, sf_dir):
     """Checks between fields on a damaged log."""
     seq = F.col("event_id")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vigilog.plans import lookups, records, selection, statistics
 from vigilog.plans.registry import query
-from vigilog.plans.tables import event_table, located, se_cte, table
+from vigilog.plans.tables import as_records, event_table, located, se_cte, table
 from vigilog.session import scratch_dir
 from vigilog.sinks import batches, snapshots
 from vigilog.sources import files
@@ -112,3 +112,22 @@ def stream_session_lifecycle(spark, sf_dir):
     e = stream_events(spark, sf_dir).select("session_id", "event_type", "ts")
     spark, out = _drain(e, "sessions", lambda path: batches.session_log(f"{path}/ended", f"{path}/open"))
     return _ntz(spark.read.parquet(f"{out}/ended").drop("batch_id"), "created_at", "ended_at", "first_seen", "last_seen")
+
+
+ACCEPTED = se_cte(also=f""", kept AS (SELECT event_id FROM (
+    SELECT *, CAST(sum(CASE WHEN candidate THEN 1 ELSE 0 END) OVER (PARTITION BY day ORDER BY place) AS BIGINT) AS accepted
+    FROM (SELECT *, place <= 16 OR {selection.HIGH} OR place % 3 = 0 AS candidate
+          FROM (SELECT event_id, severity, CAST(ts AS DATE) AS day,
+                  row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY arrival_seq) AS place
+                FROM se WHERE event_id % 19 <> 0 AND NOT (has_geo = 1 AND country IS NULL)) a) b) c
+    WHERE candidate AND accepted <= 30),
+  taken AS (SELECT * FROM se WHERE event_id IN (SELECT event_id FROM kept))""")
+
+
+@query(ACCEPTED + statistics.LONG_FORM.replace("FROM se", "FROM taken"))
+def stream_consume(spark, sf_dir):
+    """The whole consumer on records, some of them broken or invalid: statistics of what it accepted."""
+    records_ = as_records(stream_events(spark, sf_dir, with_location=True))
+    root = scratch_dir(spark, "consume")
+    ingest.consume(records_, f"{root}/out", f"{root}/checkpoint", window_seconds=86400, horizon="31 days").awaitTermination()
+    return files.load_stats(spark, f"{root}/out/stats")

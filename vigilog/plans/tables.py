@@ -104,13 +104,17 @@ def located_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return located(sec_events(spark, sf_dir), table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
 
 
-def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log as it would arrive: ``arrival_seq`` and the JSON ``value``; every 19th record is broken."""
-    e = located_events(spark, sf_dir).withColumn("event_id", F.col("event_id").cast("string"))
+def as_records(events: DataFrame) -> DataFrame:
+    """Events as they would arrive: ``arrival_seq`` and the JSON ``value``; every 19th record is broken."""
+    e = events.withColumn("event_id", F.col("event_id").cast("string"))
     damage = F.when(F.col("arrival_seq") % 19 == 0, F.lit("{bad ")).otherwise(F.lit(""))
     return e.select("arrival_seq", F.concat(damage, parsing.wire_json(e)).cast("binary").alias("value"))
 
 
+def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_records(located_events(spark, sf_dir))
+
+
 def se_cte(also: str = "") -> str:
     """The event log as the head of a query: ``WITH se AS (...)``; ``also`` adds further named tables."""
     flat = "(" + EVENT_SQL.format(events="events") + ")"

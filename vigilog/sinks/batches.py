@@ -167,12 +167,16 @@ def session_log(out: str, state: str, max_age: str = sessions.MAX_SESSION, laten
 
 
 def persisted(*steps: OnBatch) -> OnBatch:
-    """One or more writers over a batch that is computed once, stateful operators before it included."""
+    """One or more writers over a batch that is computed once, stateful operators before it included.
+
+    A batch without rows, as the watermark alone can cause, is skipped.
+    """
     def on_batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
         try:
-            for step in steps:
-                step(df, batch_id)
+            if not df.isEmpty():
+                for step in steps:
+                    step(df, batch_id)
         finally:
             df.unpersist()
     return on_batch
