@@ -1,6 +1,8 @@
 """Streaming forms against their batch forms, over several micro-batches."""
 
+import itertools
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,9 +26,14 @@ def make_records(n):
                    source_system=None, arrival=i) for i in range(n)]
 
 
+WRITTEN = itertools.count(1700000000)
+
+
 def write_lines(folder, name, records):
+    """Write a file that is a second newer than the one before: a file stream takes them by age, ties in any order."""
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in records) + "\n")
+    os.utime(folder / name, (next(WRITTEN),) * 2)
 
 
 @pytest.fixture()
