@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.text import input_columns, positions, raw
+from vigilog.llm.text import input_columns, positions, raw, small_batches
 
 WINDOW = 5
 SHARE = 0.75
@@ -217,6 +217,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a benchmark item in them, with their own columns; rows without text or id stay."""
+    small_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
         .where("text is not null")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)

@@ -13,46 +13,51 @@ from vigilog.llm import similarity
 from vigilog.llm.text import WordHash, bitmap, input_columns, raw, set_hash, shingle_sets
 from vigilog.session import durable
 
-COMMON_IN_CHUNK = 3      # documents of a chunk that must share a shingle for it to be counted
-COMMON_MOST = 200_000    # frequent shingles handed to every task (3 MB)
+COMMON_IN_CHUNK = 2      # documents of a chunk that must share a shingle for it to be counted
+COMMON_MOST = 400_000    # frequent shingles handed to every task (7 MB)
 BITMAP_LONGS = 16
-_CHUNK = 4_000_000
+_CHUNK = 2_000_000
 _LAST = (1 << 63) - 1      # stands for a null doc_id, after all others
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """Rows of kind 0: documents with class and size. Rows of kind 1: frequent shingles (cls) and their count (n)."""
+    """Kind 0: documents with class and size. Kind 1: frequent shingles (cls) and their count (n). Kind 2: classes with a
+    row that has them and their bitmap."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, seen, held, size = WordHash(), set(), [], 0
         for batch in batches:
-            classes, sizes = [], []
-            for shingles in shingle_sets(raw(batch.column("text")), cache):
+            classes, sizes, fresh, bits = [], [], [], []
+            for i, shingles in enumerate(shingle_sets(raw(batch.column("text")), cache)):
                 cls = set_hash(shingles)
                 classes.append(cls)
                 sizes.append(len(shingles))
-                if cls not in seen:
+                if cls and cls not in seen:
                     seen.add(cls)
+                    fresh.append(i)
+                    bits.append(bitmap(shingles, BITMAP_LONGS))
                     held.append(shingles)
                     size += len(shingles)
                 if size >= _CHUNK:
                     yield frequent(held)
                     held, size = [], 0
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * n, pa.int32()), batch.column("row"), batch.column("doc_id"), pa.array(classes, pa.int64()),
-                 pa.array(sizes, pa.int64())], ["kind", "row", "doc_id", "cls", "n"])
+            classes, sizes = np.array(classes, np.int64), np.array(sizes, np.int64)
+            yield rows(0, batch.column("row"), batch.column("doc_id"), classes, sizes)
+            yield rows(2, batch.column("row").take(pa.array(fresh, pa.int64())), None, classes[fresh], sizes[fresh], bits)
         yield frequent(held)
 
     def frequent(held: list) -> pa.RecordBatch:
         values, counts = np.unique(np.concatenate(held) if held else np.empty(0, np.uint64), return_counts=True)
         keep = counts >= COMMON_IN_CHUNK
-        values, counts = values[keep].view(np.int64), counts[keep]
+        return rows(1, None, None, values[keep].view(np.int64), counts[keep].astype(np.int64))
+
+    def rows(kind: int, row, doc_id, cls: np.ndarray, n: np.ndarray, bits=None) -> pa.RecordBatch:
+        none = pa.nulls(len(cls), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [pa.array([1] * len(values), pa.int32()), pa.nulls(len(values), pa.int64()), pa.nulls(len(values), pa.int64()),
-             pa.array(values), pa.array(counts.astype(np.int64))], ["kind", "row", "doc_id", "cls", "n"])
+            [pa.array([kind] * len(cls), pa.int32()), none if row is None else row, none if doc_id is None else doc_id, pa.array(cls),
+             pa.array(n), pa.array(bits or [None] * len(cls), pa.list_(pa.int64()))], ["kind", "row", "doc_id", "cls", "n", "bits"])
 
-    return docs.mapInArrow(scan, "kind int, row long, doc_id long, cls long, n long")
+    return docs.mapInArrow(scan, "kind int, row long, doc_id long, cls long, n long, bits array<long>")
 
 
 class Order:
@@ -83,7 +88,7 @@ class Order:
 def _postings(docs: DataFrame, order, parts: int) -> DataFrame:
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen, keys, classes, bands, size = WordHash(), set(), [], [], [], 0
+        cache, seen, keys, classes, bands, limits, size = WordHash(), set(), [], [], [], [], 0
         for batch in batches:
             for shingles in shingle_sets(raw(batch.column("text")), cache):
                 cls = set_hash(shingles)
@@ -93,37 +98,31 @@ def _postings(docs: DataFrame, order, parts: int) -> DataFrame:
                 chosen = order.value.prefix(shingles)
                 keys.append((chosen >> np.uint64(32)).astype(np.uint32))
                 classes.append(np.full(len(chosen), cls, np.int64))
-                bands.append(np.full(len(chosen), int(np.log(len(shingles)) / np.log(4 / 3) + 1e-9), np.uint8))
+                bands.append(np.full(len(chosen), similarity.size_band(np.array([len(shingles)]))[0]))
+                limits.append(similarity.partner_limit(len(shingles), len(chosen)))
                 size += len(chosen)
                 if size >= similarity.FLUSH:
-                    yield similarity.pack(*map(np.concatenate, (keys, classes, bands)), parts)
-                    keys, classes, bands, size = [], [], [], 0
+                    yield similarity.pack(*map(np.concatenate, (keys, classes, bands, limits)), parts)
+                    keys, classes, bands, limits, size = [], [], [], [], 0
         if size:
-            yield similarity.pack(*map(np.concatenate, (keys, classes, bands)), parts)
+            yield similarity.pack(*map(np.concatenate, (keys, classes, bands, limits)), parts)
 
     return docs.mapInArrow(post, similarity.POSTINGS)
 
 
-def _contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Sets of the wanted classes, once each."""
-    bits = docs.sparkSession.sparkContext.broadcast(similarity.class_filter(wanted))
+def _contents(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Sets of the wanted classes, read from one row each."""
+    chosen = durable(wanted.join(classes, "cls").select("cls", "row"), "wanted")
+    bits = docs.sparkSession.sparkContext.broadcast(similarity.class_filter(chosen.select("row")))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen = WordHash(), set()
+        cache = WordHash()
         for batch in batches:
-            rows = []
-            for shingles in shingle_sets(raw(batch.column("text")), cache):
-                cls = set_hash(shingles)
-                if len(shingles) and cls not in seen and similarity.may_have(bits.value, np.array([cls]))[0]:
-                    seen.add(cls)
-                    rows.append((cls, len(shingles), bitmap(shingles, BITMAP_LONGS).tolist(), shingles.tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(
-                    zip(*rows) if rows else ([], [], [], []),
-                    (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))], ["cls", "n", "bits", "items"])
+            mine = batch.filter(pa.array(similarity.may_have(bits.value, batch.column("row").to_numpy(zero_copy_only=False))))
+            items = [x.tobytes() for x in shingle_sets(raw(mine.column("text")), cache)]
+            yield pa.RecordBatch.from_arrays([mine.column("row"), pa.array(items, pa.binary())], ["row", "items"])
 
-    found = docs.mapInArrow(fetch, "cls long, n long, bits array<long>, items binary")
-    return found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
+    return docs.mapInArrow(fetch, "row long, items binary").join(chosen, "row").select("cls", "items")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -147,15 +146,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = input_columns(docs).select("*", F.monotonically_increasing_id().alias("row"))
     scanned = durable(_scan(docs), "sets")
     top = scanned.where("kind = 1").groupBy("cls").agg(F.sum("n").alias("n")) \
-        .orderBy(F.desc("n"), "cls").limit(COMMON_MOST).collect()
-    order = spark.sparkContext.broadcast(Order(np.array([r["cls"] for r in top], np.int64).view(np.uint64),
-                                               np.array([r["n"] for r in top], np.int64)))
-    sets = scanned.where("kind = 0").drop("kind")
+        .orderBy(F.desc("n"), "cls").limit(COMMON_MOST).toArrow()
+    order = spark.sparkContext.broadcast(Order(top.column("cls").to_numpy().view(np.uint64), top.column("n").to_numpy()))
+    classes = durable(scanned.where("kind = 2").groupBy("cls").agg(
+        F.min("row").alias("row"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
+    sets = scanned.where("kind = 0").select("row", "doc_id", "cls", "n")
     entries = sets.agg(F.coalesce(F.sum(F.expr("n div 4 + 1")), F.lit(0))).first()[0]
     parts = int(max(4, entries // similarity.ENTRIES_PER_PART + 1))
     tiles = durable(similarity.shared_tiles(_postings(docs, order, parts), parts), "tiles")
-    contents = durable(_contents(docs, tiles.select("cls").distinct()), "contents")
-    linked = durable(similarity.link(tiles, contents), "linked")
+    marks = classes.select("cls", "n", "bits")
+    linked = durable(similarity.link(tiles, marks, lambda wanted: _contents(docs, classes, wanted)), "linked")
 
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), F.col("row")))
     rooted = sets.where("cls <> 0").groupBy("cls").agg(first.alias("least")) \

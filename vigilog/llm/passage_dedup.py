@@ -133,7 +133,7 @@ def _postings(docs: DataFrame, parts: int) -> DataFrame:
     def flush(keys: list, classes: list) -> pa.RecordBatch:
         keys, classes = np.concatenate(keys), np.concatenate(classes)
         once = np.unique(mix(classes.view(np.uint64) + keys), return_index=True)[1]
-        return similarity.pack(keys[once], classes[once], np.zeros(len(once), np.uint8), parts)
+        return similarity.pack(keys[once], classes[once], np.zeros(len(once), np.int64), np.zeros(len(once), np.int64), parts)
 
     return docs.mapInArrow(post, similarity.POSTINGS)
 
@@ -182,7 +182,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     parts = int(max(4, entries // similarity.ENTRIES_PER_PART + 1))
     tiles = durable(similarity.shared_tiles(_postings(docs, parts), parts), "tiles")
     contents = durable(_contents(docs, tiles.select("cls").distinct()), "contents")
-    linked = similarity.link(tiles, contents)
+    linked = similarity.link(tiles, contents.select("cls", "n", "bits"), lambda _: contents.select("cls", "items"))
     named = once.join(linked, F.col("cls") == F.col("node"), "left") \
         .select("cls", "size", "low", "high", "first", F.coalesce("root", "cls").alias("group_id"), F.col("node").isNotNull().alias("links")) \
         .where("size > 1 or links")

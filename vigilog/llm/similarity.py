@@ -8,7 +8,7 @@ of 0.75 or more, without division.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,86 +17,122 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.llm.components import components
+from vigilog.llm.text import mix
 from vigilog.session import durable
 
 ENTRIES_PER_PART = 1_000_000
-FLUSH = 1_500_000
-HOT_LOCAL = 2_000
+FLUSH = 750_000
+HOT_LOCAL = 1_000
+HOT_MARK = 127
+FINE = 8
 FILTER_BITS_MOST = 1 << 28
 
 
 # --- postings: (key, class, band) packed per part, so that the shuffle moves 13 bytes an entry
 
-def pack(keys: np.ndarray, classes: np.ndarray, bands: np.ndarray, parts: int) -> pa.RecordBatch:
+def size_band(n: np.ndarray) -> np.ndarray:
+    """Size on a scale of FINE steps per factor 4/3, the smallest ratio of similar sets."""
+    return np.floor(np.log(np.maximum(n, 1)) / np.log(4 / 3) * FINE + 1e-9).astype(np.int64)
+
+
+def partner_limit(n: int, count: int) -> np.ndarray:
+    """For each place i in a set's order, the band of the largest set with which it can be the first in common.
+
+    All that sets of n and m have in common is then from place i on, so
+    n - i >= 3/7 (n + m), which is m <= (4 n - 7 i) / 3.
+    """
+    most = (4 * n - 7 * np.arange(count)) // 3
+    return np.where(most >= 1, size_band(most), -1)
+
+
+def pack(keys: np.ndarray, classes: np.ndarray, bands: np.ndarray, limits: np.ndarray, parts: int) -> pa.RecordBatch:
     """Entries as one row per part.
 
     Where one flush has HOT_LOCAL entries on a key, they go to parts of their
     own by class, so that such a key never meets in one task; one of each band
     goes to the key's part too, for entries of other tasks to meet.
     """
-    whole = keys.astype(np.int64) << 8 | bands
-    order = np.argsort(whole, kind="stable")
-    whole, keys, classes, bands = whole[order], keys[order], classes[order], bands[order]
+    whole = keys.astype(np.int64) << 16 | bands
+    order = np.lexsort((-limits, whole))
+    whole, keys, classes, bands, limits = whole[order], keys[order], classes[order], bands[order], limits[order]
     heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     runs = np.diff(np.r_[heads, len(keys)])
     hot = np.repeat(runs >= HOT_LOCAL, runs)
     lead = np.flatnonzero(hot & np.r_[True, whole[1:] != whole[:-1]])
     spread = ((classes.view(np.uint64) >> np.uint64(7)) % np.uint64(parts)).astype(np.int64)
     part = np.r_[np.where(hot, parts + spread, keys.astype(np.int64) % parts), keys[lead].astype(np.int64) % parts]
-    keys, classes, bands = np.r_[keys, keys[lead]], np.r_[classes, classes[lead]], np.r_[bands, bands[lead]]
     order = np.argsort(part, kind="stable")
-    part, keys, classes, bands = part[order], keys[order], classes[order], bands[order]
+    above = (limits - bands).clip(-128, HOT_MARK - 1).astype(np.int8)
+    columns = [np.r_[x, x[lead]][order] for x in (keys, classes, bands.astype(np.uint16))]
+    columns.append(np.r_[above, np.full(len(lead), HOT_MARK, np.int8)][order])
+    part = part[order]
     starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
     ends = np.r_[starts[1:], len(part)]
-    return pa.RecordBatch.from_arrays([
-        pa.array(part[starts], pa.int64()),
-        pa.array([keys[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()),
-        pa.array([classes[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()),
-        pa.array([bands[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary())],
-        ["part", "keys", "classes", "bands"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[starts], pa.int64()), *[pa.array([x[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()) for x in columns]],
+        ["part", "keys", "classes", "bands", "limits"])
+
+
+POSTINGS = "part long, keys binary, classes binary, bands binary, limits binary"
 
 
-POSTINGS = "part long, keys binary, classes binary, bands binary"
+def _partnered(tiles: np.ndarray, bands: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Which entries, in order of tile and band, have another one in their tile that is not above their limit."""
+    if not len(tiles):
+        return np.zeros(0, bool)
+    head = np.r_[True, tiles[1:] != tiles[:-1]]
+    first = np.flatnonzero(head)[np.cumsum(head) - 1]
+    other = np.where(np.arange(len(tiles)) == first, np.minimum(first + 1, len(tiles) - 1), first)
+    return (tiles[other] == tiles) & (other != np.arange(len(tiles))) & (bands[other] <= limits)
 
 
 def shared_tiles(postings: DataFrame, parts: int) -> DataFrame:
-    """Tiles (key and size band) with two classes or more: ``tile``, ``cls``.
+    """Tiles (key and size band) with classes that can be similar: ``tile``, ``cls``.
 
     A class is in its own band and the next, so that classes of one or of two
-    neighbouring bands meet.
+    neighbouring bands meet. A tile is named by its classes: the shingles of one
+    passage make the same tile, once. A tile that is spread over parts is named by its key.
     """
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         keys = np.frombuffer(b"".join(pdf["keys"]), np.uint32).astype(np.int64)
         classes = np.frombuffer(b"".join(pdf["classes"]), np.int64)
-        bands = np.frombuffer(b"".join(pdf["bands"]), np.uint8).astype(np.int64)
-        if pdf["part"].iloc[0] < parts:  # most keys have one class: drop those first
+        bands = np.frombuffer(b"".join(pdf["bands"]), np.uint16).astype(np.int64)
+        limits = bands + np.frombuffer(b"".join(pdf["limits"]), np.int8)
+        own = pdf["part"].iloc[0] < parts  # not one of the spread parts
+        if own:  # most keys have one class: drop those first
             order = np.argsort(keys, kind="stable")
-            keys, classes, bands = keys[order], classes[order], bands[order]
+            keys, classes, bands, limits = keys[order], classes[order], bands[order], limits[order]
             same = keys[1:] == keys[:-1]
             keep = np.r_[same, False] | np.r_[False, same]
-            keys, classes, bands = keys[keep], classes[keep], bands[keep]
-        tiles = np.r_[keys << 8 | bands, keys << 8 | bands + 1]
-        classes = np.r_[classes, classes]
-        order = np.lexsort((classes, tiles))
-        tiles, classes = tiles[order], classes[order]
-        if len(tiles):
-            fresh = np.r_[True, (tiles[1:] != tiles[:-1]) | (classes[1:] != classes[:-1])]
-            tiles, classes = tiles[fresh], classes[fresh]
-        if pdf["part"].iloc[0] < parts:
-            same = tiles[1:] == tiles[:-1]
-            keep = np.r_[same, False] | np.r_[False, same] if len(tiles) else np.zeros(0, bool)
-            tiles, classes = tiles[keep], classes[keep]
-        return pd.DataFrame({"tile": tiles, "cls": classes})
-
-    return postings.groupBy("part").applyInPandas(meet, "tile long, cls long")
+            keys, classes, bands, limits = keys[keep], classes[keep], bands[keep], limits[keep]
+        tiles = np.r_[keys << 8 | bands // FINE, keys << 8 | bands // FINE + 1]
+        classes, bands, limits = np.r_[classes, classes], np.r_[bands, bands], np.r_[limits, limits]
+        order = np.lexsort((classes, bands, tiles))
+        tiles, classes, bands, limits = tiles[order], classes[order], bands[order], limits[order]
+        fresh = np.r_[True, (tiles[1:] != tiles[:-1]) | (classes[1:] != classes[:-1])][:len(tiles)]
+        tiles, classes, bands, limits = tiles[fresh], classes[fresh], bands[fresh], limits[fresh]
+        marked = np.unique(tiles[limits - bands == HOT_MARK])
+        for _ in range(2 * own):
+            keep = _partnered(tiles, bands, limits)
+            tiles, classes, bands, limits = tiles[keep], classes[keep], bands[keep], limits[keep]
+        heads = np.flatnonzero(np.r_[True, tiles[1:] != tiles[:-1]][:len(tiles)])
+        runs = np.diff(np.r_[heads, len(tiles)])
+        if own and len(tiles):
+            names = mix(np.add.reduceat(mix(classes.view(np.uint64)), heads) + runs.astype(np.uint64))
+            names = np.where(np.isin(tiles[heads], marked), mix(tiles[heads].view(np.uint64)), names)
+        else:
+            names = mix(tiles[heads].view(np.uint64))
+        return pd.DataFrame({"tile": np.repeat(names, runs).view(np.int64), "cls": classes})
+
+    return postings.groupBy("part").applyInPandas(meet, "tile long, cls long").distinct()
 
 
 # --- a membership filter of bounded size for classes
 
 def class_filter(classes: DataFrame) -> np.ndarray:
-    """Bits of the classes for a cheap first test; a bit may be set by chance, never missing.
+    """Bits of the numbers in the only column, for a cheap first test; a bit may be set by chance, never missing.
 
-    Sixteen bits a class, FILTER_BITS_MOST (32 MB) at most; beyond that it only lets more through.
+    Sixteen bits a number, FILTER_BITS_MOST (32 MB) at most; beyond that it only lets more through.
     """
     count = classes.count()
     bits = 1 << 16
@@ -107,7 +143,7 @@ def class_filter(classes: DataFrame) -> np.ndarray:
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine: dict[int, np.ndarray] = {}
         for batch in batches:
-            at = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) % np.uint64(bits)
+            at = mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) % np.uint64(bits)
             at = np.unique(at.astype(np.int64))
             for number in np.unique(at // block):
                 own = mine.setdefault(int(number), np.zeros(block, np.uint8))
@@ -122,7 +158,7 @@ def class_filter(classes: DataFrame) -> np.ndarray:
             total |= np.frombuffer(other, np.uint8)
         return pd.DataFrame({"block": [pdf["block"].iloc[0]], "bits": [total.tobytes()]})
 
-    blocks = classes.select("cls").mapInArrow(local, "block long, bits binary") \
+    blocks = classes.mapInArrow(local, "block long, bits binary") \
         .groupBy("block").applyInPandas(join, "block long, bits binary")
     total = np.zeros(bits // 8, np.uint8)
     for row in blocks.collect():  # 32 MB at most
@@ -132,7 +168,7 @@ def class_filter(classes: DataFrame) -> np.ndarray:
 
 def may_have(bits: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Which classes pass the filter."""
-    at = classes.view(np.uint64) % np.uint64(len(bits) * 8)
+    at = mix(classes.view(np.uint64)) % np.uint64(len(bits) * 8)
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
 
 
@@ -152,13 +188,16 @@ def _possible(left: str, right: str) -> Column:
     return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * most >= 3 * (n + m))
 
 
-def verify(pairs: DataFrame, contents: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets are similar, each once."""
-    marks = contents.select("cls", "n", "bits")
-    pruned = pairs.select("a", "b").distinct() \
-        .join(marks.alias("x"), F.col("a") == F.col("x.cls")).join(marks.alias("y"), F.col("b") == F.col("y.cls")) \
-        .where(_possible("x", "y")).select("a", "b")
-    items = contents.select("cls", "items")
+Fetch = Callable[[DataFrame], DataFrame]
+
+
+def verify(pairs: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
+    """The pairs ``a``, ``b`` whose sets are similar, each once. Only sets of pairs that the bounds let pass are fetched."""
+    pruned = durable(
+        pairs.select("a", "b").distinct()
+        .join(marks.alias("x"), F.col("a") == F.col("x.cls")).join(marks.alias("y"), F.col("b") == F.col("y.cls"))
+        .where(_possible("x", "y")).select("a", "b"), "pairs")
+    items = durable(fetch(pruned.select(F.col("a").alias("cls")).union(pruned.select("b")).distinct()), "items")
     sets = pruned.join(items.alias("x"), F.col("a") == F.col("x.cls")) \
         .join(items.alias("y"), F.col("b") == F.col("y.cls")) \
         .select("a", "b", F.col("x.items").alias("s"), F.col("y.items").alias("t"))
@@ -175,7 +214,7 @@ def verify(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     return sets.mapInArrow(exact, "a long, b long")
 
 
-def link(tiles: DataFrame, contents: DataFrame) -> DataFrame:
+def link(tiles: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
     """Components of similar classes that share a tile: ``node``, ``root``; classes without a link are absent.
 
     First every class of a tile is compared with the tile's smallest: linear in
@@ -186,7 +225,7 @@ def link(tiles: DataFrame, contents: DataFrame) -> DataFrame:
     """
     first = tiles.groupBy("tile").agg(F.min("cls").alias("a"))
     star = tiles.join(first, "tile").where("cls <> a").select("a", F.col("cls").alias("b"))
-    found = durable(verify(star, contents), "star")
+    found = durable(verify(star, marks, fetch), "star")
     known = durable(components(found), "known")
     labelled = tiles.join(known, F.col("cls") == F.col("node"), "left") \
         .select("tile", "cls", F.coalesce("root", "cls").alias("comp"))
@@ -194,11 +233,11 @@ def link(tiles: DataFrame, contents: DataFrame) -> DataFrame:
         .agg(F.max(F.struct("count", "comp")).getField("comp").alias("major"), F.count("*").alias("k")) \
         .where("k > 1").drop("k")
     rows = durable(labelled.join(mixed, "tile")
-                   .join(contents.select("cls", "n", "bits"), "cls"), "mixed")
+                   .join(marks, "cls"), "mixed")
     near = rows.alias("x").join(
         rows.where("comp <> major").alias("y"),
         (F.col("x.tile") == F.col("y.tile")) & (F.col("x.comp") != F.col("y.comp"))
         & ((F.col("x.comp") == F.col("x.major")) | (F.col("x.cls") < F.col("y.cls"))) & _possible("x", "y")) \
         .select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
-    more = verify(near, contents)
+    more = verify(near, marks, fetch)
     return components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))

@@ -11,10 +11,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHINGLE = 5
+BATCH_ROWS = 1_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [np.uint64(pow(0xD1342543DE82EF95, j, 1 << 64)) for j in range(SHINGLE)]
 _CACHE = 400_000
@@ -32,8 +33,16 @@ def lower_ascii(text: Column) -> Column:
         F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python tasks a thousand at a time, unless the session asks for fewer: they can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS or int(spark.conf.get(name)) <= 0:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def input_columns(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` alone, so that other columns never matter."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 

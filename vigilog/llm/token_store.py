@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from vigilog.llm.text import raw
+from vigilog.llm.text import raw, small_batches
 from vigilog.session import durable, scratch_dir
 
 END = 2
@@ -206,6 +206,7 @@ def write(docs: DataFrame, path: str, file: str, end: int = END) -> None:
     vocabulary. Parts are ranges of doc_id by quantiles; what is shuffled is already coded.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     size = max(Tokenizer.from_file(file).get_vocab_size(), end + 1)
     kind = "<u2" if size <= 1 << 16 else "<u4"
     tokens = durable(tokenize(docs, file, end), "tokens")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.text import raw
+from vigilog.llm.text import raw, small_batches
 
 TERMS = 1 << 22            # hashed terms
 TRAINING_ROWS = 20_000     # labelled documents that are fitted on, at most
@@ -110,6 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mach
     labels without a document are passed over, and of repeated documents one row is used.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     sample = labels.where("toxic is not null and doc_id is not null") \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")) \
         .where(fold(F.col("doc_id")) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
