@@ -71,12 +71,12 @@ def spaced(text: bytes | None) -> bytes | None:
 
 
 class Item:
-    """A benchmark item: its words, their kinds, its windows in order."""
+    """A benchmark item: its words, their kinds, its windows in order, as templates and as they are."""
 
     def __init__(self, item_id: int, text: bytes | None, cache: Tokens):
         self.item_id = item_id
         self.own, self.kind, hashed = template(spaced(text), cache)
-        self.windows = positions(hashed)
+        self.windows, self.plain = positions(hashed), positions(self.own)
 
 
 def consistent(item: Item, own: np.ndarray, kind: np.ndarray, offset: int, matched: np.ndarray) -> bool:
@@ -102,9 +102,9 @@ class Block:
         cache = Tokens()
         items = [Item(i, t.encode() if t is not None else None, cache) for i, t in rows]
         self.items = [x for x in items if len(x.own)]
-        hashes = np.concatenate([x.windows for x in self.items] or [np.empty(0, np.uint64)])
-        item = np.repeat(np.arange(len(self.items)), [len(x.windows) for x in self.items])
-        at = np.concatenate([np.arange(len(x.windows)) for x in self.items] or [np.empty(0, np.int64)])
+        hashes = np.concatenate([y for x in self.items for y in (x.windows, x.plain)] or [np.empty(0, np.uint64)])
+        item = np.repeat(np.arange(len(self.items)), [2 * len(x.windows) for x in self.items])
+        at = np.concatenate([np.arange(len(x.windows)) for x in self.items for _ in "ab"] or [np.empty(0, np.int64)])
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.item, self.at = hashes[order], item[order], at[order]
         self.hint = np.zeros(1 << 20, bool)
@@ -113,15 +113,15 @@ class Block:
     def matches(self, text: bytes | None, cache: Tokens) -> list[tuple[int, float, bool]]:
         """Item, share of its windows found, and whether values were changed, of each item in the text."""
         own, kind, hashed = template(spaced(text), cache)
-        windows = positions(hashed)
-        if not len(windows) or not len(self.hashes):
+        if not len(own) or not len(self.hashes):
             return []
+        windows = np.r_[positions(hashed), positions(own)]  # names are not seen in a text without case
         maybe = np.flatnonzero(self.hint[(windows >> np.uint64(44)).astype(np.int64)])
         left, right = np.searchsorted(self.hashes, windows[maybe]), np.searchsorted(self.hashes, windows[maybe], "right")
         maybe, left, right = maybe[left < right], left[left < right], right[left < right]
         if not len(maybe):
             return []
-        place = np.repeat(maybe, right - left)
+        place = np.repeat(maybe % (len(windows) // 2), right - left)
         entry = np.concatenate([np.arange(i, j) for i, j in zip(left, right)])
         item, at = self.item[entry], self.at[entry]
         found = []

@@ -15,7 +15,6 @@ from vigilog.session import durable
 
 COMMON_IN_CHUNK = 2      # documents of a chunk that must share a shingle for it to be counted
 COMMON_MOST = 400_000    # frequent shingles handed to every task (7 MB)
-BITMAP_LONGS = 16
 _CHUNK = 2_000_000
 _LAST = (1 << 63) - 1      # stands for a null doc_id, after all others
 
@@ -35,7 +34,7 @@ def _scan(docs: DataFrame) -> DataFrame:
                 if cls and cls not in seen:
                     seen.add(cls)
                     fresh.append(i)
-                    bits.append(bitmap(shingles, BITMAP_LONGS))
+                    bits.append(bitmap(shingles))
                     held.append(shingles)
                     size += len(shingles)
                 if size >= _CHUNK:
@@ -122,7 +121,7 @@ def _contents(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFra
             items = [x.tobytes() for x in shingle_sets(raw(mine.column("text")), cache)]
             yield pa.RecordBatch.from_arrays([mine.column("row"), pa.array(items, pa.binary())], ["row", "items"])
 
-    return docs.mapInArrow(fetch, "row long, items binary").join(chosen, "row").select("cls", "items")
+    return durable(docs.mapInArrow(fetch, "row long, items binary").join(chosen, "row").select("cls", "items"), "items")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

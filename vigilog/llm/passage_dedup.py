@@ -16,7 +16,6 @@ from vigilog.session import durable
 LENGTH = 30          # words of a unit
 SPACING = 22         # any run of LENGTH + SPACING - 1 = 51 words holds a whole unit of its own
 BANDS, ROWS = 4, 2   # at similarity 0.75: 1 - (1 - 0.75**2)**4 = 0.963 of pairs collide; equal units always do
-BITMAP_LONGS = 4
 _SHINGLES = LENGTH - SHINGLE + 1
 _CHUNK_WORDS = 300_000
 _SEEDS = [np.uint64(pow(0xA3EC647659359ACD, j + 1, 1 << 64) | 1) for j in range(BANDS * ROWS)]
@@ -113,54 +112,53 @@ def _places(docs: DataFrame) -> DataFrame:
 
 
 def _postings(docs: DataFrame, parts: int) -> DataFrame:
-    """Band keys of the distinct units of a task."""
+    """Band keys of the distinct units of a task, with a tag of the document."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, keys, classes, size = WordHash(), [], [], 0
-        for _, _, texts in _chunks(batches):
-            _, _, shingles, at = units(texts, cache)
+        cache, held, size = WordHash(), [], 0
+        for rows, _, texts in _chunks(batches):
+            text, _, shingles, at = units(texts, cache)
             cls, pick = np.unique(contents_hash(shingles, at), return_index=True)
+            tags = (mix(np.array(rows, np.int64).view(np.uint64)) & np.uint64(0xFFFF)).astype(np.int64)[text[pick]]
             for key in band_keys(shingles, at[pick]):
-                keys.append(key)
-                classes.append(cls)
+                held.append((key, cls, tags))
                 size += len(cls)
             if size >= similarity.FLUSH:
-                yield flush(keys, classes)
-                keys, classes, size = [], [], 0
+                yield flush(held)
+                held, size = [], 0
         if size:
-            yield flush(keys, classes)
+            yield flush(held)
 
-    def flush(keys: list, classes: list) -> pa.RecordBatch:
-        keys, classes = np.concatenate(keys), np.concatenate(classes)
+    def flush(held: list) -> pa.RecordBatch:
+        keys, classes, tags = map(np.concatenate, zip(*held))
         once = np.unique(mix(classes.view(np.uint64) + keys), return_index=True)[1]
-        return similarity.pack(keys[once], classes[once], np.zeros(len(once), np.int64), np.zeros(len(once), np.int64), parts)
+        return similarity.pack(keys[once], classes[once], tags[once], tags[once], parts)
 
     return docs.mapInArrow(post, similarity.POSTINGS)
 
 
-def _contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Shingle sets of the wanted units, once each."""
-    bits = docs.sparkSession.sparkContext.broadcast(similarity.class_filter(wanted))
+def _contents(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Shingle sets of the chosen units (``cls``, ``row``), from one row each."""
+    spark = docs.sparkSession
+    rows_wanted = spark.sparkContext.broadcast(similarity.class_filter(chosen.select("row").distinct()))
+    wanted = spark.sparkContext.broadcast(similarity.class_filter(chosen.select("cls")))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen = WordHash(), set()
-        for _, _, texts in _chunks(batches):
-            _, _, shingles, at = units(texts, cache)
-            classes, pick = np.unique(contents_hash(shingles, at), return_index=True)
-            chosen = similarity.may_have(bits.value, classes)
-            rows = []
-            for cls, p in zip(classes[chosen].tolist(), at[pick][chosen].tolist()):
-                if cls not in seen:
-                    seen.add(cls)
-                    items = np.unique(shingles[p:p + _SHINGLES])
-                    rows.append((cls, len(items), bitmap(items, BITMAP_LONGS).tolist(), items.tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(
-                    zip(*rows) if rows else ([], [], [], []),
-                    (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))], ["cls", "n", "bits", "items"])
-
-    found = docs.mapInArrow(fetch, "cls long, n long, bits array<long>, items binary")
-    return found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
+        cache = WordHash()
+        mine = (batch.filter(pa.array(similarity.may_have(rows_wanted.value, batch.column("row").to_numpy(zero_copy_only=False))))
+                for batch in batches)
+        for rows, _, texts in _chunks(mine):
+            text, _, shingles, at = units(texts, cache)
+            classes = contents_hash(shingles, at)
+            picked = np.flatnonzero(similarity.may_have(wanted.value, classes))
+            sets = [np.unique(shingles[p:p + _SHINGLES]) for p in at[picked].tolist()]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.array(rows, np.int64)[text[picked]]), pa.array(classes[picked]), pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([bitmap(x) for x in sets], pa.list_(pa.int64())), pa.array([x.tobytes() for x in sets], pa.binary())],
+                ["row", "cls", "n", "bits", "items"])
+
+    found = docs.mapInArrow(fetch, "row long, cls long, n long, bits array<long>, items binary")
+    return found.join(chosen, ["row", "cls"], "left_semi").dropDuplicates(["cls"])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -180,9 +178,10 @@ def repeats(docs: DataFrame) -> DataFrame:
         F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "row")).alias("first")), "units")
     entries = once.count() * BANDS
     parts = int(max(4, entries // similarity.ENTRIES_PER_PART + 1))
-    tiles = durable(similarity.shared_tiles(_postings(docs, parts), parts), "tiles")
-    contents = durable(_contents(docs, tiles.select("cls").distinct()), "contents")
-    linked = similarity.link(tiles, contents.select("cls", "n", "bits"), lambda _: contents.select("cls", "items"))
+    tiles = durable(similarity.shared_tiles(_postings(docs, parts), parts, tags=True), "tiles")
+    chosen = durable(tiles.select("cls").distinct().join(once.select("cls", F.col("first.row").alias("row")), "cls"), "chosen")
+    contents = durable(_contents(docs, chosen), "contents")
+    linked = similarity.link(tiles, contents.select("cls", "n", "bits", "row"), lambda _: contents.select("cls", "items"))
     named = once.join(linked, F.col("cls") == F.col("node"), "left") \
         .select("cls", "size", "low", "high", "first", F.coalesce("root", "cls").alias("group_id"), F.col("node").isNotNull().alias("links")) \
         .where("size > 1 or links")

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilog.llm.components import components
@@ -25,6 +25,7 @@ FLUSH = 750_000
 HOT_LOCAL = 1_000
 HOT_MARK = 127
 FINE = 8
+CENTERS = 4
 FILTER_BITS_MOST = 1 << 28
 
 
@@ -86,9 +87,11 @@ def _partnered(tiles: np.ndarray, bands: np.ndarray, limits: np.ndarray) -> np.n
     return (tiles[other] == tiles) & (other != np.arange(len(tiles))) & (bands[other] <= limits)
 
 
-def shared_tiles(postings: DataFrame, parts: int) -> DataFrame:
+def shared_tiles(postings: DataFrame, parts: int, tags: bool = False) -> DataFrame:
     """Tiles (key and size band) with classes that can be similar: ``tile``, ``cls``.
 
+    With ``tags`` the bands are tags of documents, not sizes: a tile is a key, and one of a single document is left out.
+
     A class is in its own band and the next, so that classes of one or of two
     neighbouring bands meet. A tile is named by its classes: the shingles of one
     passage make the same tile, once. A tile that is spread over parts is named by its key.
@@ -105,14 +108,26 @@ def shared_tiles(postings: DataFrame, parts: int) -> DataFrame:
             same = keys[1:] == keys[:-1]
             keep = np.r_[same, False] | np.r_[False, same]
             keys, classes, bands, limits = keys[keep], classes[keep], bands[keep], limits[keep]
-        tiles = np.r_[keys << 8 | bands // FINE, keys << 8 | bands // FINE + 1]
-        classes, bands, limits = np.r_[classes, classes], np.r_[bands, bands], np.r_[limits, limits]
+        if tags:
+            tiles = keys << 8
+        else:
+            tiles = np.r_[keys << 8 | bands // FINE, keys << 8 | bands // FINE + 1]
+            classes, bands, limits = np.r_[classes, classes], np.r_[bands, bands], np.r_[limits, limits]
         order = np.lexsort((classes, bands, tiles))
         tiles, classes, bands, limits = tiles[order], classes[order], bands[order], limits[order]
+        if tags and own and len(tiles):  # in order of tag: the first and the last differ
+            head = np.r_[True, tiles[1:] != tiles[:-1]]
+            first = np.flatnonzero(head)
+            last = np.r_[first[1:], len(tiles)] - 1
+            several = (bands[first] != bands[last]) | np.isin(tiles[first], tiles[limits - bands == HOT_MARK])
+            keep = np.repeat(several, last - first + 1)
+            tiles, classes, bands, limits = tiles[keep], classes[keep], bands[keep], limits[keep]
+            order = np.lexsort((classes, tiles))
+            tiles, classes, bands, limits = tiles[order], classes[order], bands[order], limits[order]
         fresh = np.r_[True, (tiles[1:] != tiles[:-1]) | (classes[1:] != classes[:-1])][:len(tiles)]
         tiles, classes, bands, limits = tiles[fresh], classes[fresh], bands[fresh], limits[fresh]
         marked = np.unique(tiles[limits - bands == HOT_MARK])
-        for _ in range(2 * own):
+        for _ in range(2 * (own and not tags)):
             keep = _partnered(tiles, bands, limits)
             tiles, classes, bands, limits = tiles[keep], classes[keep], bands[keep], limits[keep]
         heads = np.flatnonzero(np.r_[True, tiles[1:] != tiles[:-1]][:len(tiles)])
@@ -175,17 +190,33 @@ def may_have(bits: np.ndarray, classes: np.ndarray) -> np.ndarray:
 # --- links
 
 def overlap_bound(n: Column, bits: Column, other_bits: Column) -> Column:
-    """Most elements a set can have in common with another: each bit the other lacks is an element it lacks."""
-    lacking = F.aggregate(F.zip_with(bits, other_bits, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))),
+    """Most elements a set can have in common with another: each bit the other lacks is an element it lacks.
+
+    Lengths are powers of two; the longer bitmap is folded onto the shorter.
+    """
+    lacking = F.aggregate(F.zip_with(_fold(bits, other_bits), _fold(other_bits, bits),
+                                     lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))),
                           F.lit(0), lambda total, x: total + x)
     return n - lacking
 
 
+def _fold(bits: Column, other: Column) -> Column:
+    """``bits`` once folded if longer than ``other``; sizes in a ratio up to 4/3 differ by one doubling at most."""
+    half = F.size(other)
+    folded = F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseOR(y))
+    return F.when(F.size(bits) > half, folded).otherwise(bits)
+
+
 def _possible(left: str, right: str) -> Column:
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
     most = F.least(overlap_bound(n, F.col(f"{left}.bits"), F.col(f"{right}.bits")),
                    overlap_bound(m, F.col(f"{right}.bits"), F.col(f"{left}.bits")))
-    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * most >= 3 * (n + m))
+    return F.when(4 * F.least(n, m) >= 3 * F.greatest(n, m), 7 * most >= 3 * (n + m)).otherwise(False)
+
+
+def _apart(marks: DataFrame) -> Column:
+    """Where marks name a row of each class, classes of one row are not compared."""
+    return F.col("x.row") != F.col("y.row") if "row" in marks.columns else F.lit(True)
 
 
 Fetch = Callable[[DataFrame], DataFrame]
@@ -196,8 +227,8 @@ def verify(pairs: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
     pruned = durable(
         pairs.select("a", "b").distinct()
         .join(marks.alias("x"), F.col("a") == F.col("x.cls")).join(marks.alias("y"), F.col("b") == F.col("y.cls"))
-        .where(_possible("x", "y")).select("a", "b"), "pairs")
-    items = durable(fetch(pruned.select(F.col("a").alias("cls")).union(pruned.select("b")).distinct()), "items")
+        .where(_apart(marks) & _possible("x", "y")).select("a", "b"), "pairs")
+    items = fetch(pruned.select(F.col("a").alias("cls")).union(pruned.select("b")).distinct())
     sets = pruned.join(items.alias("x"), F.col("a") == F.col("x.cls")) \
         .join(items.alias("y"), F.col("b") == F.col("y.cls")) \
         .select("a", "b", F.col("x.items").alias("s"), F.col("y.items").alias("t"))
@@ -217,14 +248,15 @@ def verify(pairs: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
 def link(tiles: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
     """Components of similar classes that share a tile: ``node``, ``root``; classes without a link are absent.
 
-    First every class of a tile is compared with the tile's smallest: linear in
-    its size, and enough for a group of near copies. Then only classes of one
+    First every class of a tile is compared with a few of its smallest: linear in
+    its size, and enough for most groups of near copies. Then only classes of one
     tile in different components are compared, those outside the tile's largest
     component with all others, so that no similar pair is missed and no group of
     copies is multiplied out.
     """
-    first = tiles.groupBy("tile").agg(F.min("cls").alias("a"))
-    star = tiles.join(first, "tile").where("cls <> a").select("a", F.col("cls").alias("b"))
+    smallest = F.row_number().over(Window.partitionBy("tile").orderBy("cls"))
+    centers = tiles.withColumn("rank", smallest).where(F.col("rank") <= CENTERS).select("tile", F.col("cls").alias("a"))
+    star = tiles.join(centers, "tile").where("cls <> a").select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
     found = durable(verify(star, marks, fetch), "star")
     known = durable(components(found), "known")
     labelled = tiles.join(known, F.col("cls") == F.col("node"), "left") \
@@ -237,7 +269,7 @@ def link(tiles: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
     near = rows.alias("x").join(
         rows.where("comp <> major").alias("y"),
         (F.col("x.tile") == F.col("y.tile")) & (F.col("x.comp") != F.col("y.comp"))
-        & ((F.col("x.comp") == F.col("x.major")) | (F.col("x.cls") < F.col("y.cls"))) & _possible("x", "y")) \
+        & ((F.col("x.comp") == F.col("x.major")) | (F.col("x.cls") < F.col("y.cls"))) & _apart(marks) & _possible("x", "y")) \
         .select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
     more = verify(near, marks, fetch)
     return components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))

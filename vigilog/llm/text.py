@@ -98,8 +98,12 @@ def set_hash(shingles: np.ndarray) -> int:
     return int(total.view(np.int64)[0])
 
 
-def bitmap(shingles: np.ndarray, longs: int) -> np.ndarray:
-    """Bits hit by the shingles, as signed 64-bit words."""
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """Bits hit by the shingles, four bits a shingle or more, as signed 64-bit words: a power of two of them."""
+    longs = 4
+    while longs * 16 < len(shingles):
+        longs *= 2
+    at = (shingles % np.uint64(longs * 64)).astype(np.int64)
     bits = np.zeros(longs * 64, np.uint8)
-    bits[(shingles % np.uint64(longs * 64)).astype(np.int64)] = 1
+    bits[at] = 1
     return np.packbits(bits).view(np.int64)
