@@ -52,8 +52,12 @@ class WordIds(dict):
         return value
 
     def _fresh(self, word: bytes) -> bytes:
-        if b"<" in word or not word.isascii():
+        if b"<" in word:
             return self._encode(word)
+        if not word.isascii():
+            stem = word.rstrip(_PUNCTUATION)
+            letter = stem.decode("utf-8", "replace")[-1:].lower()[-1:]
+            return self._encode(word) if stem == word or not letter.isalpha() else self[stem] + self[word[len(stem):]]
         low = word.lower()
         stem = low.rstrip(_PUNCTUATION)
         if stem == low or not stem[-1:].isalnum():
