@@ -2,12 +2,14 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import as_values, record, rows
 from vigilog import schema as S
 from vigilog.functions import codes, ip, numbers, text, times
 from vigilog.operators import parsing, quality, stats, views
+from vigilog.session import scratch_dir
 from vigilog.sources import kafka
 
 
@@ -184,15 +186,17 @@ def test_severe_records_by_header(spark):
     assert [r.i for r in kafka.severe_records(df).orderBy("i").collect()] == [0, 2]
 
 
-def test_kafka_arrival_numbers(spark):
-    df = spark.createDataFrame([(0, 5), (0, 6), (1, 0), (2, 0)], "partition int, offset long")
-    seqs = [r.arrival_seq for r in kafka.arrival_seq(df).orderBy("partition", "offset").collect()]
-    assert seqs == sorted(set(seqs))
+def test_kafka_arrival_order_spans_partitions(spark):
+    """The newest records of a topic are those received last, whatever their partitions' lengths."""
+    rows = [(p, o, f"2025-01-01 00:00:{(o * 4 + p) % 60:02d}") for p, n in enumerate((3, 9, 1, 6)) for o in range(n)]
+    df = spark.createDataFrame(rows, "partition int, offset long, t string").withColumn("timestamp", F.col("t").cast("timestamp"))
+    got = [(r.partition, r.offset) for r in views.retain_last(kafka.arrival_seq(df), 5).collect()]
+    assert set(got) == {x[:2] for x in sorted(rows, key=lambda r: (r[2], r[0], r[1]))[-5:]}
 
 
 def test_kafka_source_options():
     o = kafka.source_options("h:9092", "t", from_beginning=False, max_per_trigger=10, min_per_trigger=10)
-    assert o["startingOffsets"] == "latest" and o["subscribe"] == "t"
+    assert o["startingOffsets"] == "latest" and o["subscribe"] == "t" and o["failOnDataLoss"] == "true"
     assert (o["maxOffsetsPerTrigger"], o["minOffsetsPerTrigger"], o["maxTriggerDelay"]) == ("10", "10", "2s")
     assert kafka.source_options("h:9092", "t")["startingOffsets"] == "earliest"
 
@@ -229,3 +233,12 @@ def test_timeline_needs_more_than_five_events(spark):
 def test_brief_parse_reads_nine_fields(spark):
     parsed = parsing.parse_value(as_values(spark, [record(0)]), schema=S.BRIEF_EVENT)
     assert len(S.BRIEF_EVENT) == 9 and parsed.first().source_system == "web-portal"
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "yarn"}.get(key, default))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session, "x")

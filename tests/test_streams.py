@@ -91,10 +91,21 @@ def test_an_event_without_time_takes_its_arrival(spark, tmp_path):
     write_lines(tmp_path / "in", "a.json", [record(0, timestamp=None), record(1, timestamp="bad"), record(2)])
     source = files.stream_json(spark, str(tmp_path / "in"))
     ids = {r.event_id: r.ts.year for r in drain(ingest.accepted_events(source), tmp_path).collect()}
-    assert set(ids) == {"id-0", "id-2"} and ids["id-2"] == 2025 and ids["id-0"] > 2025
+    assert set(ids) == {"id-0", "id-1", "id-2"} and ids["id-2"] == 2025 and min(ids["id-0"], ids["id-1"]) > 2025
     stamped = source.withColumn("received_at", F.lit("2024-02-03T04:05:06Z").cast("timestamp"))
     ids = {r.event_id: r.ts.year for r in drain(ingest.accepted_events(stamped), tmp_path, "b").collect()}
-    assert ids == {"id-0": 2024, "id-2": 2025}
+    assert ids == {"id-0": 2024, "id-1": 2024, "id-2": 2025}
+
+
+def test_the_consumer_takes_every_readable_record(spark, tmp_path):
+    folder = tmp_path / "in"
+    write_lines(folder, "a.json", [record(0), record(1, timestamp="2099-01-01T00:00:00Z"), record(2, event_id=None), record(3, event_type=None)])
+    write_lines(folder, "b.json", [record(4, event_type="EventType.LOGOUT"), record(5, geo_location={}), record(6, timestamp="bad")])
+    write_lines(folder, "c.json", [record(7, message=None), record(8, timestamp="2025-03-01T00:00:00Z"), record(0, severity="LOW"), "{broken"])
+    source = files.stream_json(spark, str(folder)).withColumn("arrival_seq", F.crc32("value"))
+    ingest.consume(source, str(tmp_path / "out"), str(tmp_path / "check"), budget=100).awaitTermination()
+    totals = {r.key: r.n for r in files.load_stats(spark, str(tmp_path / "out/stats")).filter("dimension = 'total'").collect()}
+    assert totals == {"total": 9}
 
 
 def test_late_rows_count_in_totals_but_not_in_the_timeline(spark, tmp_path):

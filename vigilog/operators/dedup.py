@@ -19,8 +19,12 @@ def keep_first(events: DataFrame, key: str = "event_id", order: str = "arrival_s
 
 
 def drop_seen(events: DataFrame, history: DataFrame, key: str = "event_id") -> DataFrame:
-    """Events whose key is not in the history; only the keys of the history travel."""
-    return events.join(history.select(key).distinct(), key, "left_anti")
+    """Events whose key is not in the history; only the keys of the history travel.
+
+    An event without a key is never seen. Nothing stands between the join and
+    its shuffles, so a key that repeats endlessly can be split.
+    """
+    return events.join(history.select(key), key, "left_anti")
 
 
 def append_new(history: DataFrame, events: DataFrame, key: str = "event_id",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilog import schema as S
-from vigilog.functions import codes, times
+from vigilog.functions import codes, text, times
 
 REQUIRED = ["event_id", "event_type", "user_id", "ip_address", "user_agent", "status_code", "message"]
 
@@ -19,7 +19,7 @@ def contract_rules(columns: list[str]) -> dict[str, Column]:
     rules = {f"missing_{c}": F.col(c).isNull() for c in REQUIRED if c in columns}
     for c, domain in [("event_type", S.EVENT_TYPES), ("user_type", S.USER_TYPES), ("severity", S.SEVERITIES)]:
         if c in columns:
-            rules[f"bad_{c}"] = F.col(c).isNotNull() & ~F.col(c).isin(*domain)
+            rules[f"bad_{c}"] = F.col(c).isNotNull() & ~text.strip_enum_prefix(F.col(c)).isin(*domain)
     if "timestamp" in columns:
         rules["bad_timestamp"] = F.col("timestamp").isNotNull() & times.parse_iso(F.col("timestamp")).isNull()
     if "geo_location" in columns:

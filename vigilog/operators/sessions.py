@@ -59,10 +59,14 @@ def session_state(sessions: DataFrame, as_of) -> DataFrame:
 
 
 def session_lookup(events: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
-    """Every event with the session that was live when it happened, if any."""
+    """Every event with the session that was live when it happened, if any.
+
+    A session is live until it expires or, if that is earlier, its last logout.
+    """
     if sessions is None:
         sessions = session_summary(events)
-    table = sessions.select("session_id", F.col("created_at").alias("_from"), F.col("expires_at").alias("_until"))
+    table = sessions.select("session_id", F.col("created_at").alias("_from"), F.least(
+        "expires_at", F.when(F.col("ended_at") >= F.col("created_at"), F.col("ended_at"))).alias("_until"))
     live = F.coalesce(F.col("ts").between(F.col("_from"), F.col("_until")), F.lit(False))
     return (lookup_hot(events, table, "session_id")
             .withColumns({"live": live, "session_start": F.when(live, F.col("_from"))}).drop("_from", "_until"))

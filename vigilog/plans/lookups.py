@@ -41,8 +41,8 @@ def enrich_user(spark, sf_dir):
     return profiled.join(place_table(spark, sf_dir), "c_nationkey", "left").drop("c_nationkey")
 
 
-@query(SE + f"""SELECT event_id, se.session_id, coalesce(ts BETWEEN created_at AND expires_at, false) AS live,
-  CASE WHEN ts BETWEEN created_at AND expires_at THEN created_at END AS session_start
+@query(SE + f"""SELECT event_id, se.session_id, coalesce(ts BETWEEN created_at AND least(expires_at, CASE WHEN ended_at >= created_at THEN ended_at END), false) AS live,
+  CASE WHEN ts BETWEEN created_at AND least(expires_at, CASE WHEN ended_at >= created_at THEN ended_at END) THEN created_at END AS session_start
   FROM se LEFT JOIN ({SESSIONS}) s ON se.session_id = s.session_id""")
 def session_lookup(spark, sf_dir):
     e = sec_events(spark, sf_dir).select("event_id", "session_id", "event_type", "ts")

@@ -119,7 +119,7 @@ ACCEPTED = se_cte(also=f""", kept AS (SELECT event_id FROM (
     FROM (SELECT *, place <= 16 OR {selection.HIGH} OR place % 3 = 0 AS candidate
           FROM (SELECT event_id, severity, CAST(ts AS DATE) AS day,
                   row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY arrival_seq) AS place
-                FROM se WHERE event_id % 19 <> 0 AND NOT (has_geo = 1 AND country IS NULL)) a) b) c
+                FROM se WHERE event_id % 19 <> 0) a) b) c
     WHERE candidate AND accepted <= 30),
   taken AS (SELECT * FROM se WHERE event_id IN (SELECT event_id FROM kept))""")
 

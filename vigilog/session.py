@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,10 +42,14 @@ def build_session(app: str = "vigilog", master: str | None = None, **conf: str)
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared checkpoint folder of the cluster.
 
-    Only a session without ``spark.checkpoint.dir`` (a test) gets a local one.
+    A local session without ``spark.checkpoint.dir`` (a test) gets a temporary
+    one; on a cluster, where executors could not see it, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         root = tempfile.mkdtemp(prefix="vigilog-")
     return f"{root.rstrip('/')}/vigilog/{label}-{uuid.uuid4().hex}"
 

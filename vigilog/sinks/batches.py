@@ -158,7 +158,7 @@ def session_log(out: str, state: str, max_age: str = sessions.MAX_SESSION, laten
         clock = spark.range(1).select(F.timestamp_micros(F.lit(now)).alias("last_seen"))
         merged = sessions.merge_parts(parts.unionByName(clock, allowMissingColumns=True))
         passed = F.timestamp_micros(F.lit(now)) - F.expr(f"INTERVAL {lateness}")
-        over = F.col("session_id").isNotNull() & (sessions.ends_at(max_age) < passed)
+        over = F.col("session_id").isNotNull() & F.coalesce(sessions.ends_at(max_age) < passed, F.lit(False))
         snapshots.write_version(merged.withColumn("over", over), state, batch_id)
         ended = spark.read.parquet(snapshots.version_path(state, batch_id)).filter("over").drop("over")
         write_batch(sessions.session_state(ended.withColumn("expires_at", sessions.ends_at(max_age)), passed)

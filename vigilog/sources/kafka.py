@@ -12,18 +12,20 @@ from vigilog.operators import parsing
 
 
 def source_options(servers: str, topic: str, from_beginning: bool = True, max_per_trigger: int | None = None,
-                   min_per_trigger: int | None = None, max_delay: str = "2s") -> dict[str, str]:
+                   min_per_trigger: int | None = None, max_delay: str = "2s",
+                   fail_on_data_loss: bool = True) -> dict[str, str]:
     """Reader options. Offsets live in the checkpoint of the query, in place of a consumer group.
 
     ``min_per_trigger`` with ``max_delay`` holds a batch back until it has that
-    many records or the delay is over, whichever is first.
+    many records or the delay is over, whichever is first. Offsets that the topic
+    no longer holds end the query, unless ``fail_on_data_loss`` is off.
     """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest" if from_beginning else "latest",
         "includeHeaders": "true",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
@@ -45,9 +47,9 @@ def read_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
 
 
 def arrival_seq(records: DataFrame) -> DataFrame:
-    """Unique number per record that grows with the offset within a partition."""
-    seq = F.shiftleft(F.col("partition").cast("bigint"), 48) + F.col("offset")
-    return records.withColumn("arrival_seq", seq)
+    """Unique, sortable key per record: time received by the topic, then partition and offset."""
+    return records.withColumn("arrival_seq", F.struct(
+        F.col("timestamp").alias("received"), F.col("partition"), F.col("offset")))
 
 
 def severe_records(records: DataFrame) -> DataFrame:

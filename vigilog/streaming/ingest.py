@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from vigilog.functions import times
-from vigilog.operators import parsing, quality
+from vigilog.operators import parsing
 from vigilog.operators.stats import TOTAL, country_key
 from vigilog.sinks import batches
 
@@ -28,26 +28,29 @@ def run_stream(df: DataFrame, on_batch: Callable[[DataFrame, int], None], checkp
 
 
 def accepted_events(records: DataFrame) -> DataFrame:
-    """Records to valid events with defaults and time; broken and invalid ones are left out.
+    """Readable records to events with defaults and time; only unreadable ones are left out.
 
     An event without time takes that of its arrival: of the record, if it has
     one as ``received_at``, else of the micro-batch, which a retry keeps.
     Write ``parsing.parse_value(records)`` with ``sinks.batches.good_and_dead``
-    to keep the broken ones.
+    to keep the broken ones, and ``quality.violations`` to report events that
+    break the contract. ``arrived_at`` is the time of arrival itself.
     """
     good = parsing.good_records(parsing.parse_value(records))
     arrived = F.col("received_at") if "received_at" in records.columns else F.current_timestamp()
-    return (parsing.with_time(parsing.fill_defaults(quality.split_valid(good)[0]))
-            .withColumn("ts", F.coalesce("ts", arrived)))
+    return (parsing.with_time(parsing.fill_defaults(good)).withColumn("arrived_at", arrived)
+            .withColumn("ts", F.coalesce("ts", "arrived_at")))
 
 
-def dedup(events: DataFrame, horizon: str = "1 day", salts: int = 1) -> DataFrame:
+def dedup(events: DataFrame, horizon: str = "1 day", salts: int = 1, clock: str = "ts") -> DataFrame:
     """First arrival per event id; ids are remembered until the watermark passes them.
 
     With ``salts`` above 1 the copies of an id are first reduced in that many
     separate groups, so that one id repeated endlessly does not load one task.
+    Rows behind the watermark are dropped: where the time in ``ts`` is not to be
+    trusted, ``clock`` names a time of arrival.
     """
-    marked = events.withWatermark("ts", horizon)
+    marked = events.withWatermark(clock, horizon)
     if salts > 1:
         salt = F.pmod(F.xxhash64("arrival_seq"), F.lit(salts))
         marked = marked.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
@@ -61,7 +64,7 @@ def consume(records: DataFrame, out: str, checkpoint: str, window_seconds: int =
     parse, validate, drop repeats, sample per time window, then retain and
     count what was accepted. ``records`` has ``value`` and ``arrival_seq``.
     """
-    events = dedup(accepted_events(records), horizon)
+    events = dedup(accepted_events(records), horizon, clock="arrived_at").drop("arrived_at")
     windowed = events.withColumn("window_no", times.time_bucket(F.col("ts"), window_seconds))
     after = batches.persisted(batches.retained(f"{out}/retained", keep), batches.running_stats(f"{out}/stats"))
     sample = batches.sampled(f"{out}/accepted", f"{out}/windows", ["window_no"], budget, then=after)
