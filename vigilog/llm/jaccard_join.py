@@ -153,7 +153,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     entries = sets.agg(F.coalesce(F.sum(F.expr("n div 4 + 1")), F.lit(0))).first()[0]
     parts = int(max(4, entries // similarity.ENTRIES_PER_PART + 1))
     tiles = durable(similarity.shared_tiles(_postings(docs, order, parts), parts), "tiles")
-    marks = classes.select("cls", "n", "bits")
+    marks = durable(classes.join(tiles.select("cls").distinct(), "cls").select("cls", "n", "bits"), "marks")
     linked = durable(similarity.link(tiles, marks, lambda wanted: _contents(docs, classes, wanted)), "linked")
 
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), F.col("row")))

@@ -26,6 +26,8 @@ HOT_LOCAL = 1_000
 HOT_MARK = 127
 FINE = 8
 CENTERS = 4
+MORE_CENTERS = 16
+LIKELY = 2
 FILTER_BITS_MOST = 1 << 28
 
 
@@ -207,11 +209,20 @@ def _fold(bits: Column, other: Column) -> Column:
     return F.when(F.size(bits) > half, folded).otherwise(bits)
 
 
+def _most(left: str, right: str) -> Column:
+    """Most elements in common of two marks, by both bitmaps."""
+    return F.least(overlap_bound(F.col(f"{left}.n"), F.col(f"{left}.bits"), F.col(f"{right}.bits")),
+                   overlap_bound(F.col(f"{right}.n"), F.col(f"{right}.bits"), F.col(f"{left}.bits")))
+
+
 def _possible(left: str, right: str) -> Column:
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    most = F.least(overlap_bound(n, F.col(f"{left}.bits"), F.col(f"{right}.bits")),
-                   overlap_bound(m, F.col(f"{right}.bits"), F.col(f"{left}.bits")))
-    return F.when(4 * F.least(n, m) >= 3 * F.greatest(n, m), 7 * most >= 3 * (n + m)).otherwise(False)
+    return F.when(4 * F.least(n, m) >= 3 * F.greatest(n, m), 7 * _most(left, right) >= 3 * (n + m)).otherwise(False)
+
+
+def _share(left: str, right: str) -> Column:
+    """How similar two marks look: the bound against both sizes."""
+    return (_most(left, right) / (F.col(f"{left}.n") + F.col(f"{right}.n"))).alias("share")
 
 
 def _apart(marks: DataFrame) -> Column:
@@ -222,12 +233,15 @@ def _apart(marks: DataFrame) -> Column:
 Fetch = Callable[[DataFrame], DataFrame]
 
 
-def verify(pairs: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets are similar, each once. Only sets of pairs that the bounds let pass are fetched."""
-    pruned = durable(
-        pairs.select("a", "b").distinct()
-        .join(marks.alias("x"), F.col("a") == F.col("x.cls")).join(marks.alias("y"), F.col("b") == F.col("y.cls"))
-        .where(_apart(marks) & _possible("x", "y")).select("a", "b"), "pairs")
+def bounded(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The distinct pairs ``a``, ``b`` that the bounds let pass, with ``share``."""
+    return pairs.select("a", "b").distinct() \
+        .join(marks.alias("x"), F.col("a") == F.col("x.cls")).join(marks.alias("y"), F.col("b") == F.col("y.cls")) \
+        .where(_apart(marks) & _possible("x", "y")).select("a", "b", _share("x", "y"))
+
+
+def verify(pruned: DataFrame, fetch: Fetch) -> DataFrame:
+    """The pairs ``a``, ``b`` whose sets are similar. Only sets of these pairs are fetched."""
     items = fetch(pruned.select(F.col("a").alias("cls")).union(pruned.select("b")).distinct())
     sets = pruned.join(items.alias("x"), F.col("a") == F.col("x.cls")) \
         .join(items.alias("y"), F.col("b") == F.col("y.cls")) \
@@ -245,31 +259,54 @@ def verify(pairs: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
     return sets.mapInArrow(exact, "a long, b long")
 
 
+def _likely(pairs: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
+    """Similar pairs among the LIKELY best bounded of each ``b``."""
+    best = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("share"), "a"))
+    chosen = bounded(pairs, marks).withColumn("rank", best).where(F.col("rank") <= LIKELY).select("a", "b")
+    return durable(verify(durable(chosen, "pairs"), fetch), "star")
+
+
+def _labelled(tiles: DataFrame, known: DataFrame) -> DataFrame:
+    """Classes of tiles with more than one component: ``tile``, ``cls``, ``comp``, ``major`` (the tile's largest)."""
+    labelled = tiles.join(known, F.col("cls") == F.col("node"), "left") \
+        .select("tile", "cls", F.coalesce("root", "cls").alias("comp"))
+    mixed = labelled.groupBy("tile", "comp").count().groupBy("tile") \
+        .agg(F.max(F.struct("count", "comp")).getField("comp").alias("major"), F.count("*").alias("k")) \
+        .where("k > 1").drop("k")
+    return labelled.join(mixed, "tile")
+
+
 def link(tiles: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
     """Components of similar classes that share a tile: ``node``, ``root``; classes without a link are absent.
 
-    First every class of a tile is compared with a few of its smallest: linear in
-    its size, and enough for most groups of near copies. Then only classes of one
-    tile in different components are compared, those outside the tile's largest
+    First every class of a tile is bounded against its smallest ones and checked
+    with the LIKELY most similar; then those outside the tile's largest
+    component against more, from the other end. Both are linear in the size of
+    a tile, and enough for most groups of near copies. At last only classes of one
+    tile in different components are compared, those outside its largest
     component with all others, so that no similar pair is missed and no group of
     copies is multiplied out.
     """
     smallest = F.row_number().over(Window.partitionBy("tile").orderBy("cls"))
     centers = tiles.withColumn("rank", smallest).where(F.col("rank") <= CENTERS).select("tile", F.col("cls").alias("a"))
     star = tiles.join(centers, "tile").where("cls <> a").select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
-    found = durable(verify(star, marks, fetch), "star")
-    known = durable(components(found), "known")
-    labelled = tiles.join(known, F.col("cls") == F.col("node"), "left") \
-        .select("tile", "cls", F.coalesce("root", "cls").alias("comp"))
-    mixed = labelled.groupBy("tile", "comp").count().groupBy("tile") \
-        .agg(F.max(F.struct("count", "comp")).getField("comp").alias("major"), F.count("*").alias("k")) \
-        .where("k > 1").drop("k")
-    rows = durable(labelled.join(mixed, "tile")
-                   .join(marks, "cls"), "mixed")
+    known = durable(components(_likely(star, marks, fetch)), "known")
+
+    rows = durable(_labelled(tiles, known), "mixed")
+    largest = F.row_number().over(Window.partitionBy("tile").orderBy(F.desc("cls")))
+    others = rows.withColumn("rank", largest).where(F.col("rank") <= MORE_CENTERS).select("tile", F.col("cls").alias("a"), F.col("comp").alias("other"))
+    star = rows.where("comp <> major").join(others, "tile").where("comp <> other").select("a", F.col("cls").alias("b"))
+    known = durable(_joined(known, _likely(star, marks, fetch)), "known")
+
+    rows = durable(_labelled(rows.select("tile", "cls"), known).join(marks, "cls"), "mixed")
     near = rows.alias("x").join(
         rows.where("comp <> major").alias("y"),
         (F.col("x.tile") == F.col("y.tile")) & (F.col("x.comp") != F.col("y.comp"))
         & ((F.col("x.comp") == F.col("x.major")) | (F.col("x.cls") < F.col("y.cls"))) & _apart(marks) & _possible("x", "y")) \
         .select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
-    more = verify(near, marks, fetch)
+    return _joined(known, verify(durable(near.distinct(), "pairs"), fetch))
+
+
+def _joined(known: DataFrame, more: DataFrame) -> DataFrame:
+    """Components of components and further links."""
     return components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
