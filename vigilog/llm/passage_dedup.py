@@ -15,7 +15,7 @@ from vigilog.session import durable
 
 LENGTH = 30          # words of a unit
 SPACING = 22         # any run of LENGTH + SPACING - 1 = 51 words holds a whole unit of its own
-BANDS, ROWS = 4, 2   # at similarity 0.75: 1 - (1 - 0.75**2)**4 = 0.963 of pairs collide; equal units always do
+BANDS, ROWS = 6, 3   # at similarity 0.75: 1 - (1 - 0.75**3)**6 = 0.963 of pairs collide; equal units always do
 _SHINGLES = LENGTH - SHINGLE + 1
 _CHUNK_WORDS = 300_000
 _SEEDS = [np.uint64(pow(0xA3EC647659359ACD, j + 1, 1 << 64) | 1) for j in range(BANDS * ROWS)]
