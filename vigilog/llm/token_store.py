@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,15 +32,22 @@ class WordIds(dict):
     The tokenizer cuts at white space and treats each piece by itself, so a
     text's ids are those of its words in a row. A run of punctuation after a
     letter or digit is a piece of its own, and ASCII case does not matter unless
-    the word may hold a special token.
+    the word may hold a special token. A word of a-z alone is one piece that no
+    rule before the model changes, so the model gets it directly.
     """
 
     def __init__(self, file: str, kind: str):
         super().__init__()
-        self.tokenizer, self.kind, self.older = Tokenizer.from_file(file), kind, {}
+        self.tokenizer, self.older = Tokenizer.from_file(file), {}
+        self.model, self.pack = self.tokenizer.model, {"<u2": "H", "<u4": "I"}[kind]
 
     def _encode(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, self.kind).tobytes()
+        text = word.decode("utf-8", "replace")
+        if word.isalpha() and word.islower():
+            ids = [token.id for token in self.model.tokenize(text)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array(self.pack, ids).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= _CACHE:
