@@ -106,6 +106,11 @@ def test_the_consumer_takes_every_readable_record(spark, tmp_path):
     ingest.consume(source, str(tmp_path / "out"), str(tmp_path / "check"), budget=100).awaitTermination()
     totals = {r.key: r.n for r in files.load_stats(spark, str(tmp_path / "out/stats")).filter("dimension = 'total'").collect()}
     assert totals == {"total": 9}
+    dead = spark.read.parquet(str(tmp_path / "out/dead"))
+    assert [(r.raw, r.reason) for r in dead.collect()] == [("{broken", "unreadable record")]
+    invalid = spark.read.parquet(str(tmp_path / "out/invalid"))
+    assert sorted(tuple(r.violations) for r in invalid.collect()) == [
+        ("bad_timestamp",), ("missing_country",), ("missing_event_id",), ("missing_event_type",), ("missing_message",)]
 
 
 def test_late_rows_count_in_totals_but_not_in_the_timeline(spark, tmp_path):
@@ -148,6 +153,15 @@ def test_sampler_equals_batch(spark, inbox, tmp_path, on):
     assert rows(got.select(*columns)) == rows(want.select(*columns))
 
 
+def test_windows_without_events_leave_the_sampler(spark, tmp_path):
+    step = batches.sampled(str(tmp_path / "out"), str(tmp_path / "state"), ["w"], budget=2, forget_after=2)
+    rows_of = spark.createDataFrame([(i, i // 4, "INFO", f"e{i}") for i in range(24)], "arrival_seq long, w long, severity string, event_id string")
+    for batch_id in range(6):
+        step(rows_of.filter(F.col("w") == batch_id), batch_id)
+        state = spark.read.parquet(snapshots.latest_version(spark, str(tmp_path / "state")))
+        assert sorted(r.w for r in state.collect()) == list(range(max(0, batch_id - 1), batch_id + 1))
+
+
 def test_whole_consumer_on_the_recorded_run(spark, tmp_path):
     """56 events in several batches, all within one window: 30 are accepted, retained and counted."""
     for part in range(0, 56, 12):

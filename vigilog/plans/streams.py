@@ -131,3 +131,12 @@ def stream_consume(spark, sf_dir):
     root = scratch_dir(spark, "consume")
     ingest.consume(records_, f"{root}/out", f"{root}/checkpoint", window_seconds=86400, horizon="31 days").awaitTermination()
     return files.load_stats(spark, f"{root}/out/stats")
+
+
+@query(SE + "SELECT arrival_seq, 'unreadable record' AS reason FROM se WHERE arrival_seq % 19 = 0")
+def stream_dead_letter(spark, sf_dir):
+    """What the consumer's own batches refuse, beside what they pass on."""
+    checked = ingest.checked_records(as_records(stream_events(spark, sf_dir)))
+    spark, out = _drain(checked, "dead", lambda path: batches.persisted(batches.checked(
+        f"{path}/dead", f"{path}/invalid", lambda df, batch_id: batches.write_batch(df, f"{path}/good", batch_id))))
+    return spark.read.parquet(f"{out}/dead").select("arrival_seq", "reason")

@@ -59,6 +59,20 @@ def good_and_dead(good: str, dead: str) -> OnBatch:
     return on_batch
 
 
+def checked(dead: str, invalid: str, then: OnBatch) -> OnBatch:
+    """Split ``ingest.checked_records``: unreadable ones to ``dead``, a report of broken rules to ``invalid``.
+
+    ``then`` gets all readable events, those with broken rules too.
+    """
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        keys = [c for c in ("arrival_seq", "received_at") if c in df.columns]
+        write_batch(parsing.dead_letters(df).select(*keys, "raw", "reason"), dead, batch_id)
+        good = parsing.good_records(df)
+        write_batch(good.filter(F.size("violations") > 0).select(*keys, "event_id", "raw", "violations"), invalid, batch_id)
+        then(good.drop("violations"), batch_id)
+    return on_batch
+
+
 def retained(path: str, n: int = 1000, fmt: str = "parquet") -> OnBatch:
     """Keep the last n events in a versioned table (or JSON snapshot) of at most n rows."""
     def on_batch(df: DataFrame, batch_id: int) -> None:
@@ -111,25 +125,32 @@ def latest_rows(log: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def sampled(out: str, state: str, keys: list[str], budget: int = 30, sampling: bool = True,
-            then: OnBatch | None = None) -> OnBatch:
+            then: OnBatch | None = None, forget_after: int | None = None) -> OnBatch:
     """Rate limit or priority sampling that goes on across batches.
 
     The state, places used and events accepted per window, is a small
     versioned table. Only the first 3 x budget events of a window in a batch
     can be accepted, and those are cut out before the shuffle; the other
-    events are counted map-side. ``then`` gets the accepted events.
+    events are counted map-side. ``then`` gets the accepted events. A window
+    without an event in the last ``forget_after`` batches is dropped from the
+    state; should it come back, its places start anew.
     """
     def on_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("seen")).withColumn("accepted", F.lit(0).cast("bigint"))
+        touched = F.lit(batch_id).cast("bigint")
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("seen")).withColumns(
+            {"accepted": F.lit(0).cast("bigint"), "touched": touched})
         path = snapshots.latest_version(spark, state, before=batch_id)
         old = spark.read.schema(counted.schema).parquet(path) if path else counted.limit(0)
-        write_batch(continue_sample(df, old, keys, budget, sampling), out, batch_id)
+        write_batch(continue_sample(df, old.drop("touched"), keys, budget, sampling), out, batch_id)
         accepted = spark.read.parquet(batch_path(out, batch_id))
         added = accepted.groupBy(*keys).agg(F.lit(0).cast("bigint").alias("seen"),
-                                            F.count(F.lit(1)).alias("accepted"))
+                                            F.count(F.lit(1)).alias("accepted"), F.max(touched).alias("touched"))
         states = old.unionByName(counted).unionByName(added).groupBy(*keys).agg(
-            F.sum("seen").alias("seen"), F.sum("accepted").alias("accepted"))
+            F.sum("seen").alias("seen"), F.sum("accepted").alias("accepted"),
+            F.coalesce(F.max("touched"), touched).alias("touched"))
+        if forget_after is not None:
+            states = states.filter(F.col("touched") > batch_id - forget_after)
         snapshots.write_version(states, state, batch_id)
         if then is not None:
             then(accepted.drop("place", "accepted"), batch_id)

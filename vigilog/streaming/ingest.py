@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from vigilog.functions import times
-from vigilog.operators import parsing
+from vigilog.operators import parsing, quality
 from vigilog.operators.stats import TOTAL, country_key
 from vigilog.sinks import batches
 
@@ -27,21 +27,30 @@ def run_stream(df: DataFrame, on_batch: Callable[[DataFrame, int], None], checkp
     return writer.start()
 
 
-def accepted_events(records: DataFrame) -> DataFrame:
-    """Readable records to events with defaults and time; only unreadable ones are left out.
+def checked_records(records: DataFrame) -> DataFrame:
+    """Every record as an event with defaults and time, unreadable ones included.
 
-    An event without time takes that of its arrival: of the record, if it has
-    one as ``received_at``, else of the micro-batch, which a retry keeps.
-    Write ``parsing.parse_value(records)`` with ``sinks.batches.good_and_dead``
-    to keep the broken ones, and ``quality.violations`` to report events that
-    break the contract. ``arrived_at`` is the time of arrival itself.
+    ``_corrupt`` has the text of an unreadable record, ``violations`` the rules a
+    readable one broke before defaults were filled. Where the records have
+    ``arrival_seq``, an unreadable one takes its id from that, so that equal
+    texts that arrive apart stay apart. An event without time takes that of its
+    arrival: of the record, if it has one as ``received_at``, else of the
+    micro-batch, which a retry keeps. ``arrived_at`` is the time of arrival itself.
     """
-    good = parsing.good_records(parsing.parse_value(records))
+    parsed = quality.with_violations(parsing.parse_value(records))
+    if "arrival_seq" in records.columns:
+        own = F.concat(F.lit("unreadable "), F.to_json(F.struct("arrival_seq")))
+        parsed = parsed.withColumn("event_id", F.when(parsing.readable(), F.col("event_id")).otherwise(own))
     arrived = F.col("received_at") if "received_at" in records.columns else F.current_timestamp()
-    return (parsing.with_time(parsing.fill_defaults(good)).withColumn("arrived_at", arrived)
+    return (parsing.with_time(parsing.fill_defaults(parsed)).withColumn("arrived_at", arrived)
             .withColumn("ts", F.coalesce("ts", "arrived_at")))
 
 
+def accepted_events(records: DataFrame) -> DataFrame:
+    """Readable records to events with defaults and time; only unreadable ones are left out."""
+    return parsing.good_records(checked_records(records)).drop("violations")
+
+
 def dedup(events: DataFrame, horizon: str = "1 day", salts: int = 1, clock: str = "ts") -> DataFrame:
     """First arrival per event id; ids are remembered until the watermark passes them.
 
@@ -58,17 +67,24 @@ def dedup(events: DataFrame, horizon: str = "1 day", salts: int = 1, clock: str
 
 
 def consume(records: DataFrame, out: str, checkpoint: str, window_seconds: int = 60, budget: int = 30,
-            keep: int = 1000, horizon: str = "1 day", interval: str | None = None) -> StreamingQuery:
+            keep: int = 1000, horizon: str = "1 day", interval: str | None = None,
+            forget_after: int | None = None) -> StreamingQuery:
     """Records to accepted events, retained events and statistics, in this order:
 
-    parse, validate, drop repeats, sample per time window, then retain and
-    count what was accepted. ``records`` has ``value`` and ``arrival_seq``.
+    parse, drop repeats, sample per time window, then retain and count what was
+    accepted. ``records`` has ``value`` and ``arrival_seq``, unique per record.
+    Unreadable records go to ``dead``; readable ones that break the contract are
+    reported in ``invalid`` and go on like any other. Windows of the sampler
+    that got nothing for ``forget_after`` batches leave its state, and a later
+    event of one starts it anew; without that number they stay.
     """
-    events = dedup(accepted_events(records), horizon, clock="arrived_at").drop("arrived_at")
+    events = dedup(checked_records(records), horizon, clock="arrived_at").drop("arrived_at")
     windowed = events.withColumn("window_no", times.time_bucket(F.col("ts"), window_seconds))
     after = batches.persisted(batches.retained(f"{out}/retained", keep), batches.running_stats(f"{out}/stats"))
-    sample = batches.sampled(f"{out}/accepted", f"{out}/windows", ["window_no"], budget, then=after)
-    return run_stream(windowed, batches.persisted(sample), checkpoint, interval=interval)
+    sample = batches.sampled(f"{out}/accepted", f"{out}/windows", ["window_no"], budget, then=after,
+                             forget_after=forget_after)
+    step = batches.checked(f"{out}/dead", f"{out}/invalid", then=sample)
+    return run_stream(windowed, batches.persisted(step), checkpoint, interval=interval)
 
 
 def minute_counts(events: DataFrame, lateness: str = "30 minutes") -> DataFrame:
