@@ -253,6 +253,41 @@ def test_passage_dedup(make_docs, odd_rows):
     assert passage_dedup.removals(make_docs(odd_rows).where("false")).count() == 0
 
 
+def edited(words, places):
+    return [f"changed{i}" if i in places else w for i, w in enumerate(words)]
+
+
+def test_passage_dedup_finds_near_paragraphs(make_docs):
+    """Every pair of paragraphs with similarity 0.75 or more by brute force, among others, in lines, wrapped blocks and long lines."""
+    r, rows = random.Random(5), []
+    cases = [(n, k) for n in (12, 25, 40, 60, 100, 150) for k in (1, 2, 3) for _ in range(4)]
+    texts, want = {}, set()
+    for i, (n, k) in enumerate(cases):
+        one = prose(5000 + i, n)
+        two = edited(one, set(r.sample(range(n), k)))
+        wrap = (lambda w: "\n".join(" ".join(w[j:j + 12]) for j in range(0, len(w), 12))) if i % 4 == 3 else " ".join
+        gap = "\n\n" if i % 4 == 3 else "\n"
+        texts[i] = " ".join(one), " ".join(two)
+        rows.append((2 * i, gap.join([" ".join(prose(7000 + i, 40)), wrap(one), " ".join(prose(8000 + i, 30))])))
+        rows.append((2 * i + 1, gap.join([" ".join(prose(9000 + i, 50)), wrap(two)])))
+        if brute.near_components(list(enumerate(texts[i])))[0][1] == 0:
+            want.add(i)
+    assert len(want) > 30 and {k for i, (_, k) in enumerate(cases) if i in want} == {1, 2, 3}
+    got = {r["doc_id"]: r for r in passage_dedup.removals(make_docs(rows)).collect()}
+    missed = [cases[i] for i in want if 2 * i + 1 not in got]
+    assert not missed
+    for i in want:
+        assert got[2 * i + 1]["spans"] == [[50, 50 + cases[i][0]]] and got[2 * i + 1]["keep_ids"] == [2 * i]
+    assert not {d for d in got if d % 2 == 0}
+
+
+def test_passage_dedup_finds_near_copies_inside_long_lines(make_docs):
+    shared = prose(77, 300)
+    rows = [(1, " ".join(prose(1, 200) + shared + prose(2, 200))), (2, " ".join(prose(3, 150) + edited(shared, set(range(20, 300, 40))) + prose(4, 90)))]
+    found = {r["doc_id"]: r for r in passage_dedup.removals(make_docs(rows)).collect()}
+    assert set(found) == {2} and found[2]["removed_words"] > 150
+
+
 def test_words_are_cut_at_ascii_white_space(make_docs):
     assert [len(s) for s in text.shingle_sets(["a\u00a0b c\x1cd".encode(), None, b""], text.WordHash())] == [1, 0, 0]
     assert [r["size"] for r in mixing.plan(make_docs([(1, "a\u00a0b c\x1cd\x0be")])).collect()] == [3]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -10,15 +11,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.llm import similarity
-from vigilog.llm.text import SHINGLE, WordHash, bitmap, input_columns, mix, positions, raw, set_hash
+from vigilog.llm.text import SHINGLE, WordHash, bitmap, input_columns, mix, positions, raw
 from vigilog.session import durable
 
-LENGTH = 30          # words of a unit
-SPACING = 22         # any run of LENGTH + SPACING - 1 = 51 words holds a whole unit of its own
-BANDS, ROWS = 6, 3   # at similarity 0.75: 1 - (1 - 0.75**3)**6 = 0.963 of pairs collide; equal units always do
+LENGTH = 30          # words of a window
+SPACING = 22         # any run of LENGTH + SPACING - 1 = 51 words holds a whole window of its own
+LEAST = 6            # words of a paragraph: two shingles
+LONG = 100           # longer paragraphs have segments too
+CUT = 32             # a segment begins where a hash is the least of as many places before and after
+WRAPPED = 25         # words of a line, at most, in a text whose lines may be one paragraph
+BANDS, ROWS = 6, 3   # of a window; two that are not equal are rarely similar, as one change breaks up to five shingles of 26
+MORE_BANDS = 12      # of paragraphs and segments. At similarity 0.75: 1 - (1 - 0.75**3)**12 = 0.9986 of pairs collide; equal units always do
+PARAGRAPH, SEGMENT, WINDOW = range(3)
 _SHINGLES = LENGTH - SHINGLE + 1
 _CHUNK_WORDS = 300_000
-_SEEDS = [np.uint64(pow(0xA3EC647659359ACD, j + 1, 1 << 64) | 1) for j in range(BANDS * ROWS)]
+_SEEDS = [np.uint64(pow(0xA3EC647659359ACD, j + 1, 1 << 64) | 1) for j in range(MORE_BANDS * ROWS)]
+_BASE = 0xD1342543DE82EF95
+_BASE_BACK = pow(_BASE, -1, 1 << 64)
 
 
 def _slide(x: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
@@ -31,17 +40,48 @@ def _slide(x: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
     return out
 
 
-def units(texts: list, cache: WordHash) -> tuple[np.ndarray, ...]:
-    """Units of many texts: text number, first word, all shingle hashes, place of the unit in them.
+class Units(NamedTuple):
+    """Units of many texts: text number, first word in it, words, kind, place in the hashes of all words and shingles."""
 
-    A unit is LENGTH words from a place whose shingle hash is the least of some
+    text: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    kind: np.ndarray
+    at: np.ndarray
+    words: np.ndarray
+    shingles: np.ndarray
+
+    def classes(self) -> np.ndarray:
+        """One number for the words of each unit in their order."""
+        n = len(self.words)
+        powers, back = (np.cumprod(np.r_[np.uint64(1), np.full(n, x, np.uint64)]) for x in (_BASE, _BASE_BACK))
+        total = np.r_[np.uint64(0), np.cumsum(self.words * powers[:-1])]
+        value = (total[self.at + self.length] - total[self.at]) * back[self.at]
+        return mix(value + mix(self.length.astype(np.uint64))).view(np.int64)
+
+    def set_of(self, i: int) -> np.ndarray:
+        return np.unique(self.shingles[self.at[i]:self.at[i] + self.length[i] - SHINGLE + 1])
+
+    def pick(self, chosen: np.ndarray) -> Units:
+        return Units(*(x[chosen] for x in self[:5]), self.words, self.shingles)
+
+
+def units(texts: list, cache: WordHash) -> Units:
+    """Windows, paragraphs and segments of many texts.
+
+    A window is LENGTH words from a place whose shingle hash is the least of some
     SPACING places in a row, so equal passages choose equal places wherever
-    they stand, in a line or across lines. A text of fewer words has no unit.
+    they stand, in a line or across lines. Paragraphs are lines, and blocks of
+    lines between blank ones (without blank ones the whole text, where
+    its lines are wrapped), of LEAST words or more. Those of more than LONG words are also cut into
+    segments, at places whose shingle hash is the least within CUT words, so
+    that near copies inside of long ones have nearly the same segments.
     """
-    words = [t.lower().split() if t else [] for t in texts]
-    counts = np.array([len(w) for w in words], np.int64)
-    hashes = cache.of([x for w in words for x in w])
-    empty = np.empty(0, np.int64)
+    lines = [[x.split() for x in t.lower().split(b"\n")] if t else [] for t in texts]
+    in_text = np.repeat(np.arange(len(texts)), [len(x) for x in lines])
+    sizes = np.array([len(x) for line in lines for x in line], np.int64)
+    counts = np.bincount(in_text, sizes, len(texts)).astype(np.int64)
+    hashes = cache.of([w for line in lines for x in line for w in x])
     if len(hashes) < LENGTH + SPACING - 1:
         hashes = np.r_[hashes, np.zeros(LENGTH + SPACING, np.uint64)]
     all_ = positions(hashes)
@@ -49,33 +89,74 @@ def units(texts: list, cache: WordHash) -> tuple[np.ndarray, ...]:
     text = np.repeat(np.arange(len(texts)), counts)
     place = np.arange(len(text)) - first[text]
     valid = np.zeros(len(all_), bool)
-    fits = np.flatnonzero(place + LENGTH <= counts[text]) if len(text) else empty
-    valid[fits] = True
+    valid[np.flatnonzero(place + LENGTH <= counts[text])] = True
     rank = np.where(valid, all_, np.uint64(0xFFFFFFFFFFFFFFFF))
-    least = _slide(rank, SPACING)
-    top = _slide(np.r_[np.zeros(SPACING - 1, np.uint64), least, np.zeros(SPACING - 1, np.uint64)], SPACING, np.maximum)
-    at = np.flatnonzero((top == rank) & valid)
-    return text[at], place[at], all_, at
-
-
-def contents_hash(shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """One number for the words of each unit in their order: six shingles cover them."""
-    total = np.zeros(len(at), np.uint64)
-    for k in range(0, LENGTH, SHINGLE):
-        total = mix(total + shingles[at + k])
-    return total.view(np.int64)
-
-
-def band_keys(shingles: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """MinHash of each unit's shingles, ROWS at a time, as 32-bit keys."""
-    keys = []
-    for b in range(BANDS):
-        key = np.full(len(at), b + 1, np.uint64)
+    windows = np.flatnonzero(_chosen(rank, SPACING) & valid)
+
+    begin, size = _paragraphs(in_text, sizes, counts)
+    begin, size = begin[size >= LEAST], size[size >= LEAST]
+    lead, rest = _segments(begin[size > LONG], size[size > LONG], rank, valid)
+    at = np.r_[begin, lead, windows].astype(np.int64)
+    length = np.r_[size, rest, np.full(len(windows), LENGTH)].astype(np.int64)
+    kind = np.repeat([PARAGRAPH, SEGMENT, WINDOW], [len(begin), len(lead), len(windows)])
+    once = np.sort(np.unique(at << 32 | length, return_index=True)[1])
+    at, length, kind = at[once], length[once], kind[once]
+    return Units(text[at], place[at], length, kind, at, hashes, all_)
+
+
+def _chosen(rank: np.ndarray, width: int) -> np.ndarray:
+    """Which places are the least of some ``width`` places in a row."""
+    least = _slide(rank, width)
+    edge = np.zeros(width - 1, np.uint64)
+    return _slide(np.r_[edge, least, edge], width, np.maximum) == rank
+
+
+def _paragraphs(in_text: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and number of words of each line and of each block of several lines."""
+    begin = np.cumsum(sizes) - sizes
+    full = np.flatnonzero(sizes)
+    if not len(full):
+        return begin[full], sizes[full]
+    fresh = np.r_[True, (np.diff(full) > 1) | (np.diff(in_text[full]) > 0)]
+    heads = np.flatnonzero(fresh)
+    blocks = np.add.reduceat(sizes[full], heads)
+    several = np.diff(np.r_[heads, len(full)]) > 1
+    wrapped = np.maximum.reduceat(sizes[full], heads) <= WRAPPED
+    taken = several & (wrapped | (blocks < counts[in_text[full[heads]]]))
+    return np.r_[begin[full], begin[full[heads[taken]]]], np.r_[sizes[full], blocks[taken]]
+
+
+def _segments(begin: np.ndarray, size: np.ndarray, rank: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and number of words of the segments of long paragraphs."""
+    if not len(begin):
+        return begin, size
+    most = np.full(CUT, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    cuts = np.flatnonzero((_slide(np.r_[most, rank, most], 2 * CUT + 1) == rank) & valid)
+    left, right = np.searchsorted(cuts, begin, "right"), np.searchsorted(cuts, begin + size)
+    edges = [np.r_[b, cuts[i:j], b + n] for b, n, i, j in zip(begin, size, left, right)]
+    lead, rest = np.concatenate([x[:-1] for x in edges]), np.concatenate([np.diff(x) for x in edges])
+    return lead[rest >= LEAST], rest[rest >= LEAST]
+
+
+def band_keys(found: Units) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """MinHash of the units' shingles, ROWS at a time, as 32-bit keys, with the numbers of their units.
+
+    Paragraphs and segments have MORE_BANDS, windows the first BANDS of them.
+    """
+    window = found.kind == WINDOW
+    some = np.flatnonzero(window)
+    others = np.flatnonzero(~window)
+    ends = np.column_stack([found.at[others], found.at[others] + found.length[others] - SHINGLE + 1]).ravel()
+    for b in range(MORE_BANDS):
+        mine = others if b >= BANDS else np.r_[others, some]
+        key = np.full(len(mine), b + 1, np.uint64)
         for seed in _SEEDS[b * ROWS:(b + 1) * ROWS]:
-            least = _slide(mix(shingles * seed) >> np.uint64(32), _SHINGLES)
-            key = mix(key + least[at])
-        keys.append((key >> np.uint64(32)).astype(np.uint32))
-    return keys
+            hashed = mix(found.shingles * seed) >> np.uint64(32)
+            least = np.minimum.reduceat(np.r_[hashed, np.uint64(0)], ends)[::2] if len(others) else hashed[:0]
+            if b < BANDS:
+                least = np.r_[least, _slide(hashed, _SHINGLES)[found.at[some]]]
+            key = mix(key + least)
+        yield (key >> np.uint64(32)).astype(np.uint32), mine
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
@@ -100,15 +181,16 @@ def _places(docs: DataFrame) -> DataFrame:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHash()
         for rows, ids, texts in _chunks(batches):
-            text, start, shingles, at = units(texts, cache)
-            cls = contents_hash(shingles, at)
-            once = np.sort(np.unique(mix(cls.view(np.uint64)) + text.astype(np.uint64), return_index=True)[1])
-            text, start, cls = text[once], start[once], cls[once]
+            found = units(texts, cache)
+            cls = found.classes()
+            once = np.sort(np.unique(mix(cls.view(np.uint64)) + found.text.astype(np.uint64), return_index=True)[1])
+            found, cls = found.pick(once), cls[once]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.array(rows, np.int64)[text]), pa.array(ids, pa.int64()).take(pa.array(text)),
-                pa.array(start.astype(np.int32)), pa.array(cls)], ["row", "doc_id", "start", "cls"])
+                pa.array(np.array(rows, np.int64)[found.text]), pa.array(ids, pa.int64()).take(pa.array(found.text)),
+                pa.array(found.start.astype(np.int32)), pa.array(found.length.astype(np.int32)), pa.array(cls)],
+                ["row", "doc_id", "start", "length", "cls"])
 
-    return docs.mapInArrow(place, "row long, doc_id long, start int, cls long")
+    return docs.mapInArrow(place, "row long, doc_id long, start int, length int, cls long")
 
 
 def _postings(docs: DataFrame, parts: int) -> DataFrame:
@@ -117,12 +199,13 @@ def _postings(docs: DataFrame, parts: int) -> DataFrame:
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, held, size = WordHash(), [], 0
         for rows, _, texts in _chunks(batches):
-            text, _, shingles, at = units(texts, cache)
-            cls, pick = np.unique(contents_hash(shingles, at), return_index=True)
-            tags = (mix(np.array(rows, np.int64).view(np.uint64)) & np.uint64(0xFFFF)).astype(np.int64)[text[pick]]
-            for key in band_keys(shingles, at[pick]):
-                held.append((key, cls, tags))
-                size += len(cls)
+            found = units(texts, cache)
+            cls, pick = np.unique(found.classes(), return_index=True)
+            found = found.pick(pick)
+            tags = (mix(np.array(rows, np.int64).view(np.uint64)) & np.uint64(0xFFFF)).astype(np.int64)[found.text]
+            for key, mine in band_keys(found):
+                held.append((key, cls[mine], tags[mine]))
+                size += len(mine)
             if size >= similarity.FLUSH:
                 yield flush(held)
                 held, size = [], 0
@@ -148,12 +231,12 @@ def _contents(docs: DataFrame, chosen: DataFrame) -> DataFrame:
         mine = (batch.filter(pa.array(similarity.may_have(rows_wanted.value, batch.column("row").to_numpy(zero_copy_only=False))))
                 for batch in batches)
         for rows, _, texts in _chunks(mine):
-            text, _, shingles, at = units(texts, cache)
-            classes = contents_hash(shingles, at)
+            found = units(texts, cache)
+            classes = found.classes()
             picked = np.flatnonzero(similarity.may_have(wanted.value, classes))
-            sets = [np.unique(shingles[p:p + _SHINGLES]) for p in at[picked].tolist()]
+            sets = [found.set_of(i) for i in picked.tolist()]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.array(rows, np.int64)[text[picked]]), pa.array(classes[picked]), pa.array([len(x) for x in sets], pa.int64()),
+                pa.array(np.array(rows, np.int64)[found.text[picked]]), pa.array(classes[picked]), pa.array([len(x) for x in sets], pa.int64()),
                 pa.array([bitmap(x) for x in sets], pa.list_(pa.int64())), pa.array([x.tobytes() for x in sets], pa.binary())],
                 ["row", "cls", "n", "bits", "items"])
 
@@ -166,9 +249,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     ``group_id``, ``group_size``, ``keep_id``, ``removed``.
 
     Two passages repeat each other when the Jaccard similarity of their
-    five-word shingles is 0.75 or more. Any 51 words in a row that stand in
-    two documents are found; what one text alone repeats is left. Of each
-    component of passages those of the first document (by doc_id, null last, then row) stay; the others are removed. Texts under 30 words, null and empty ones have no
+    five-word shingles is 0.75 or more. Passages are paragraphs of six words or
+    more (lines, blocks between blank lines), segments of long ones, and windows
+    of 30 words: any 51 words in a row that stand in
+    two documents are found, in a line or across lines. What one text alone repeats is left. Of each
+    component of passages those of the first document (by doc_id, null last, then row) stay; the others are removed. Texts under six words, null and empty ones have no
     passage. Repeated rows repeat all their passages. Other columns are not read.
     """
     docs = input_columns(docs).select("*", F.monotonically_increasing_id().alias("row"))
@@ -176,7 +261,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     once = durable(places.groupBy("cls").agg(
         F.count("*").alias("size"), F.min("row").alias("low"), F.max("row").alias("high"),
         F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "row")).alias("first")), "units")
-    entries = once.count() * BANDS
+    entries = once.count() * (BANDS + MORE_BANDS) // 2
     parts = int(max(4, entries // similarity.ENTRIES_PER_PART + 1))
     tiles = durable(similarity.shared_tiles(_postings(docs, parts), parts, tags=True), "tiles")
     chosen = durable(tiles.select("cls").distinct().join(once.select("cls", F.col("first.row").alias("row")), "cls"), "chosen")
@@ -191,7 +276,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     marked = places.join(named.select("cls", "group_id"), "cls") \
         .join(groups.where("low < high"), "group_id")
     return marked.select(
-        "doc_id", "row", "start", (F.col("start") + LENGTH).alias("end"), "group_id", "group_size",
+        "doc_id", "row", "start", (F.col("start") + F.col("length")).alias("end"), "group_id", "group_size",
         F.when(F.col("first.doc_id") != (1 << 63) - 1, F.col("first.doc_id")).alias("keep_id"),
         (F.col("row") != F.col("first.row")).alias("removed"))
 
@@ -208,11 +293,11 @@ def removals(docs: DataFrame) -> DataFrame:
             spans, sizes = [], []
             for units_ in batch.column("units").to_pylist():
                 merged: list[list[int]] = []
-                for start in sorted(units_):
-                    if merged and start <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], start + LENGTH)
+                for unit in sorted(units_, key=lambda x: x["start"]):
+                    if merged and unit["start"] <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], unit["end"])
                     else:
-                        merged.append([start, start + LENGTH])
+                        merged.append([unit["start"], unit["end"]])
                 spans.append(merged)
                 sizes.append(sum(b - a for a, b in merged))
             yield pa.RecordBatch.from_arrays([
@@ -220,6 +305,6 @@ def removals(docs: DataFrame) -> DataFrame:
                 batch.column("keep_ids")], ["doc_id", "spans", "removed_words", "keep_ids"])
 
     return found.groupBy("row", "doc_id").agg(
-        F.collect_list("start").alias("units"), F.array_sort(F.collect_set("keep_id")).alias("keep_ids")) \
+        F.collect_list(F.struct("start", "end")).alias("units"), F.array_sort(F.collect_set("keep_id")).alias("keep_ids")) \
         .select("doc_id", "units", "keep_ids") \
         .mapInArrow(merge, "doc_id long, spans array<array<bigint>>, removed_words long, keep_ids array<bigint>")
