@@ -281,6 +281,19 @@ def test_passage_dedup_finds_near_paragraphs(make_docs):
     assert not {d for d in got if d % 2 == 0}
 
 
+def test_passage_dedup_spans_are_exact(make_docs):
+    """From the first to the last word of the passage, at every place in a document."""
+    rows, want = [], {}
+    for i, n in enumerate((51, 52, 60, 80, 130)):
+        shared = prose(600 + i, n)
+        a, b, c = prose(610 + i, 33 + i), prose(620 + i, 45), prose(630 + i, 27)
+        rows += [(2 * i, " ".join(prose(640 + i, 70) + shared + prose(650 + i, 50))), (2 * i + 1, " ".join(a + shared + b + shared + c))]
+        want[2 * i + 1] = [[33 + i, 33 + i + n], [78 + i + n, 78 + i + 2 * n]]
+    found = {r["doc_id"]: r for r in passage_dedup.removals(make_docs(rows)).collect()}
+    assert {d: r["spans"] for d, r in found.items()} == want
+    assert all(r["removed_words"] == sum(b - a for a, b in want[d]) and r["keep_ids"] == [d - 1] for d, r in found.items())
+
+
 def test_passage_dedup_finds_near_copies_inside_long_lines(make_docs):
     shared = prose(77, 300)
     rows = [(1, " ".join(prose(1, 200) + shared + prose(2, 200))), (2, " ".join(prose(3, 150) + edited(shared, set(range(20, 300, 40))) + prose(4, 90)))]

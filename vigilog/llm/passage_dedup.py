@@ -21,6 +21,7 @@ LONG = 100           # longer paragraphs have segments too
 CUT = 32             # a segment begins where a hash is the least of as many places before and after
 WRAPPED = 25         # words of a line, at most, in a text whose lines may be one paragraph
 BANDS, ROWS = 6, 3   # of a window; two that are not equal are rarely similar, as one change breaks up to five shingles of 26
+MARGIN = SPACING - 1  # the first and last window of a repeated passage lie at most so many words inside it
 MORE_BANDS = 12      # of paragraphs and segments. At similarity 0.75: 1 - (1 - 0.75**3)**12 = 0.9986 of pairs collide; equal units always do
 PARAGRAPH, SEGMENT, WINDOW = range(3)
 _SHINGLES = LENGTH - SHINGLE + 1
@@ -41,11 +42,12 @@ def _slide(x: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
 
 
 class Units(NamedTuple):
-    """Units of many texts: text number, first word in it, words, kind, place in the hashes of all words and shingles."""
+    """Units of many texts: text number, first word in it, words, words after it, kind, place in the hashes of all words and shingles."""
 
     text: np.ndarray
     start: np.ndarray
     length: np.ndarray
+    after: np.ndarray
     kind: np.ndarray
     at: np.ndarray
     words: np.ndarray
@@ -63,7 +65,7 @@ class Units(NamedTuple):
         return np.unique(self.shingles[self.at[i]:self.at[i] + self.length[i] - SHINGLE + 1])
 
     def pick(self, chosen: np.ndarray) -> Units:
-        return Units(*(x[chosen] for x in self[:5]), self.words, self.shingles)
+        return Units(*(x[chosen] for x in self[:6]), self.words, self.shingles)
 
 
 def units(texts: list, cache: WordHash) -> Units:
@@ -101,7 +103,7 @@ def units(texts: list, cache: WordHash) -> Units:
     kind = np.repeat([PARAGRAPH, SEGMENT, WINDOW], [len(begin), len(lead), len(windows)])
     once = np.sort(np.unique(at << 32 | length, return_index=True)[1])
     at, length, kind = at[once], length[once], kind[once]
-    return Units(text[at], place[at], length, kind, at, hashes, all_)
+    return Units(text[at], place[at], length, counts[text[at]] - place[at] - length, kind, at, hashes, all_)
 
 
 def _chosen(rank: np.ndarray, width: int) -> np.ndarray:
@@ -176,21 +178,18 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, lis
 
 
 def _places(docs: DataFrame) -> DataFrame:
-    """Every unit: ``row``, ``doc_id``, ``start``, ``cls``; equal units of one text once, at their first place."""
+    """Every unit at every place: ``row``, ``doc_id``, ``cls``."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHash()
         for rows, ids, texts in _chunks(batches):
             found = units(texts, cache)
             cls = found.classes()
-            once = np.sort(np.unique(mix(cls.view(np.uint64)) + found.text.astype(np.uint64), return_index=True)[1])
-            found, cls = found.pick(once), cls[once]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.array(rows, np.int64)[found.text]), pa.array(ids, pa.int64()).take(pa.array(found.text)),
-                pa.array(found.start.astype(np.int32)), pa.array(found.length.astype(np.int32)), pa.array(cls)],
-                ["row", "doc_id", "start", "length", "cls"])
+                pa.array(np.array(rows, np.int64)[found.text]), pa.array(ids, pa.int64()).take(pa.array(found.text)), pa.array(cls)],
+                ["row", "doc_id", "cls"])
 
-    return docs.mapInArrow(place, "row long, doc_id long, start int, length int, cls long")
+    return docs.mapInArrow(place, "row long, doc_id long, cls long")
 
 
 def _postings(docs: DataFrame, parts: int) -> DataFrame:
@@ -244,6 +243,81 @@ def _contents(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return found.join(chosen, ["row", "cls"], "left_semi").dropDuplicates(["cls"])
 
 
+def _spots(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Every place of the chosen classes, perhaps of a few others, with its words and up to MARGIN around them as 32-bit
+    hashes: ``row``, ``doc_id``, ``start``, ``length``, ``kind``, ``cls``, ``lead`` (words before it), ``words``."""
+    wanted = docs.sparkSession.sparkContext.broadcast(similarity.class_filter(chosen.select("cls")))
+
+    def spot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHash()
+        for rows, ids, texts in _chunks(batches):
+            found = units(texts, cache)
+            classes = found.classes()
+            picked = np.flatnonzero(similarity.may_have(wanted.value, classes))
+            found, short = found.pick(picked), (found.words >> np.uint64(32)).astype(np.uint32)
+            lead = np.minimum(found.start, MARGIN)
+            begin, stop = found.at - lead, found.at + found.length + np.minimum(found.after, MARGIN)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.array(rows, np.int64)[found.text]), pa.array(ids, pa.int64()).take(pa.array(found.text)),
+                pa.array(found.start.astype(np.int32)), pa.array(found.length.astype(np.int32)), pa.array(found.kind.astype(np.int32)),
+                pa.array(classes[picked]), pa.array(lead.astype(np.int32)),
+                pa.array([short[i:j].tobytes() for i, j in zip(begin.tolist(), stop.tolist())], pa.binary())],
+                ["row", "doc_id", "start", "length", "kind", "cls", "lead", "words"])
+
+    return docs.mapInArrow(spot, "row long, doc_id long, start int, length int, kind int, cls long, lead int, words binary")
+
+
+def _equal(a: np.ndarray, b: np.ndarray) -> int:
+    """How many first entries are equal."""
+    n = min(len(a), len(b))
+    differ = a[:n] != b[:n]
+    return int(differ.argmax()) if differ.any() else n
+
+
+def shared_span(words: np.ndarray, lead: int, length: int, kept: list[tuple[np.ndarray, int, int]]) -> tuple[int, int]:
+    """First and last word, counted from the unit's first, that it shares with the kept places.
+
+    From the first to the last common shingle, and on to both sides as long as words are equal.
+    Without a common shingle (similar by others of the group only) it is the unit.
+    """
+    low, high = None, None
+    mine = words[lead:lead + length]
+    for other, other_lead, other_length in kept:
+        if other_length == length and (other[other_lead:other_lead + length] == mine).all():
+            pairs = [(lead, other_lead)]
+            last = [(lead + length, other_lead + length)]
+        else:
+            here, there = positions(mine.astype(np.uint64)), positions(other.astype(np.uint64))
+            common = np.flatnonzero(np.isin(here, there))
+            if not len(common):
+                continue
+            pairs = [(lead + common[0], j) for j in np.flatnonzero(there == here[common[0]])]
+            last = [(lead + common[-1] + SHINGLE, j + SHINGLE) for j in np.flatnonzero(there == here[common[-1]])]
+        left = min(i - _equal(words[:i][::-1], other[:j][::-1]) for i, j in pairs) - lead
+        right = max(i + _equal(words[i:], other[j:]) for i, j in last) - lead
+        low, high = left if low is None else min(low, left), right if high is None else max(high, right)
+    return (0, length) if low is None else (int(low), int(high))
+
+
+def _fitted(removed: DataFrame, kept: DataFrame) -> DataFrame:
+    """Windows and segments to remove with ``start`` and ``end`` of what they share with the kept document."""
+    names = [c for c in removed.columns if c not in ("start", "length", "kind", "lead", "words")]
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in removed.select(names).schema.fields)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts, ends = [], []
+            for start, length, lead, words, others in zip(*(batch.column(c).to_pylist() for c in ("start", "length", "lead", "words", "kept"))):
+                others = [(np.frombuffer(x["words"], np.uint32), x["lead"], x["length"]) for x in others]
+                low, high = shared_span(np.frombuffer(words, np.uint32), lead, length, others)
+                starts.append(start + low)
+                ends.append(start + high)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())],
+                                             [*names, "start", "end"])
+
+    return removed.join(kept, "group_id").mapInArrow(fit, f"{fields}, start int, end int")
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """Repeated passages, one row per place and the place that stays: ``doc_id``, ``row``, ``start``, ``end`` (words),
     ``group_id``, ``group_size``, ``keep_id``, ``removed``.
@@ -253,7 +327,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     more (lines, blocks between blank lines), segments of long ones, and windows
     of 30 words: any 51 words in a row that stand in
     two documents are found, in a line or across lines. What one text alone repeats is left. Of each
-    component of passages those of the first document (by doc_id, null last, then row) stay; the others are removed. Texts under six words, null and empty ones have no
+    component of passages, counted at every place, those of the first document (by doc_id, null last, then row) stay; the others are removed:
+    paragraphs as a whole, of windows and segments what they share with the kept document, up to where words differ. Texts under six words, null and empty ones have no
     passage. Repeated rows repeat all their passages. Other columns are not read.
     """
     docs = input_columns(docs).select("*", F.monotonically_increasing_id().alias("row"))
@@ -273,12 +348,16 @@ def repeats(docs: DataFrame) -> DataFrame:
     named = durable(named, "named")
     groups = named.groupBy("group_id").agg(
         F.sum("size").alias("group_size"), F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))
-    marked = places.join(named.select("cls", "group_id"), "cls") \
-        .join(groups.where("low < high"), "group_id")
-    return marked.select(
-        "doc_id", "row", "start", (F.col("start") + F.col("length")).alias("end"), "group_id", "group_size",
-        F.when(F.col("first.doc_id") != (1 << 63) - 1, F.col("first.doc_id")).alias("keep_id"),
-        (F.col("row") != F.col("first.row")).alias("removed"))
+    chosen = durable(named.select("cls", "group_id").join(groups.where("low < high"), "group_id").select(
+        "cls", "group_id", "group_size", F.when(F.col("first.doc_id") != (1 << 63) - 1, F.col("first.doc_id")).alias("keep_id"),
+        F.col("first.row").alias("keep_row")), "repeated")
+    marked = durable(_spots(docs, chosen).join(chosen, "cls").drop("cls")
+                     .withColumn("removed", F.col("row") != F.col("keep_row")).drop("keep_row"), "marked")
+    kept = marked.where("not removed").groupBy("group_id").agg(F.collect_set(F.struct("lead", "length", "words")).alias("kept"))
+    whole = marked.where(~F.col("removed") | (F.col("kind") == PARAGRAPH)).withColumn("end", F.col("start") + F.col("length"))
+    fitted = _fitted(marked.where(F.col("removed") & (F.col("kind") != PARAGRAPH)), kept)
+    columns = ["doc_id", "row", "start", "end", "group_id", "group_size", "keep_id", "removed"]
+    return whole.select(columns).union(fitted.select(columns))
 
 
 def removals(docs: DataFrame) -> DataFrame:
