@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from vigilog.llm import (
-    components, decontaminate, exact_dedup, jaccard_join, license_scan, mixing, passage_dedup, sharding, text, token_store, toxicity,
+    components, decontaminate, exact_dedup, jaccard_join, license_scan, mixing, passage_dedup, sharding, similarity, text, token_store, toxicity,
     url_filter)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -64,6 +64,20 @@ def test_jaccard_join_spreads_hot_keys(make_docs, odd_rows, monkeypatch):
     same(jaccard_join.near_duplicates(make_docs(rows)), [(d, w) for (d, _), w in zip(rows, want)], ["doc_id", "component_id"])
 
 
+def test_a_hot_key_is_not_cut_off_behind_an_unmarked_row(spark):
+    """Class 1 comes without a mark first; its key is hot in the other flush, so class 9 must meet classes 2 and 3."""
+    def packed(classes, hot_local):
+        n = len(classes)
+        batch = similarity.pack(np.full(n, 5, np.uint32), np.array(classes, np.int64), np.full(n, 80), np.full(n, 84), 4, hot_local)
+        return [tuple(r.values()) for r in batch.to_pylist()]
+
+    df = spark.createDataFrame(packed([1, 9], 3) + packed([1, 2, 3], 3), similarity.POSTINGS).coalesce(1)
+    tiles = {}
+    for r in similarity.shared_tiles(df, 4).collect():
+        tiles.setdefault(r["tile"], set()).add(r["cls"])
+    assert any(t == {1, 2, 3, 9} for t in tiles.values())
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     r = random.Random(seed)

@@ -85,6 +85,7 @@ class Order:
 
 
 def _postings(docs: DataFrame, order, parts: int) -> DataFrame:
+    flush, hot_local = similarity.FLUSH, similarity.HOT_LOCAL  # as the driver has them
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, seen, keys, classes, bands, limits, size = WordHash(), set(), [], [], [], [], 0
@@ -100,11 +101,11 @@ def _postings(docs: DataFrame, order, parts: int) -> DataFrame:
                 bands.append(np.full(len(chosen), similarity.size_band(np.array([len(shingles)]))[0]))
                 limits.append(similarity.partner_limit(len(shingles), len(chosen)))
                 size += len(chosen)
-                if size >= similarity.FLUSH:
-                    yield similarity.pack(*map(np.concatenate, (keys, classes, bands, limits)), parts)
+                if size >= flush:
+                    yield similarity.pack(*map(np.concatenate, (keys, classes, bands, limits)), parts, hot_local)
                     keys, classes, bands, limits, size = [], [], [], [], 0
         if size:
-            yield similarity.pack(*map(np.concatenate, (keys, classes, bands, limits)), parts)
+            yield similarity.pack(*map(np.concatenate, (keys, classes, bands, limits)), parts, hot_local)
 
     return docs.mapInArrow(post, similarity.POSTINGS)
 

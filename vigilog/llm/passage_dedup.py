@@ -194,6 +194,7 @@ def _places(docs: DataFrame) -> DataFrame:
 
 def _postings(docs: DataFrame, parts: int) -> DataFrame:
     """Band keys of the distinct units of a task, with a tag of the document."""
+    most, hot_local = similarity.FLUSH, similarity.HOT_LOCAL  # as the driver has them
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, held, size = WordHash(), [], 0
@@ -205,7 +206,7 @@ def _postings(docs: DataFrame, parts: int) -> DataFrame:
             for key, mine in band_keys(found):
                 held.append((key, cls[mine], tags[mine]))
                 size += len(mine)
-            if size >= similarity.FLUSH:
+            if size >= most:
                 yield flush(held)
                 held, size = [], 0
         if size:
@@ -214,7 +215,7 @@ def _postings(docs: DataFrame, parts: int) -> DataFrame:
     def flush(held: list) -> pa.RecordBatch:
         keys, classes, tags = map(np.concatenate, zip(*held))
         once = np.unique(mix(classes.view(np.uint64) + keys), return_index=True)[1]
-        return similarity.pack(keys[once], classes[once], tags[once], tags[once], parts)
+        return similarity.pack(keys[once], classes[once], tags[once], tags[once], parts, hot_local)
 
     return docs.mapInArrow(post, similarity.POSTINGS)
 

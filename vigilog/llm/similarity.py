@@ -48,10 +48,10 @@ def partner_limit(n: int, count: int) -> np.ndarray:
     return np.where(most >= 1, size_band(most), -1)
 
 
-def pack(keys: np.ndarray, classes: np.ndarray, bands: np.ndarray, limits: np.ndarray, parts: int) -> pa.RecordBatch:
+def pack(keys: np.ndarray, classes: np.ndarray, bands: np.ndarray, limits: np.ndarray, parts: int, hot_local: int) -> pa.RecordBatch:
     """Entries as one row per part.
 
-    Where one flush has HOT_LOCAL entries on a key, they go to parts of their
+    Where one flush has ``hot_local`` entries on a key, they go to parts of their
     own by class, so that such a key never meets in one task; one of each band
     goes to the key's part too, for entries of other tasks to meet.
     """
@@ -60,7 +60,7 @@ def pack(keys: np.ndarray, classes: np.ndarray, bands: np.ndarray, limits: np.nd
     whole, keys, classes, bands, limits = whole[order], keys[order], classes[order], bands[order], limits[order]
     heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     runs = np.diff(np.r_[heads, len(keys)])
-    hot = np.repeat(runs >= HOT_LOCAL, runs)
+    hot = np.repeat(runs >= hot_local, runs)
     lead = np.flatnonzero(hot & np.r_[True, whole[1:] != whole[:-1]])
     spread = ((classes.view(np.uint64) >> np.uint64(7)) % np.uint64(parts)).astype(np.int64)
     part = np.r_[np.where(hot, parts + spread, keys.astype(np.int64) % parts), keys[lead].astype(np.int64) % parts]
@@ -115,7 +115,7 @@ def shared_tiles(postings: DataFrame, parts: int, tags: bool = False) -> DataFra
         else:
             tiles = np.r_[keys << 8 | bands // FINE, keys << 8 | bands // FINE + 1]
             classes, bands, limits = np.r_[classes, classes], np.r_[bands, bands], np.r_[limits, limits]
-        order = np.lexsort((classes, bands, tiles))
+        order = np.lexsort((-limits, classes, bands, tiles))  # of equal classes the one with the mark, or the largest limit, stays
         tiles, classes, bands, limits = tiles[order], classes[order], bands[order], limits[order]
         if tags and own and len(tiles):  # in order of tag: the first and the last differ
             head = np.r_[True, tiles[1:] != tiles[:-1]]
@@ -126,9 +126,9 @@ def shared_tiles(postings: DataFrame, parts: int, tags: bool = False) -> DataFra
             tiles, classes, bands, limits = tiles[keep], classes[keep], bands[keep], limits[keep]
             order = np.lexsort((classes, tiles))
             tiles, classes, bands, limits = tiles[order], classes[order], bands[order], limits[order]
+        marked = np.unique(tiles[limits - bands == HOT_MARK])
         fresh = np.r_[True, (tiles[1:] != tiles[:-1]) | (classes[1:] != classes[:-1])][:len(tiles)]
         tiles, classes, bands, limits = tiles[fresh], classes[fresh], bands[fresh], limits[fresh]
-        marked = np.unique(tiles[limits - bands == HOT_MARK])
         for _ in range(2 * (own and not tags)):
             keep = _partnered(tiles, bands, limits)
             tiles, classes, bands, limits = tiles[keep], classes[keep], bands[keep], limits[keep]
