@@ -145,6 +145,24 @@ def test_decontaminate(spark, make_docs):
     assert decontaminate.leaks(make_docs(rows), bench.limit(0)).count() == 0
 
 
+def test_decontaminate_names_at_sentence_starts():
+    items = [(1, "Alice has 3 apples. Alice buys 5 more. How many does Alice have?"),
+             (2, "Maria rides 12 km in 2 hours. Tom walks behind Maria for 4 km.\nMaria waits for Tom.")]
+    block, cache = decontaminate.Block(items), decontaminate.Tokens()
+    find = lambda t: {(i, changed) for i, _, changed in block.matches(t.encode(), cache)}
+    assert find("Some text. Bob has 7 apples. Bob buys 9 more. How many does Bob have? The end.") == {(1, True)}
+    assert find("some text. alice has 7 apples. alice buys 9 more. how many does alice have? the end") == {(1, True)}
+    assert find("Eve rides 30 miles in 5 hours. Bob walks behind Eve for 8 miles.\nEve waits for Bob.") == {(2, True)}
+    assert find("maria rides 30 km in 5 hours. tom walks behind maria for 8 km. maria waits for tom.") == {(2, True)}
+    assert find(items[0][1].lower()) == {(1, False)}
+    # One name of the item stands for three, or two names of it for one.
+    assert find("Bob has 7 apples. Carl buys 9 more. How many does Dora have?") == set()
+    assert find("Eve rides 30 miles in 5 hours. Eve walks behind Eve for 8 miles.\nEve waits for Eve.") == set()
+    assert find("Bob has 7 apples. And so on and on. Bob buys 9 more. How many does Bob have?") == set()  # 5 of 9 windows are left
+    assert find("Eve rides 30 miles in 5 hours. Bob walks slowly behind Eve for 8 miles.\nEve waits for Bob.") == set()  # 10 of 14
+    assert find("Clean words stand here. Nobody has 7 apples and nobody buys more.") == set()
+
+
 def test_toxicity(spark, make_docs):
     r = random.Random(3)
     rows, labels = [], []

@@ -24,13 +24,18 @@ hour hours day days week weeks month months year years mph kmh usd eur gbp dolla
 hz khz mhz ghz w kw kwh v a j kj cal kcal""".split())
 _NUMBER = re.compile(r"[-+]?[$€£]?\d[\d.,]*(?:st|nd|rd|th)?[%€$£]?")
 _NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split())
+# Words that begin sentences and are no names.
+_OPENERS = frozenset("""a an the this that these those it its he she they we you i his her their our your my what which who whom whose when where
+why how if is are was were do does did has have had can could should would shall and or but so then there here in on at to of for from by with
+as after before while during each every all some both either neither no not one let find calculate determine given suppose""".split())
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "-+$%")
 PLAIN, NUMBER, NAME, UNIT = range(4)
 PLACEHOLDERS = np.array([0, *(xxhash.xxh64_intdigest(f"<{x}>") for x in ("number", "name", "unit"))], np.uint64)
 
 
 class Tokens(dict):
-    """Word to (hash in lower case without punctuation, kind flags): 1 number, 2 capital, 4 unit, 8 ends a sentence, 16 nothing left."""
+    """Word to (hash in lower case without punctuation, kind flags): 1 number, 2 capital, 4 unit, 8 ends a sentence, 16 nothing left,
+    32 begins sentences and is no name."""
 
     def __missing__(self, word: bytes) -> tuple[int, int]:
         if len(self) >= 300_000:
@@ -39,16 +44,18 @@ class Tokens(dict):
         plain = text.strip(_EDGE)
         low = plain.lower()
         flags = bool(_NUMBER.fullmatch(plain) or low in _NUMBER_WORDS) | 2 * (plain[:1].isupper() and plain[1:].islower()) \
-            | 4 * (low in UNITS) | 8 * (text.rstrip("\"')]}»”*#&$%")[-1:] in (".", "!", "?", ":", "|")) | 16 * (not low.strip("-+$%"))
+            | 4 * (low in UNITS) | 8 * (text.rstrip("\"')]}»”*#&$%")[-1:] in (".", "!", "?", ":", "|")) | 16 * (not low.strip("-+$%")) | 32 * (low in _OPENERS)
         value = self[word] = (xxhash.xxh64_intdigest(low), int(flags))
         return value
 
 
-def template(text: bytes | None, cache: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each word: its own hash, its kind, its hash in the template.
+def template(text: bytes | None, cache: Tokens) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of each word: its own hash, its kind, its hashes in the readings of the template.
 
     A number stays for any number, a unit right after a number for any unit, and
-    a capitalised word inside a sentence for any name.
+    a capitalised word for any name: in the first reading inside a sentence only, in the
+    second at its start too. In the third no word is a name (a text may have lost its case), in
+    the last all words are as they are. The kind is that of the second reading.
     """
     words = text.split() if text else []
     pairs = list(map(cache.__getitem__, words))
@@ -61,8 +68,17 @@ def template(text: bytes | None, cache: Tokens) -> tuple[np.ndarray, np.ndarray,
     own, flags, inside = own[keep], flags[keep], inside[keep]
     number = flags & 1 > 0
     after = np.r_[False, number[:-1]] if len(number) else number
-    kind = np.where(number, NUMBER, np.where((flags & 4 > 0) & after, UNIT, np.where((flags & 2 > 0) & inside, NAME, PLAIN)))
-    return own, kind, np.where(kind == PLAIN, own, PLACEHOLDERS[kind])
+    values = np.where(number, NUMBER, np.where((flags & 4 > 0) & after, UNIT, PLAIN))
+    capital = (values == PLAIN) & (flags & 2 > 0)
+    kinds = [np.where(capital & inside, NAME, values), np.where(capital & (inside | (flags & 32 == 0)), NAME, values), values]
+    return own, kinds[1], [*(np.where(k == PLAIN, own, PLACEHOLDERS[k]) for k in kinds), own]
+
+
+def windows(readings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of all readings and their places; equal ones of one place once."""
+    all_ = [positions(x) for x in readings]
+    fresh = [np.flatnonzero(np.logical_and.reduce([x != y for y in all_[:i]])) if i else np.arange(len(x)) for i, x in enumerate(all_)]
+    return np.concatenate([x[f] for x, f in zip(all_, fresh)]), np.concatenate(fresh)
 
 
 def spaced(text: bytes | None) -> bytes | None:
@@ -71,27 +87,30 @@ def spaced(text: bytes | None) -> bytes | None:
 
 
 class Item:
-    """A benchmark item: its words, their kinds, its windows in order, as templates and as they are."""
+    """A benchmark item: its words, their kinds, its windows in all readings with their places, and how many places there are."""
 
     def __init__(self, item_id: int, text: bytes | None, cache: Tokens):
         self.item_id = item_id
-        self.own, self.kind, hashed = template(spaced(text), cache)
-        self.windows, self.plain = positions(hashed), positions(self.own)
+        self.own, self.kind, readings = template(spaced(text), cache)
+        self.windows, self.at = windows(readings)
+        self.count = len(positions(self.own))
 
 
-def consistent(item: Item, own: np.ndarray, kind: np.ndarray, offset: int, matched: np.ndarray) -> bool:
+def consistent(item: Item, own: np.ndarray, offset: int, matched: np.ndarray, slots: tuple[dict, dict] | None = None) -> bool:
     """Whether every slot value of the item stands for one value in the document, over the matched windows of one
-    alignment, and distinct values for distinct ones of a kind."""
+    alignment, and distinct values for distinct ones of a kind. With ``slots``, values found before must agree, and new ones are added."""
     words = np.unique((matched[:, None] + np.arange(WINDOW)).ravel())
     words = words[(words < len(item.own)) & (item.kind[np.minimum(words, len(item.own) - 1)] != PLAIN)]
     there = words + offset
     words, there = words[(there >= 0) & (there < len(own))], there[(there >= 0) & (there < len(own))]
-    forth: dict = {}
-    back: dict = {}
+    forth, back = slots or ({}, {})
+    new, new_back = {}, {}
     for w, d in zip(words, there):
-        a, b = (int(item.kind[w]), int(item.own[w])), (int(kind[d]), int(own[d]))
-        if forth.setdefault(a, b) != b or back.setdefault(b, a) != a:
+        a, b = (int(item.kind[w]), int(item.own[w])), (int(item.kind[w]), int(own[d]))
+        if forth.get(a, b) != b or back.get(b, a) != a or new.setdefault(a, b) != b or new_back.setdefault(b, a) != a:
             return False
+    forth.update(new)
+    back.update(new_back)
     return True
 
 
@@ -102,9 +121,9 @@ class Block:
         cache = Tokens()
         items = [Item(i, t.encode() if t is not None else None, cache) for i, t in rows]
         self.items = [x for x in items if len(x.own)]
-        hashes = np.concatenate([y for x in self.items for y in (x.windows, x.plain)] or [np.empty(0, np.uint64)])
-        item = np.repeat(np.arange(len(self.items)), [2 * len(x.windows) for x in self.items])
-        at = np.concatenate([np.arange(len(x.windows)) for x in self.items for _ in "ab"] or [np.empty(0, np.int64)])
+        hashes = np.concatenate([x.windows for x in self.items] or [np.empty(0, np.uint64)])
+        item = np.repeat(np.arange(len(self.items)), [len(x.windows) for x in self.items])
+        at = np.concatenate([x.at for x in self.items] or [np.empty(0, np.int64)])
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.item, self.at = hashes[order], item[order], at[order]
         self.hint = np.zeros(1 << 20, bool)
@@ -112,49 +131,55 @@ class Block:
 
     def matches(self, text: bytes | None, cache: Tokens) -> list[tuple[int, float, bool]]:
         """Item, share of its windows found, and whether values were changed, of each item in the text."""
-        own, kind, hashed = template(spaced(text), cache)
+        own, _, readings = template(spaced(text), cache)
         if not len(own) or not len(self.hashes):
             return []
-        windows = np.r_[positions(hashed), positions(own)]  # names are not seen in a text without case
-        maybe = np.flatnonzero(self.hint[(windows >> np.uint64(44)).astype(np.int64)])
-        left, right = np.searchsorted(self.hashes, windows[maybe]), np.searchsorted(self.hashes, windows[maybe], "right")
+        hashes, places = windows(readings)
+        maybe = np.flatnonzero(self.hint[(hashes >> np.uint64(44)).astype(np.int64)])
+        left, right = np.searchsorted(self.hashes, hashes[maybe]), np.searchsorted(self.hashes, hashes[maybe], "right")
         maybe, left, right = maybe[left < right], left[left < right], right[left < right]
         if not len(maybe):
             return []
-        place = np.repeat(maybe % (len(windows) // 2), right - left)
+        place = np.repeat(places[maybe], right - left)
         entry = np.concatenate([np.arange(i, j) for i, j in zip(left, right)])
         item, at = self.item[entry], self.at[entry]
         found = []
         for number in np.unique(item):
             mine = item == number
             whole = self.items[number]
-            if len(np.unique(at[mine])) < SHARE * len(whole.windows):
+            if len(np.unique(at[mine])) < SHARE * whole.count:
                 continue
             offsets = place[mine] - at[mine]
             best = None
             for offset in np.unique(offsets):  # one alignment of the item with the text each
                 matched = np.unique(at[mine][offsets == offset])
-                share = len(matched) / len(whole.windows)
-                if share >= SHARE and (best is None or share > best[0]) and consistent(whole, own, kind, int(offset), matched):
+                share = len(matched) / whole.count
+                if share >= SHARE and (best is None or share > best[0]) and consistent(whole, own, int(offset), matched):
                     words = np.unique((matched[:, None] + np.arange(WINDOW)).ravel())
                     words = words[(words < len(whole.own)) & (words + offset < len(own))]
                     best = (share, bool((whole.own[words] != own[words + offset]).any()))
-            if best is None and self._apart(whole, own, kind, place[mine], at[mine]):
-                best = (len(np.unique(at[mine])) / len(whole.windows), False)
+            if best is None and self._apart(whole, own, place[mine], at[mine]):
+                best = (len(np.unique(at[mine])) / whole.count, False)
             if best:
                 found.append((whole.item_id, float(best[0]), best[1]))
         return found
 
     @staticmethod
-    def _apart(item: Item, own: np.ndarray, kind: np.ndarray, place: np.ndarray, at: np.ndarray) -> bool:
-        """Windows that only together reach the share, as after an insertion: the item's own words within twice its length."""
+    def _apart(item: Item, own: np.ndarray, place: np.ndarray, at: np.ndarray) -> bool:
+        """Windows that only together reach the share, as after an insertion: within twice the item's length, with one value of
+        each slot in all of them. Those of like alignment come first, so that a chance window does not set the values."""
         span = 2 * len(item.own)
         order = np.argsort(place, kind="stable")
         place, at = place[order], at[order]
         for i in range(len(place)):
             j = np.searchsorted(place, place[i] + span, "right")
-            near = {int(a) for a, p in zip(at[i:j], place[i:j]) if consistent(item, own, kind, int(p - a), np.array([a]))}
-            if len(near) >= SHARE * len(item.windows):
+            if len(np.unique(at[i:j])) < SHARE * item.count:
+                continue
+            offsets, slots, near = place[i:j] - at[i:j], ({}, {}), set()
+            for k in np.argsort(abs(offsets - offsets[0]), kind="stable"):
+                if consistent(item, own, int(offsets[k]), at[i + k:i + k + 1], slots):
+                    near.add(int(at[i + k]))
+            if len(near) >= SHARE * item.count:
                 return True
         return False
 
@@ -163,7 +188,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item in it: ``doc_id``, ``item_id``, ``share``, ``changed``.
 
     Words lose their case and punctuation, numbers, names and units become
-    placeholders, and windows of five words of these templates are joined by
+    placeholders (with and without names at sentence starts, and without any names), and windows of five words of these templates are joined by
     hash. An item is in a text when at least 0.75 of its windows are, in one
     alignment in which each of its values stands for one value (or, after
     insertions, close to each other); ``changed`` tells that values
