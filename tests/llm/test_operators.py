@@ -64,6 +64,28 @@ def test_jaccard_join_spreads_hot_keys(make_docs, odd_rows, monkeypatch):
     same(jaccard_join.near_duplicates(make_docs(rows)), [(d, w) for (d, _), w in zip(rows, want)], ["doc_id", "component_id"])
 
 
+def test_jaccard_join_has_every_link(make_docs, odd_rows):
+    odd_rows = odd_rows + [(500 + i, near(9, 400, 2 + i)) for i in range(12)]
+    sets = [brute.shingles(t) for _, t in odd_rows]
+    distinct = sorted(set(sets) - {frozenset()}, key=sorted)
+    similar = [(x, y) for i, x in enumerate(distinct) for y in distinct[i + 1:] if 4 * len(x & y) >= 3 * len(x | y)]
+    count = Counter(x for pair in similar for x in pair)
+    df, pairs = jaccard_join.joined(make_docs(odd_rows))
+    got = df.collect()
+    want, _ = brute.near_components(odd_rows)
+    assert Counter((r["doc_id"], r["component_id"], r["links"]) for r in got) == Counter(
+        (d, w if s else d, count[s]) for (d, _), w, s in zip(odd_rows, want, sets))
+    named = {}
+    for r in got:
+        named.setdefault(r["cls"], set()).add(r["doc_id"])
+    by_set = {}
+    for (d, _), s in zip(odd_rows, sets):
+        by_set.setdefault(s, set()).add(d)
+    as_ids = lambda x, y, names: frozenset((frozenset(names[x]), frozenset(names[y])))
+    assert Counter(as_ids(r["a"], r["b"], named) for r in pairs.collect()) == Counter(as_ids(x, y, by_set) for x, y in similar)
+    assert max(count.values()) > 5
+
+
 def test_a_hot_key_is_not_cut_off_behind_an_unmarked_row(spark):
     """Class 1 comes without a mark first; its key is hot in the other flush, so class 9 must meet classes 2 and 3."""
     def packed(classes, hot_local):

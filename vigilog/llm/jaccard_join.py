@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.llm import similarity
+from vigilog.llm.components import components
 from vigilog.llm.text import WordHash, bitmap, input_columns, raw, set_hash, shingle_sets
 from vigilog.session import durable
 
@@ -125,6 +126,12 @@ def _contents(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFra
     return durable(docs.mapInArrow(fetch, "row long, items binary").join(chosen, "row").select("cls", "items"), "items")
 
 
+def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The whole join: documents as by ``near_duplicates`` but with ``links`` as the exact number of classes that theirs links
+    with, and all links as pairs of classes ``a`` < ``b``, each once. Their documents are those with these ``cls``."""
+    return _joined(docs, True)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: ``row``, ``doc_id``, ``n_shingles``, ``component_id``, ``keep``, ``cls``, ``links``.
 
@@ -140,8 +147,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     The shingles of each distinct set are put in one order, rarest first as far
     as known, and a set enters one tile per shingle of its prefix and band of
     its size. Within tiles, bit counts of hashed bitmaps bound the overlap before
-    sorted arrays are intersected.
+    sorted arrays are intersected. Only as many links are checked as the components need; ``joined`` has them all.
     """
+    return _joined(docs, False)[0]
+
+
+def _joined(docs: DataFrame, every: bool) -> tuple[DataFrame, DataFrame | None]:
     spark = docs.sparkSession
     docs = input_columns(docs).select("*", F.monotonically_increasing_id().alias("row"))
     scanned = durable(_scan(docs), "sets")
@@ -155,7 +166,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = int(max(4, entries // similarity.ENTRIES_PER_PART + 1))
     tiles = durable(similarity.shared_tiles(_postings(docs, order, parts), parts), "tiles")
     marks = durable(classes.join(tiles.select("cls").distinct(), "cls").select("cls", "n", "bits"), "marks")
-    linked = durable(similarity.link(tiles, marks, lambda wanted: _contents(docs, classes, wanted)), "linked")
+    fetch = lambda wanted: _contents(docs, classes, wanted)
+    pairs = similarity.all_links(tiles, marks, fetch) if every else None
+    linked = durable(components(pairs) if every else similarity.link(tiles, marks, fetch), "linked")
 
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), F.col("row")))
     rooted = sets.where("cls <> 0").groupBy("cls").agg(first.alias("least")) \
@@ -163,11 +176,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("cls", "least", F.coalesce("root", "cls").alias("root"), F.col("node").isNotNull().alias("links"))
     best = rooted.where("links").groupBy("root").agg(F.min("least").alias("best"))
     named = rooted.join(best, "root", "left").select("cls", "links", F.coalesce("best", "least").alias("best"))
+    if every:
+        named = named.drop("links").join(similarity.link_counts(pairs), "cls", "left")
+    none = F.lit(0).cast("long") if every else F.lit(False)
     return sets.join(named, "cls", "left").select(
         "row", "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("best").isNull(), F.col("doc_id")).when(F.col("best.doc_id") != _LAST, F.col("best.doc_id")).alias("component_id"),
         F.coalesce(F.col("row") == F.col("best.row"), F.lit(True)).alias("keep"),
-        "cls", F.coalesce("links", F.lit(False)).alias("links"))
+        "cls", F.coalesce("links", none).alias("links")), pairs
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

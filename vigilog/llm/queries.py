@@ -36,7 +36,7 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "links")
+    return jaccard_join.joined(_documents(spark, sf_dir))[0].select("doc_id", "n_shingles", "component_id", "cls", "links")
 
 
 @_query

@@ -307,6 +307,18 @@ def link(tiles: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
     return _joined(known, verify(durable(near.distinct(), "pairs"), fetch))
 
 
+def all_links(tiles: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
+    """Every pair ``a`` < ``b`` of similar classes, once; similar classes always share a tile. As many rows as there are links."""
+    pairs = tiles.alias("x").join(tiles.alias("y"), "tile").where("x.cls < y.cls") \
+        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+    return durable(verify(durable(bounded(pairs, marks).select("a", "b"), "pairs"), fetch), "pairs")
+
+
+def link_counts(links: DataFrame) -> DataFrame:
+    """Number of links of each class with one: ``cls``, ``links``."""
+    return links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg(F.count("*").alias("links"))
+
+
 def _joined(known: DataFrame, more: DataFrame) -> DataFrame:
     """Components of components and further links."""
     return components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
