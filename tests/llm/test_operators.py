@@ -247,6 +247,17 @@ def test_url_filter(spark):
     assert [r["verdict"] for r in none] == ["allow"]
 
 
+def test_url_filter_samples_each_class_to_its_bound(spark):
+    """A rare class stays in the sample, and one URL with a third of the rows does not break the bound."""
+    rows = [(i, "hot" if i % 3 == 0 else f"u{i}", 1.0) for i in range(6000)] + [(9000 + i, f"rare{i}", 0.0) for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, label double")
+    got = Counter(r["label"] for r in url_filter.class_samples(df, {1.0: 6000, 0.0: 3}, 200).collect())
+    assert got == {1.0: 197, 0.0: 3}
+    copies = spark.createDataFrame([(1, "one", 1.0)] * 5000 + [(2, "two", 0.0)] * 4000, "page_id long, url string, label double")
+    got = Counter(r["label"] for r in url_filter.class_samples(copies, {1.0: 5000, 0.0: 4000}, 90).collect())
+    assert got == {1.0: 50, 0.0: 40}
+
+
 def test_token_store_round_trip(spark, make_docs, odd_rows, tmp_path):
     rows = odd_rows + [(900, "Don't <|endoftext|> STOP!! x'. é. 3.14 naïve\u00a0word ΑΣ. fin#*"), (901, "<|STARTOFTEXT|>..."), (902, "a'.b")]
     path = str(tmp_path / "store")

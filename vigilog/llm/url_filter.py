@@ -73,11 +73,36 @@ def lexical(url: Column, host_name: Column, path_name: Column) -> dict[str, Colu
         "fragment": (F.locate("#", url) > 0).cast("int")}
 
 
+def class_bounds(per: dict, most: int) -> dict:
+    """Rows of each of two classes to learn from: all, or ``most`` in proportion with a twentieth for the rare one at least."""
+    if sum(per.values()) <= most:
+        return per
+    rare = min(per, key=per.get)
+    own = min(per[rare], max(1, most // 20, most * per[rare] // sum(per.values())))
+    return {c: own if c == rare else min(n, most - own) for c, n in per.items()}
+
+
+def class_samples(rows: DataFrame, per: dict, most: int) -> DataFrame:
+    """So many rows of each ``label``, by a hash of page_id and URL: never none of a class, and never more than the bound."""
+    parts = None
+    for label, bound in class_bounds(per, most).items():
+        mine = rows.where(F.col("label") == label)
+        if bound < per[label]:
+            by = F.xxhash64("page_id", "url")
+            limit = int((1.5 * bound + 500) / per[label] * (1 << 62))
+            some = mine.where(F.pmod(by, F.lit(1 << 62)) < F.lit(min(limit, 1 << 62)))  # so that few rows are sorted
+            if some.limit(bound).count() == bound:  # fewer only if a few pages with very many copies are the class
+                mine = some
+            mine = mine.orderBy(by).limit(bound)
+        parts = mine if parts is None else parts.union(mine)
+    return parts
+
+
 def judge(pages: DataFrame, rules=RULES, training_rows: int = TRAINING_ROWS, seed: int = 11) -> DataFrame:
     """One row per page: ``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``score`` (of block).
 
     URLs that a rule fits take its verdict, and they are the labels: a bounded
-    sample of them (``training_rows``, by a hash of the URL) trains gradient-boosted
+    sample of each class (``training_rows`` in all, by a hash of page_id and URL) trains gradient-boosted
     trees, which judge the others. Share of blocked URLs per host suffix is counted
     over all labelled rows. Without two labelled classes there is nothing to learn:
     others get the one class there is, or allow. Null URLs, and those without
@@ -101,18 +126,14 @@ def judge(pages: DataFrame, rules=RULES, training_rows: int = TRAINING_ROWS, see
         only = float(*per) if per else 0.0
         scored = rows.withColumn("score", F.lit(only))
     else:
-        share = int(min(1.0, training_rows / sum(per.values())) * 1_000_000)
-        sample = rows.where("found is not null").where(F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < share) \
-            .withColumn("label", (F.col("found.verdict") == "block").cast("double"))
+        labelled = rows.where("found is not null").withColumn("label", (F.col("found.verdict") == "block").cast("double"))
+        sample = class_samples(labelled.select("page_id", "url", "label", *FEATURES), per, training_rows)
         vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
         trees = GBTClassifier(maxDepth=4, maxIter=10, stepSize=0.3, seed=seed, maxBins=32, cacheNodeIds=False)
         sample = durable(sample.select("label", *FEATURES), "labelled")
-        if sample.select("label").distinct().count() < 2:
-            scored = rows.withColumn("score", F.lit(0.0))
-        else:
-            model = trees.fit(vectors.transform(sample).select("features", "label"))
-            scored = model.transform(vectors.transform(rows)) \
-                .withColumn("score", vector_to_array("probability").getItem(1))
+        model = trees.fit(vectors.transform(sample).select("features", "label"))
+        scored = model.transform(vectors.transform(rows)) \
+            .withColumn("score", vector_to_array("probability").getItem(1))
     own = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", F.col("found.rule").alias("rule"),
                          F.coalesce("found.verdict", own).alias("verdict"),
