@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilog.llm import (
-    decontaminate, exact_dedup, jaccard_join, license_scan, mixing, passage_dedup, sharding, token_store, toxicity, url_filter)
+    decontaminate, exact_dedup, jaccard_join, license_scan, mixing, passage_dedup, sharding, token_store, toxicity, url_filter,
+    whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -115,3 +116,8 @@ CHECK_SQL["op9_mixing"] = r"""
 @_query
 def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_dedup.removals(_documents(spark, sf_dir))
+
+
+@_query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
