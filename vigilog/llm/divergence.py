@@ -52,7 +52,7 @@ PRIOR = 5
 SHARE = 1_000_000_000
 TOP = 50
 SLICE = 1 << 20
-FLUSH = 1_000_000
+FLUSH = 1 << 18
 BLOCK_ROWS, LEAST_BLOCKS = 50_000, 64
 MOST_SPLIT = 1_000_000
 
@@ -390,7 +390,7 @@ def pair_distances(kept: DataFrame, groups: DataFrame) -> DataFrame:
             n = np.array(counts.column("n").to_pylist(), object)
             shares = np.array([1 + SHARE * (int(c) + PRIOR) // (int(totals[s]) + PRIOR * v) for c, s in zip(n, at, strict=True)], np.int64)
             empty = np.array([1 + SHARE * PRIOR // (int(t) + PRIOR * v) for t in totals], np.int64)
-            wide = max(1, (1 << 22) // g)
+            wide = max(1, (1 << 20) // g)
             for first in range(0, len(keys), wide):
                 here = (of >= first) & (of < first + wide)
                 matrix = np.repeat(empty[:, None], min(wide, len(keys) - first), 1)
