@@ -52,7 +52,7 @@ PRIOR = 5
 SHARE = 1_000_000_000
 TOP = 50
 SLICE = 1 << 20
-FLUSH = 1 << 18
+FLUSH = 1 << 19
 BLOCK_ROWS, LEAST_BLOCKS = 50_000, 64
 MOST_SPLIT = 1_000_000
 
