@@ -202,12 +202,42 @@ def test_toxicity(spark, make_docs):
 
 def test_pairs_of_terms_count():
     """Two terms that are toxic only together: no sum of weights separates them."""
-    a, b = np.array([11], np.int32), np.array([22], np.int32)
-    docs = ([a] * 100 + [b] * 100 + [np.array([11, 22], np.int32)] * 100 + [np.array([33], np.int32)] * 100)
-    labels = np.array([0] * 200 + [1] * 100 + [0] * 100)
-    model = toxicity.fit_machine(docs, labels)
-    score = [model.score(np.searchsorted(model.terms, x[np.isin(x, model.terms)])) for x in (a, b, docs[200])]
-    assert score[0] < 0.5 and score[1] < 0.5 and score[2] > 0.5
+    a, b, both, other = (np.array(x, np.int32) for x in ([11], [22], [11, 22], [33]))
+    model = toxicity.fit_machine([a, b, both, other] * 100, np.array([0, 0, 1, 0] * 100), size=64)
+    assert (model.scores([a, b, both]) >= 0.5).tolist() == [False, False, True]
+
+
+def test_a_pair_alone_tells_the_classes(spark, make_docs):
+    """Toxic with both words or with neither: by itself no word is more frequent in one class, so only pairs can tell."""
+    r = random.Random(8)
+    rows, labels = [], []
+    for i in range(1600):
+        one, two = r.random() < 0.5, r.random() < 0.5
+        rows.append((i, " ".join([r.choice(["p", "q"]) + str(r.randrange(3)), "group" if one else "crowd", "insult" if two else "praise"])))
+        labels.append((i, int(one == two)))
+    df = toxicity.judge(make_docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()
+    want = dict(labels)
+    assert len(df) > 200 and np.mean([x["predicted"] == want[x["doc_id"]] for x in df]) > 0.95
+
+
+@pytest.mark.parametrize("labels", [[], [(1, None)], [(1, 0), (2, 0)], [(None, 1)]])
+def test_without_toxic_labels_nothing_is_toxic(spark, make_docs, labels):
+    docs, table = make_docs([(1, "a b"), (2, None), (3, "")]), spark.createDataFrame(labels, "doc_id long, toxic int")
+    assert all(x["predicted"] == 0 for x in toxicity.judge(docs, table).collect())
+    docs = docs.withColumnRenamed("score", "_toxicity").withColumn("odd name", toxicity.F.lit(1))
+    kept = toxicity.drop_toxic(docs, toxicity.train(docs, table))
+    assert kept.count() == 3 and kept.columns == docs.columns
+    assert toxicity.judge(docs.where("false"), table).count() == 0
+
+
+def test_training_takes_what_fits(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAINING_TERMS", 60)
+    taken = []
+    monkeypatch.setattr(toxicity, "fit_machine", lambda docs, labels: taken.append((docs, labels)))
+    rows = [(i, " ".join(prose(i, 20))) for i in range(40)]
+    toxicity.train(make_docs(rows), spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    docs, labels = taken[0]
+    assert 0 < sum(len(d) for d in docs) <= 60 and len(docs) == len(labels)
 
 
 @pytest.mark.parametrize("limit", [1, 300, 2000, 10**9])

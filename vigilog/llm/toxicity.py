@@ -1,4 +1,18 @@
-"""Toxicity by a factorization machine over hashed terms."""
+"""Toxicity by a factorization machine over hashed terms.
+
+Every term of a text is hashed into a space of fixed size, and all of it is
+learned: a weight and ``FACTORS`` factors for each hashed term, whether or not
+the term tells the classes apart by itself. What only a pair of terms says is
+learned by the product of their factors. A document's value is ``w0`` + the sum
+of its terms' weights + the sum of products over all pairs of them, divided by the
+number of terms so that long texts don't drown in pairs, through a sigmoid.
+
+Training takes a bounded sample of labelled documents, in order of a hash of
+the id: ``TRAINING_ROWS`` at most, and of these the first whose distinct terms
+are ``TRAINING_TERMS`` together. Their hashed terms are the only thing that
+reaches the driver. Terms that no training document has say nothing, so their
+weights are 0. Without a toxic label every score is below 0.5.
+"""
 
 from __future__ import annotations
 
@@ -9,16 +23,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigilog.llm.text import raw, small_batches
+from vigilog.session import durable
 
-TERMS = 1 << 22            # hashed terms
-TRAINING_ROWS = 20_000     # labelled documents that are fitted on, at most
-FEATURES = 1024            # terms kept, by how much they tell the classes apart
-LEAST_Z = 4.0
+TERMS = 1 << 18               # hashed terms
+TRAINING_ROWS = 20_000        # labelled documents that are fitted on, at most
+TRAINING_TERMS = 12_000_000   # distinct terms of these documents, added up, at most
 FACTORS = 8
-STEPS = 150
-RATE = 0.05
+UPDATES = 400                 # batches that are learned from; small tables are passed over more often
+BATCH = 256
+RATE, BIAS_RATE = 20.0, 1.0   # of the slopes of a batch; steps are equal for all terms, so frequent terms are learned before rare ones
 PENALTY = 1e-4
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -36,7 +52,9 @@ class Terms(dict):
 
 def terms_of(text: bytes | None, cache: dict) -> np.ndarray:
     """Distinct terms of a whole text."""
-    return np.array(sorted(set(map(cache.__getitem__, text.split())) - {-1}) if text else [], np.int32)
+    words = text.split() if text else []
+    terms = np.unique(np.fromiter(map(cache.__getitem__, words), np.int32, len(words)))
+    return terms[1:] if len(terms) and terms[0] < 0 else terms
 
 
 def fold(doc_id: Column) -> Column:
@@ -45,62 +63,62 @@ def fold(doc_id: Column) -> Column:
 
 
 class Machine:
-    """w0 + sum of weights + sum over pairs of the dot products of their factors, through a sigmoid."""
-
-    def __init__(self, terms: np.ndarray, w0: float, w: np.ndarray, v: np.ndarray):
-        self.terms, self.w0, self.w, self.v = terms, w0, w, v
-
-    def score(self, features: np.ndarray) -> float:
-        """Of a document with these rows of ``w`` and ``v``."""
-        total = self.v[features].sum(axis=0)
-        value = self.w0 + self.w[features].sum() + 0.5 * float((total ** 2 - (self.v[features] ** 2).sum(axis=0)).sum())
-        return float(1 / (1 + np.exp(-np.clip(value, -30, 30))))
-
-
-def select_terms(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Sorted terms whose share of documents differs most between the classes."""
-    flat = np.concatenate([*docs, np.empty(0, np.int32)])
-    of = np.repeat(labels, [len(d) for d in docs])
-    all_, bad = np.bincount(flat, minlength=TERMS), np.bincount(flat[of == 1], minlength=TERMS)
-    n, n1 = max(len(labels), 1), max(int(labels.sum()), 1)
-    n0 = max(n - n1, 1)
-    p = all_ / n
-    z = np.abs(bad / n1 - (all_ - bad) / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-    z[all_ < 3] = 0
-    best = np.argsort(-z, kind="stable")[:FEATURES]
-    return np.sort(best[z[best] >= LEAST_Z]).astype(np.int32)
-
-
-def fit_machine(docs: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> Machine:
-    """Logistic loss by full-batch Adam over the bounded sample. Without two classes the score is the one class's share."""
-    y = labels.astype(np.float64)
-    share = (y.sum() + 0.5) / (len(y) + 1)
-    terms = select_terms(docs, labels)
-    bias = float(np.log(share / (1 - share)))
-    w, v = np.zeros(len(terms)), np.random.default_rng(seed).normal(0, 0.05, (len(terms), FACTORS))
-    if not len(terms):
-        return Machine(terms, bias, w, v)
-    hits = [np.searchsorted(terms, d[np.isin(d, terms)]) for d in docs]
-    row, col = np.repeat(np.arange(len(hits)), [len(h) for h in hits]), np.concatenate(hits)
-    params, first, second = np.c_[w, v], np.zeros((len(terms), FACTORS + 1)), np.zeros((len(terms), FACTORS + 1))
-    bias_first = bias_second = 0.0
-
-    def per(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-        return np.stack([np.bincount(index, values[:, k], n) for k in range(values.shape[1])], axis=1)
-
-    for step in range(1, STEPS + 1):
-        own = params[col]
-        total = per(row, own, len(y))
-        squares = np.bincount(row, (own[:, 1:] ** 2).sum(axis=1), len(y))
-        value = bias + total[:, 0] + 0.5 * ((total[:, 1:] ** 2).sum(axis=1) - squares)
-        error = (1 / (1 + np.exp(-np.clip(value, -30, 30))) - y) / len(y)
-        slope = np.c_[np.ones(len(row)), total[row, 1:] - own[:, 1:]] * error[row, None]
-        gradient = per(col, slope, len(terms)) + PENALTY * params
-        first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient ** 2
-        params -= RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-        bias_first, bias_second = 0.9 * bias_first + 0.1 * error.sum(), 0.999 * bias_second + 0.001 * error.sum() ** 2
-        bias -= RATE * (bias_first / (1 - 0.9 ** step)) / (np.sqrt(bias_second / (1 - 0.999 ** step)) + 1e-8)
-    return Machine(terms, float(bias), params[:, 0], params[:, 1:])
+    """``w0``, and a row of weight and factors for every hashed term."""
+
+    def __init__(self, w0: float, rows: np.ndarray):
+        self.w0, self.rows = w0, rows
+
+    def scores(self, docs: list[np.ndarray]) -> np.ndarray:
+        """Of documents given by their distinct terms."""
+        return 1 / (1 + np.exp(-np.clip(self._values(docs)[0], -30, 30).astype(np.float64)))
+
+    def _values(self, docs: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Values of documents, sums of their rows, and the terms and rows themselves one after the other."""
+        counts = np.array([len(d) for d in docs], np.int64)
+        terms = np.concatenate([*docs, np.empty(0, np.int32)])
+        own = self.rows[terms]
+        total, squares = np.zeros((len(docs), own.shape[1]), np.float32), np.zeros(len(docs), np.float32)
+        some = counts > 0
+        starts = (np.cumsum(counts) - counts)[some]
+        if len(starts):
+            total[some] = np.add.reduceat(own, starts, axis=0)
+            squares[some] = np.add.reduceat((own[:, 1:] ** 2).sum(axis=1), starts)
+        pairs = 0.5 * ((total[:, 1:] ** 2).sum(axis=1) - squares) / np.maximum(counts, 1).astype(np.float32)
+        return self.w0 + total[:, 0] + pairs, total, terms, own, counts
+
+
+def fit_machine(docs: list[np.ndarray], labels: np.ndarray, seed: int = 5, size: int = TERMS, updates: int = UPDATES) -> Machine:
+    """Logistic loss by small batches of plain steps; a batch touches the terms it has."""
+    draw = np.random.default_rng(seed)
+    y = labels.astype(np.float32)
+    share = (float(y.sum()) + 0.5) / (len(y) + 2)
+    rows = np.zeros((size, FACTORS + 1), np.float32)
+    rows[:, 1:] = draw.normal(0, 0.02, (size, FACTORS))
+    machine = Machine(float(np.log(share / (1 - share))), rows)
+    seen = np.zeros(size, bool)
+    for d in docs:
+        seen[d] = True
+    rows[~seen] = 0
+    if not len(y) or y.min() == y.max():  # one class, or no document: nothing to tell apart
+        rows[:] = 0
+        return machine
+    for _ in range(-(-updates // -(-len(docs) // BATCH))):
+        order = draw.permutation(len(docs))
+        for start in range(0, len(order), BATCH):
+            part = order[start:start + BATCH]
+            value, total, terms, own, counts = machine._values([docs[i] for i in part])
+            error = (1 / (1 + np.exp(-np.clip(value, -30, 30))) - y[part]).astype(np.float32)
+            row = np.repeat(np.arange(len(part)), counts)
+            others = (total[row, 1:] - own[:, 1:]) / counts.astype(np.float32)[row, None]
+            slope = np.c_[np.ones(len(row), np.float32), others] * error[row, None]
+            if len(terms):
+                by = np.argsort(terms, kind="stable")
+                first = np.flatnonzero(np.r_[True, np.diff(terms[by]) != 0])
+                at = terms[by][first]
+                gradient = np.add.reduceat(slope[by], first, axis=0) / len(part) + PENALTY * rows[at]
+                rows[at] -= RATE * gradient
+            machine.w0 -= BIAS_RATE * float(error.mean())
+    return machine
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Machine:
@@ -122,30 +140,30 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mach
             ids = batch.column("doc_id").to_pylist()
             at = [i for i, d in enumerate(ids) if d in chosen.value]
             texts = raw(batch.column("text").take(pa.array(at, pa.int64())))
+            terms = [terms_of(t, cache) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[i] for i in at], pa.int64()),
-                 pa.array([terms_of(t, cache).tobytes() for t in texts], pa.binary())], ["doc_id", "terms"])
+                [pa.array([ids[i] for i in at], pa.int64()), pa.array([len(t) for t in terms], pa.int64()),
+                 pa.array([t.tobytes() for t in terms], pa.binary())], ["doc_id", "n", "terms"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(pick, "doc_id long, terms binary").groupBy("doc_id").agg(F.min("terms").alias("terms")) \
-        .orderBy("doc_id").collect()
-    terms = [np.frombuffer(r["terms"], np.int32) for r in found]
-    return fit_machine(terms, np.array([chosen.value[r["doc_id"]] for r in found], np.int64))
-
-
-class Features(dict):
-    """Word to row of the machine, -1 for none."""
-
-    def __init__(self, terms: np.ndarray):
-        super().__init__()
-        self.hashed, self.at = Terms(), {int(t): i for i, t in enumerate(terms)}
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-            self.hashed.clear()
-        value = self[word] = self.at.get(self.hashed[word], -1)
-        return value
+        .mapInArrow(pick, "doc_id long, n long, terms binary").groupBy("doc_id").agg(F.min(F.struct("n", "terms")).alias("t"))
+    found = durable(found.select("doc_id", "t.n", "t.terms", F.xxhash64("doc_id").alias("place")), "toxicity-terms")
+    sizes = sorted((r["place"], r["doc_id"], r["n"]) for r in found.select("place", "doc_id", "n").collect())
+    fits = np.cumsum([n for _, _, n in sizes]) <= TRAINING_TERMS
+    if not fits.any():
+        return fit_machine([], np.empty(0, np.int64))
+    place, doc_id = (F.lit(x).cast("long") for x in sizes[int(fits.sum()) - 1][:2])
+    kept = found.where((F.col("place") < place) | (F.col("place") == place) & (F.col("doc_id") <= doc_id)).orderBy("place", "doc_id")
+    rows_ = kept.select("doc_id", "terms").collect()
+    return fit_machine([np.frombuffer(r["terms"], np.int32) for r in rows_], np.array([chosen.value[r["doc_id"]] for r in rows_], np.int64))
+
+
+def _scores(machine: Machine, batch: pa.RecordBatch, cache: Terms) -> np.ndarray:
+    out = []
+    texts = raw(batch.column("text"))
+    for at in range(0, len(texts), 100):
+        out.append(machine.scores([terms_of(t, cache) for t in texts[at:at + 100]]))
+    return np.concatenate([*out, np.empty(0)])
 
 
 def add_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
@@ -153,25 +171,33 @@ def add_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFra
     model = docs.sparkSession.sparkContext.broadcast(machine)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Features(model.value.terms)
+        cache = Terms()
         for batch in batches:
-            values = []
-            for text in raw(batch.column("text")):
-                hits = set(map(cache.__getitem__, text.split())) if text else set()
-                hits.discard(-1)
-                values.append(model.value.score(np.array(sorted(hits), np.int64)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())],
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_scores(model.value, batch, cache), pa.float64())],
                                              names=[*batch.schema.names, name])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(score, f"{fields}, `{name}` double")
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
+def drop_toxic(docs: DataFrame, machine: Machine, limit: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, whose score is below ``limit``. No name of a column matters but ``text``."""
+    model = docs.sparkSession.sparkContext.broadcast(machine)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = Terms()
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(model.value, batch, cache) < limit))
+
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, ``held_out``, ``score``, ``predicted``.
 
     The score depends on the text alone; labels, language, source and id never
-    enter it. Empty and null texts get the share of toxic documents, about.
+    enter it. Empty and null texts get the share of toxic documents, about. An
+    empty table gives no rows; empty or null labels give scores below 0.5.
     Repeated rows get equal scores. Other columns are not read.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
