@@ -11,7 +11,7 @@ from vigilog.session import durable
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine rejects go."""
     machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.add_score(docs, machine, "_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    return toxicity.drop_toxic(docs, machine)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
