@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
 from tests.conftest import as_values, record
 from vigilog.operators import parsing
-from vigilog.plans import tables
+from vigilog.plans import lookups, records, selection, statistics, streams, tables  # noqa: F401  (they register queries)
+from vigilog.plans.registry import QUERIES
 
 
 def plan_of(df):
@@ -19,7 +19,7 @@ def plans(spark, sf_dir):
     names = ["dedup_first", "priority_sample", "rate_limit", "stats_grouping_sets", "count_by_severity", "recent_events",
              "page_events", "retain_last_n", "login_attempt_number", "correlated_pairs", "session_gaps",
              "session_lookup", "correlation_chains", "events_per_minute", "high_severity_metrics", "validate_events"]
-    return {n: plan_of(entry_points.queries()[n](spark, sf_dir)) for n in names}
+    return {n: plan_of(QUERIES[n](spark, sf_dir)) for n in names}
 
 
 @pytest.mark.parametrize("name", ["dedup_first", "priority_sample", "rate_limit"])
@@ -54,8 +54,8 @@ def test_only_bounded_sides_are_broadcast_by_hint(spark, sf_dir):
     """With automatic broadcasts off, only the hot keys and their lookup rows are broadcast."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        lookup = plan_of(entry_points.queries()["session_lookup"](spark, sf_dir))
-        enrich = plan_of(entry_points.queries()["enrich_user"](spark, sf_dir))
+        lookup = plan_of(QUERIES["session_lookup"](spark, sf_dir))
+        enrich = plan_of(QUERIES["enrich_user"](spark, sf_dir))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in enrich and "SortMergeJoin" in enrich
@@ -78,7 +78,7 @@ def test_filters_reach_the_scan(spark, sf_dir):
 def test_a_record_is_parsed_once(spark, sf_dir):
     parsed = parsing.good_records(parsing.parse_value(as_values(spark, [record(0)])))
     assert plan_of(parsed.select("event_id", "severity")).count("from_json(") == 1
-    plan = plan_of(entry_points.queries()["parse_json"](spark, sf_dir))
+    plan = plan_of(QUERIES["parse_json"](spark, sf_dir))
     assert plan.count("from_json(") == 1 and plan.count("StructsToJsonEvaluator(Map(ignoreNullFields") == 1
 
 
@@ -86,8 +86,8 @@ def test_checks_are_counted_in_one_pass(plans):
     assert len(re.findall(r"FileScan parquet [^\n]*events.parquet", plans["validate_events"])) == 1
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry_points.queries() if not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
 def test_no_cross_joins_and_no_python(spark, sf_dir, name):
-    plan = plan_of(entry_points.queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "InPandas", "BatchEvalPython"):
         assert word not in plan

@@ -10,6 +10,7 @@ from vigilog.functions import times
 from vigilog.operators.enrich import lookup_hot
 from vigilog.operators.ordered import bucketed, running_sum
 from vigilog.operators.skew import HOT_ROWS
+from vigilog.session import durable
 
 MAX_SESSION = "8 hours"
 
@@ -72,6 +73,32 @@ def session_lookup(events: DataFrame, sessions: DataFrame | None = None) -> Data
             .withColumns({"live": live, "session_start": F.when(live, F.col("_from"))}).drop("_from", "_until"))
 
 
+def lifecycle(events: DataFrame, max_age: str = MAX_SESSION) -> DataFrame:
+    """One row per session id with its fixed end; events behind the end don't belong to it.
+
+    It begins with its first event and is open from its first login, if that
+    comes within ``max_age`` of the beginning. It ends with the first logout
+    from then on, else ``max_age`` after the login, or the beginning without
+    one. Every step is an aggregation combined map-side and a lookup that keeps
+    hot ids apart.
+    """
+    age = F.expr(f"INTERVAL {max_age}")
+    login, logout = F.col("event_type") == "LOGIN_SUCCESS", F.col("event_type") == "LOGOUT"
+    rows = events.filter(F.col("session_id").isNotNull()).select("session_id", "event_type", "ts")
+    begun = rows.groupBy("session_id").agg(F.min("ts").alias("_first"), F.min(F.when(login, F.col("ts"))).alias("_login"))
+    begun = begun.withColumn("created_at", F.when(F.col("_login") <= F.col("_first") + age, F.col("_login")))
+    begun = begun.select("session_id", "created_at", (F.coalesce("created_at", "_first") + age).alias("_limit"))
+    outs = lookup_hot(rows.filter(logout), begun, "session_id").filter(F.col("ts").between(F.col("created_at"), F.col("_limit")))
+    ended = outs.groupBy("session_id").agg(F.min("ts").alias("ended_at"))
+    spans = durable(begun.join(ended, "session_id", "left"), "sessions").select(
+        "session_id", "created_at", "ended_at", F.coalesce("ended_at", "_limit").alias("ends_at"))
+    own = lookup_hot(rows, spans, "session_id").filter(F.col("ts") <= F.col("ends_at"))
+    state = F.when(F.col("created_at").isNull(), "unopened").when(F.col("ended_at").isNull(), "expired").otherwise("closed")
+    return (own.groupBy("session_id", "created_at", "ended_at", "ends_at")
+            .agg(F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("events"))
+            .withColumn("state", state))
+
+
 def gap_sessions(events: DataFrame, gap_seconds: int, key: str = "user_id", bucket_seconds: int = 3600,
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Sessions per key: a pause longer than the gap starts a new one.

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vigilog.operators import dedup, sampling, views
+from vigilog.operators import dedup, rank_index, sampling, views
 from vigilog.operators.sessions import login_attempts
 from vigilog.plans.records import COUNTRY_CITY
 from vigilog.plans.registry import query
 from vigilog.plans.tables import located_events, se_cte, sec_events
+from vigilog.session import scratch_dir
+from vigilog.sinks.seen_index import SeenIndex
 
 SE = se_cte()
 RANK = "CASE severity WHEN 'CRITICAL' THEN 5 WHEN 'HIGH' THEN 4 WHEN 'MEDIUM' THEN 3 WHEN 'LOW' THEN 2 ELSE 1 END"
@@ -57,6 +59,17 @@ def anti_join_seen(spark, sf_dir):
     return dedup.drop_seen(repeated(e).select("event_id", "arrival_seq", "event_type", "severity"), history(e))
 
 
+@query(COPIED + f"""SELECT event_id, arrival_seq, event_type, severity FROM se2
+  WHERE event_id NOT IN (SELECT event_id FROM se WHERE ts < TIMESTAMP '{CUT}')""")
+def anti_join_indexed(spark, sf_dir):
+    """The same by an index of the history, built in two batches: its buckets are read where a filter asks for it."""
+    e = sec_events(spark, sf_dir)
+    index = SeenIndex(spark, scratch_dir(spark, "seen"))
+    for batch_id in range(2):
+        index.add(history(e).filter(F.col("event_id") % 2 == batch_id), "event_id", batch_id)
+    return index.drop_seen(repeated(e).select("event_id", "arrival_seq", "event_type", "severity"))
+
+
 @query(COPIED + "SELECT event_id, arrival_seq, event_type, severity FROM se")
 def append_dedup(spark, sf_dir):
     """The first part of the log as history, the whole log with repeats as new events."""
@@ -156,6 +169,29 @@ def page_events(spark, sf_dir):
     return _numbered(views.page(e, 3, field="Severity"), "Severity", start=100).select("event_id", "pos")
 
 
+NUMBERED = f"""SELECT event_id, row_number() OVER (ORDER BY {RANK} DESC, arrival_seq) AS pos, {RANK} AS rank FROM se"""
+
+
+@query(SE + f"""SELECT event_id, pos FROM ({NUMBERED}) t, (SELECT ceil(count(*) / 50.0)::BIGINT * 3 // 4 AS number FROM se) p
+  WHERE pos > (number - 1) * 50 AND pos <= number * 50""")
+def page_deep(spark, sf_dir):
+    """A page three quarters down the log by severity, from a kept view."""
+    e = sec_events(spark, sf_dir).select("event_id", "arrival_seq", "severity")
+    view = rank_index.build(e, scratch_dir(spark, "view"), "Severity")
+    pages = view.page_info(1).first()["pages"]
+    return view.page(pages * 3 // 4).select("event_id", "pos")
+
+
+@query(SE + f"""SELECT event_id, pos FROM ({NUMBERED}) t,
+    (SELECT (min(pos) - 1) // 50 + 1 AS number FROM ({NUMBERED}) s WHERE rank <= 2) p
+  WHERE pos > (number - 1) * 50 AND pos <= number * 50""")
+def page_seek(spark, sf_dir):
+    """The page on which the events of LOW severity begin."""
+    e = sec_events(spark, sf_dir).select("event_id", "arrival_seq", "severity")
+    view = rank_index.build(e, scratch_dir(spark, "view"), "Severity")
+    return view.page(view.page_of(2)).select("event_id", "pos")
+
+
 @query(SE + """SELECT count(*) AS total, CAST(ceil(count(*) / 50.0) AS BIGINT) AS pages, least(count(*), 101) AS first_row,
   least(count(*), 150) AS last_row FROM se""")
 def page_info(spark, sf_dir):

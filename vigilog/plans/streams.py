@@ -4,21 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vigilog.operators import sessions
 from vigilog.plans import lookups, records, selection, statistics
 from vigilog.plans.registry import query
-from vigilog.plans.tables import as_records, event_table, located, se_cte, table
+from vigilog.plans.tables import as_records, event_table, located, se_cte, sec_events, table
 from vigilog.session import scratch_dir
 from vigilog.sinks import batches, snapshots
 from vigilog.sources import files
-from vigilog.streaming import ingest
+from vigilog.streaming import ingest, lifecycle, timeline
 
 SE = se_cte()
 
 
-def stream_events(spark, sf_dir, with_location=False):
-    """The event log as a stream, its time as an instant."""
+BATCHES = 4
+
+
+def in_files(spark, sf_dir, flush=()):
+    """The event table in files of successive times, as a log would grow; ``flush`` adds bare rows so much later, a file each."""
     source = table(spark, sf_dir, "events")
-    flat = event_table(files.stream_table(spark, f"{sf_dir}/events.parquet", source.schema))
+    low, high = source.agg(F.min("event_id"), F.max("event_id")).first()
+    path = f"{scratch_dir(spark, 'log')}/events.parquet"
+    step = (high - low) // BATCHES + 1
+    for start in range(low, high + 1, step):
+        source.filter(F.col("event_id").between(start, start + step - 1)).coalesce(1).write.mode("append").parquet(path)
+    for after in flush:
+        late = source.agg((F.max("ts") + F.expr(f"INTERVAL {after}")).alias("ts"))
+        late.select(*[F.col("ts") if c == "ts" else F.lit(None).cast(source.schema[c].dataType).alias(c) for c in source.columns]) \
+            .coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def stream_events(spark, sf_dir, with_location=False, path=None):
+    """The event log as a stream, its time as an instant: one batch, or with ``path`` a batch per file of it."""
+    source = table(spark, sf_dir, "events")
+    flat = event_table(files.stream_table(spark, path or f"{sf_dir}/events.parquet", source.schema, 1 if path else None))
     if with_location:
         flat = located(flat, table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
     return flat.withColumn("ts", F.col("ts").cast("timestamp"))
@@ -59,6 +78,18 @@ def stream_stats_table(spark, sf_dir):
     return files.load_stats(spark, out)
 
 
+@query(SE + "SELECT event_id, event_type FROM se")
+def stream_dedup_indexed(spark, sf_dir):
+    """The log sent twice in several batches, each event taken once by the index of seen ids, without a horizon."""
+    path = in_files(spark, sf_dir)
+    e = stream_events(spark, sf_dir, path=path).select("event_id", "arrival_seq", "event_type")
+    again = e.withColumn("arrival_seq", F.col("arrival_seq") + F.lit(1000000000000))
+    late = stream_events(spark, sf_dir).select("event_id", "arrival_seq", "event_type").filter("event_id % 10 = 3")
+    spark, out = _drain(e.unionByName(again).unionByName(late), "dedup-indexed",
+                        lambda path: batches.unseen(f"{path}/new", f"{path}/seen"))
+    return spark.read.parquet(f"{out}/new").select("event_id", "event_type")
+
+
 @query(SE + "SELECT event_id, event_type FROM se")
 def stream_dedup(spark, sf_dir):
     """The log sent twice, each event taken once."""
@@ -68,8 +99,8 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(out).select("event_id", "event_type")
 
 
-def _sampled(spark, sf_dir, sampling_on):
-    e = stream_events(spark, sf_dir).select("event_id", "arrival_seq", "severity", F.to_date("ts").cast("string").alias("day"))
+def _sampled(spark, sf_dir, sampling_on, path=None):
+    e = stream_events(spark, sf_dir, path=path).select("event_id", "arrival_seq", "severity", F.to_date("ts").cast("string").alias("day"))
     spark, out = _drain(e, "sample", lambda path: batches.sampled(f"{path}/accepted", f"{path}/state", ["day"],
                                                                   sampling=sampling_on))
     return spark.read.parquet(f"{out}/accepted")
@@ -85,6 +116,52 @@ def stream_priority_sample(spark, sf_dir):
     return _sampled(spark, sf_dir, True).select("event_id", "day", "place", "accepted")
 
 
+@query(SE + selection.LIMITED)
+def stream_rate_limit_parts(spark, sf_dir):
+    """The limit over several batches, whose borders lie inside of windows."""
+    return _sampled(spark, sf_dir, False, in_files(spark, sf_dir)).select("event_id", "day", "place")
+
+
+@query(SE + selection.PRIORITY)
+def stream_priority_sample_parts(spark, sf_dir):
+    return _sampled(spark, sf_dir, True, in_files(spark, sf_dir)).select("event_id", "day", "place", "accepted")
+
+
+@query(SE + "SELECT event_id, ts, event_type FROM se ORDER BY arrival_seq DESC LIMIT 1000")
+def stream_retained_parts(spark, sf_dir):
+    e = stream_events(spark, sf_dir, path=in_files(spark, sf_dir)).select("event_id", "arrival_seq", "ts", "event_type")
+    spark, out = _drain(e, "retained", batches.retained)
+    return _ntz(spark.read.parquet(snapshots.latest_version(spark, out)).drop("arrival_seq"), "ts")
+
+
+@query(SE + statistics.LONG_FORM)
+def stream_stats_table_parts(spark, sf_dir):
+    e = stream_events(spark, sf_dir, with_location=True, path=in_files(spark, sf_dir))
+    spark, out = _drain(e, "stats", batches.running_stats)
+    return files.load_stats(spark, out)
+
+
+def _rolling(spark, sf_dir, horizon):
+    e = stream_events(spark, sf_dir, path=in_files(spark, sf_dir)).select("ts", "event_type")
+    spark, out = _drain(e, "timeline", lambda path: timeline.rolling(path, horizon))
+    return _ntz(timeline.timeline(spark, out, horizon=horizon), "minute")
+
+
+ROLLING = """SELECT date_trunc('minute', ts) AS minute, event_type, count(*) AS n FROM se
+  WHERE ts > date_trunc('second', (SELECT max(ts) FROM se) + INTERVAL 999999 MICROSECONDS) - INTERVAL {horizon} GROUP BY 1, 2"""
+
+
+@query(SE + ROLLING.format(horizon="30 MINUTES"))
+def stream_timeline(spark, sf_dir):
+    """The rolling timeline after several batches, as of the newest second."""
+    return _rolling(spark, sf_dir, "30 minutes")
+
+
+@query(SE + ROLLING.format(horizon="1 DAY"))
+def stream_timeline_day(spark, sf_dir):
+    return _rolling(spark, sf_dir, "1 day")
+
+
 @query(SE + "SELECT event_id, ts, event_type FROM se ORDER BY arrival_seq DESC LIMIT 1000")
 def stream_retained(spark, sf_dir):
     e = stream_events(spark, sf_dir).select("event_id", "arrival_seq", "ts", "event_type")
@@ -114,6 +191,49 @@ def stream_session_lifecycle(spark, sf_dir):
     return _ntz(spark.read.parquet(f"{out}/ended").drop("batch_id"), "created_at", "ended_at", "first_seen", "last_seen")
 
 
+# Sessions with a fixed end; events behind it are outside.
+LIFE = f""", life_1 AS (SELECT session_id, min(ts) AS f, min(CASE WHEN event_type = 'LOGIN_SUCCESS' THEN ts END) AS l
+    FROM se WHERE session_id IS NOT NULL GROUP BY session_id),
+  life_2 AS (SELECT session_id, CASE WHEN l <= f + INTERVAL 8 HOURS THEN l END AS created_at,
+      CASE WHEN l <= f + INTERVAL 8 HOURS THEN l ELSE f END + INTERVAL 8 HOURS AS deadline FROM life_1),
+  life_3 AS (SELECT a.session_id, created_at, deadline,
+      min(CASE WHEN event_type = 'LOGOUT' AND ts >= created_at AND ts <= deadline THEN ts END) AS ended_at
+    FROM life_2 a JOIN se b ON a.session_id = b.session_id GROUP BY a.session_id, created_at, deadline),
+  life AS (SELECT a.session_id, created_at, ended_at, coalesce(ended_at, deadline) AS ends_at, min(ts) AS first_seen, max(ts) AS last_seen,
+      count(*) AS events, CASE WHEN created_at IS NULL THEN 'unopened' WHEN ended_at IS NULL THEN 'expired' ELSE 'closed' END AS state
+    FROM life_3 a JOIN se b ON a.session_id = b.session_id WHERE ts <= coalesce(ended_at, deadline)
+    GROUP BY a.session_id, created_at, ended_at, deadline)"""
+TIMES = ["created_at", "ended_at", "first_seen", "last_seen", "ends_at"]
+
+
+@query(se_cte(LIFE) + "SELECT * FROM life")
+def session_lifecycle(spark, sf_dir):
+    e = sec_events(spark, sf_dir).select("session_id", "event_type", "ts")
+    return sessions.lifecycle(e)
+
+
+@query(se_cte(LIFE) + "SELECT * FROM life WHERE ends_at < (SELECT max(ts) FROM se) - INTERVAL 10 MINUTES")
+def stream_session_state(spark, sf_dir):
+    """Sessions as keyed state with timers, over a log of several files: those over when it stops."""
+    e = stream_events(spark, sf_dir, path=in_files(spark, sf_dir)).select("session_id", "event_type", "ts")
+    spark, out = _drain(lifecycle.session_rows(e), "session-state")
+    return _ntz(spark.read.parquet(out).drop("batch_id"), *TIMES)
+
+
+@query(se_cte(LIFE) + """SELECT event_id, se.session_id, coalesce(ts >= created_at AND ts <= ends_at, false) AS live,
+  CASE WHEN ts >= created_at AND ts <= ends_at THEN created_at END AS session_start
+  FROM se LEFT JOIN life ON se.session_id = life.session_id""")
+def stream_session_lookup(spark, sf_dir):
+    """Every event of the log with its live session: two streams of several files, joined by interval."""
+    path = in_files(spark, sf_dir, flush=["3 days", "6 days"])
+    columns = ["event_id", "session_id", "event_type", "ts"]
+    events, again = (stream_events(spark, sf_dir, path=path).select(*columns) for _ in range(2))
+    found = lifecycle.live_lookup(events, lifecycle.session_rows(again))
+    spark, out = _drain(found, "session-lookup")
+    return _ntz(spark.read.parquet(out).filter("event_id IS NOT NULL").select("event_id", "session_id", "live", "session_start"),
+                "session_start")
+
+
 ACCEPTED = se_cte(also=f""", kept AS (SELECT event_id FROM (
     SELECT *, CAST(sum(CASE WHEN candidate THEN 1 ELSE 0 END) OVER (PARTITION BY day ORDER BY place) AS BIGINT) AS accepted
     FROM (SELECT *, place <= 16 OR {selection.HIGH} OR place % 3 = 0 AS candidate

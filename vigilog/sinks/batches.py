@@ -14,6 +14,7 @@ from vigilog.operators.dedup import append_new, keep_first
 from vigilog.operators.sampling import continue_sample
 from vigilog.operators.views import retain_last
 from vigilog.sinks import snapshots
+from vigilog.sinks.seen_index import BUCKETS, FAN, SeenIndex
 
 OnBatch = Callable[[DataFrame, int], None]
 
@@ -73,6 +74,25 @@ def checked(dead: str, invalid: str, then: OnBatch) -> OnBatch:
     return on_batch
 
 
+def unseen(out: str, index: str, key: str = "event_id", buckets: int = BUCKETS, then: OnBatch | None = None) -> OnBatch:
+    """First arrival per key over all batches: what the index of seen keys does not hold yet.
+
+    There is no horizon, and only the buckets that may hold a key of the batch
+    are read. The keys of a batch join the index after its rows were written;
+    a batch that is retried asks the versions before it, so it writes the same.
+    """
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        seen = SeenIndex(df.sparkSession, index, buckets)
+        write_batch(seen.drop_seen(keep_first(df, key), key, before=batch_id), out, batch_id)
+        fresh = df.sparkSession.read.schema(df.schema).parquet(batch_path(out, batch_id))
+        seen.add(fresh, key, batch_id)
+        if batch_id % FAN == 0:
+            seen.compact(batch_id)
+        if then is not None:
+            then(fresh, batch_id)
+    return on_batch
+
+
 def retained(path: str, n: int = 1000, fmt: str = "parquet") -> OnBatch:
     """Keep the last n events in a versioned table (or JSON snapshot) of at most n rows."""
     def on_batch(df: DataFrame, batch_id: int) -> None:
