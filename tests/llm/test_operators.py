@@ -230,14 +230,16 @@ def test_without_toxic_labels_nothing_is_toxic(spark, make_docs, labels):
     assert toxicity.judge(docs.where("false"), table).count() == 0
 
 
-def test_training_takes_what_fits(spark, make_docs, monkeypatch):
-    monkeypatch.setattr(toxicity, "TRAINING_TERMS", 60)
-    taken = []
-    monkeypatch.setattr(toxicity, "fit_machine", lambda docs, labels: taken.append((docs, labels)))
-    rows = [(i, " ".join(prose(i, 20))) for i in range(40)]
-    toxicity.train(make_docs(rows), spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
-    docs, labels = taken[0]
-    assert 0 < sum(len(d) for d in docs) <= 60 and len(docs) == len(labels)
+def test_training_takes_what_fits(spark, make_docs):
+    rows = [(i, " ".join(prose(i, 20))) for i in range(40)] + [(3, "again")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(45)], "doc_id long, toxic int")
+    outside = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    whole = toxicity.sample(make_docs(rows), labels).collect()
+    assert sorted(r["doc_id"] for r in whole) == outside and all(r["toxic"] == r["doc_id"] % 2 for r in whole)
+    some = toxicity.sample(make_docs(rows), labels, terms=60).collect()
+    first = sorted(whole, key=lambda r: r["place"])[:len(some)]
+    assert {r["doc_id"] for r in some} == {r["doc_id"] for r in first} and 0 < sum(r["n"] for r in some) <= 60
+    assert toxicity.sample(make_docs(rows), labels, terms=0).count() == 0 and toxicity.sample(make_docs(rows), labels, rows=7).count() <= 7
 
 
 @pytest.mark.parametrize("limit", [1, 300, 2000, 10**9])

@@ -9,8 +9,8 @@ number of terms so that long texts don't drown in pairs, through a sigmoid.
 
 Training takes a bounded sample of labelled documents, in order of a hash of
 the id: ``TRAINING_ROWS`` at most, and of these the first whose distinct terms
-are ``TRAINING_TERMS`` together. Their hashed terms are the only thing that
-reaches the driver. Terms that no training document has say nothing, so their
+are ``TRAINING_TERMS`` together. One task learns from them, and the machine, a
+table of fixed size, is all that reaches the driver. Terms that no training document has say nothing, so their
 weights are 0. Without a toxic label every score is below 0.5.
 """
 
@@ -121,41 +121,55 @@ def fit_machine(docs: list[np.ndarray], labels: np.ndarray, seed: int = 5, size:
     return machine
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Machine:
-    """Fit on at most ``rows`` labelled documents outside the held-out fold, chosen by a hash of the id.
+def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, terms: int = TRAINING_TERMS) -> DataFrame:
+    """Labelled documents outside the held-out fold, in order of a hash of the id, while they stay within both bounds:
+    ``place`` (the hash), ``doc_id``, ``toxic``, ``n`` and ``terms``.
 
     A document with several labels is toxic when one says so; null labels and
     labels without a document are passed over, and of repeated documents one row is used.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    sample = labels.where("toxic is not null and doc_id is not null") \
+    labelled = labels.where("toxic is not null and doc_id is not null") \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")) \
         .where(fold(F.col("doc_id")) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
-    chosen = spark.sparkContext.broadcast({r["doc_id"]: r["toxic"] for r in sample})  # at most `rows` numbers
+    chosen = spark.sparkContext.broadcast({r["doc_id"]: r["toxic"] for r in labelled})  # at most `rows` numbers
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Terms()
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             at = [i for i, d in enumerate(ids) if d in chosen.value]
-            texts = raw(batch.column("text").take(pa.array(at, pa.int64())))
-            terms = [terms_of(t, cache) for t in texts]
+            found = [terms_of(t, cache) for t in raw(batch.column("text").take(pa.array(at, pa.int64())))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[i] for i in at], pa.int64()), pa.array([len(t) for t in terms], pa.int64()),
-                 pa.array([t.tobytes() for t in terms], pa.binary())], ["doc_id", "n", "terms"])
-
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(pick, "doc_id long, n long, terms binary").groupBy("doc_id").agg(F.min(F.struct("n", "terms")).alias("t"))
-    found = durable(found.select("doc_id", "t.n", "t.terms", F.xxhash64("doc_id").alias("place")), "toxicity-terms")
-    sizes = sorted((r["place"], r["doc_id"], r["n"]) for r in found.select("place", "doc_id", "n").collect())
-    fits = np.cumsum([n for _, _, n in sizes]) <= TRAINING_TERMS
-    if not fits.any():
+                [pa.array([ids[i] for i in at], pa.int64()), pa.array([chosen.value[ids[i]] for i in at], pa.int32()),
+                 pa.array([len(t) for t in found], pa.int64()), pa.array([t.tobytes() for t in found], pa.binary())],
+                ["doc_id", "toxic", "n", "terms"])
+
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .mapInArrow(pick, "doc_id long, toxic int, n long, terms binary").groupBy("doc_id").agg(F.min(F.struct("n", "terms", "toxic")).alias("t"))
+    picked = durable(picked.select(F.xxhash64("doc_id").alias("place"), "doc_id", "t.toxic", "t.n", "t.terms"), "toxicity-terms")
+    sizes = sorted((r["place"], r["doc_id"], r["n"]) for r in picked.select("place", "doc_id", "n").collect())
+    fits = int((np.cumsum([n for _, _, n in sizes]) <= terms).sum())
+    if not fits:
+        return picked.limit(0)
+    place, doc_id = (F.lit(x).cast("long") for x in sizes[fits - 1][:2])
+    return picked.where((F.col("place") < place) | (F.col("place") == place) & (F.col("doc_id") <= doc_id))
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Machine:
+    """Fit on the bounded sample. It is one task's work; the driver gets the machine alone."""
+
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("place", "ascending"), ("doc_id", "ascending")])
+        found = [np.frombuffer(t.as_buffer(), np.int32) for t in table.column("terms")]
+        machine = fit_machine(found, table.column("toxic").to_numpy())
+        return pa.table({"w0": pa.array([machine.w0]), "rows": pa.array([machine.rows.tobytes()], pa.binary())})
+
+    row = sample(docs, labels, rows).withColumn("all", F.lit(0)).groupBy("all").applyInArrow(fit, "w0 double, rows binary").first()
+    if row is None:
         return fit_machine([], np.empty(0, np.int64))
-    place, doc_id = (F.lit(x).cast("long") for x in sizes[int(fits.sum()) - 1][:2])
-    kept = found.where((F.col("place") < place) | (F.col("place") == place) & (F.col("doc_id") <= doc_id)).orderBy("place", "doc_id")
-    rows_ = kept.select("doc_id", "terms").collect()
-    return fit_machine([np.frombuffer(r["terms"], np.int32) for r in rows_], np.array([chosen.value[r["doc_id"]] for r in rows_], np.int64))
+    return Machine(row["w0"], np.frombuffer(row["rows"], np.float32).reshape(TERMS, FACTORS + 1))
 
 
 def _scores(machine: Machine, batch: pa.RecordBatch, cache: Terms) -> np.ndarray:
