@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -20,8 +22,12 @@ MOST_BITS = 17             # longest code; three bytes hold one at any bit
 LANE = 64                  # tokens between two checkpoints
 BLOCK_TOKENS = 65_536      # a block ends with the document that reaches this
 PART_TOKENS = 8_000_000    # tokens of a file, about
-_CACHE = 400_000
+PIECE_BYTES = 8 << 20      # of text that is split at a time
+_CACHE = 600_000
 _PUNCTUATION = b".,#*&$%!|:;?"
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+# The letters of bytes that no printable character has: U+0100 on, in order (fixed by the vocabulary files).
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
 # --- tokenizing
@@ -32,8 +38,9 @@ class WordIds(dict):
     The tokenizer cuts at white space and treats each piece by itself, so a
     text's ids are those of its words in a row. A run of punctuation after a
     letter or digit is a piece of its own, and ASCII case does not matter unless
-    the word may hold a special token. A word of a-z alone is one piece that no
-    rule before the model changes, so the model gets it directly.
+    the word may hold a special token. A word of small Latin-1 letters is one
+    piece that no rule before the model changes, so the model gets its bytes
+    directly, written as the letters that stand for bytes.
     """
 
     def __init__(self, file: str, kind: str):
@@ -43,8 +50,8 @@ class WordIds(dict):
 
     def _encode(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if word.isalpha() and word.islower():
-            ids = [token.id for token in self.model.tokenize(text)]
+        if _PLAIN.fullmatch(text):
+            ids = [token.id for token in self.model.tokenize(word.decode("latin-1").translate(_BYTE_LETTERS))]
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array(self.pack, ids).tobytes()
@@ -64,6 +71,8 @@ class WordIds(dict):
             return self._encode(word)
         if not word.isascii():
             stem = word.rstrip(_PUNCTUATION)
+            if stem == word and (text := word.decode("utf-8", "replace")) != text.lower() and _PLAIN.fullmatch(text.lower()):
+                return self[text.lower().encode()]
             letter = stem.decode("utf-8", "replace")[-1:].lower()[-1:]
             return self._encode(word) if stem == word or not letter.isalpha() else self[stem] + self[word[len(stem):]]
         low = word.lower()
@@ -83,6 +92,37 @@ def word_ids(file: str, kind: str) -> WordIds:
     return _WORDS[file, kind]
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch, some megabytes of text at a time."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + PIECE_BYTES, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def ids_of(texts: pa.Array, words: WordIds, kind: str, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in a row, each with the end id, and their number per text.
+
+    Arrow splits the texts and names their distinct words; only these are looked up.
+    """
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    named = pc.dictionary_encode(lists.flatten())
+    known = [words[word] if word else b"" for word in named.dictionary.cast(pa.binary()).to_pylist()]
+    known.append(np.array([end], kind).tobytes())
+    length = np.array([len(x) for x in known], np.int64) // np.dtype(kind).itemsize
+    first = np.cumsum(length) - length
+    table = np.frombuffer(b"".join(known), kind)
+    offsets = lists.offsets.to_numpy()
+    at = np.insert(named.indices.to_numpy().astype(np.int64), offsets[1:] - offsets[0], len(known) - 1)
+    n = length[at]
+    stops = np.cumsum(n)
+    ids = table[np.repeat(first[at] - (stops - n), n) + np.arange(int(n.sum()))]
+    marks = np.flatnonzero(at == len(known) - 1)
+    return ids, np.diff(np.r_[0, stops[marks]])
+
+
 def tokenize(docs: DataFrame, file: str, end: int = END) -> DataFrame:
     """Kind 0: ``row``, ``doc_id``, ``ids`` (packed) and ``n``. Kind 1: counts (``n``) of the ids (``row``)."""
     size = max(Tokenizer.from_file(file).get_vocab_size(), end + 1)
@@ -90,14 +130,15 @@ def tokenize(docs: DataFrame, file: str, end: int = END) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = word_ids(file, kind), np.zeros(size, np.int64)
-        last = np.array([end], kind).tobytes()
         for batch in batches:
-            ids = [b"".join(map(words.__getitem__, text.split())) + last if text else last for text in raw(batch.column("text"))]
-            counts += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=size)
-            n = [len(x) // np.dtype(kind).itemsize for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * len(n), pa.int32()), batch.column("row"), batch.column("doc_id"), pa.array(n, pa.int64()),
-                 pa.array(ids, pa.binary())], ["kind", "row", "doc_id", "n", "ids"])
+            for piece in _pieces(batch):
+                ids, n = ids_of(piece.column("text"), words, kind, end)
+                counts += np.bincount(ids, minlength=size)
+                ends = np.r_[0, np.cumsum(n * ids.itemsize)].astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.zeros(len(n), np.int32)), piece.column("row"), piece.column("doc_id"), pa.array(n), packed],
+                    ["kind", "row", "doc_id", "n", "ids"])
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array([1] * len(at), pa.int32()), pa.array(at, pa.int64()), pa.nulls(len(at), pa.int64()),
