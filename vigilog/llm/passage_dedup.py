@@ -20,13 +20,12 @@ LEAST = 6            # words of a paragraph: two shingles
 LONG = 100           # longer paragraphs have segments too
 CUT = 32             # a segment begins where a hash is the least of as many places before and after
 WRAPPED = 25         # words of a line, at most, in a text whose lines may be one paragraph
-BANDS, ROWS = 6, 3   # of a window; two that are not equal are rarely similar, as one change breaks up to five shingles of 26
+BANDS, ROWS = 12, 3  # of paragraphs and segments. At similarity 0.75: 1 - (1 - 0.75**3)**12 = 0.9986 of pairs collide; equal units always do
 MARGIN = SPACING - 1  # the first and last window of a repeated passage lie at most so many words inside it
-MORE_BANDS = 12      # of paragraphs and segments. At similarity 0.75: 1 - (1 - 0.75**3)**12 = 0.9986 of pairs collide; equal units always do
 PARAGRAPH, SEGMENT, WINDOW = range(3)
 _SHINGLES = LENGTH - SHINGLE + 1
 _CHUNK_WORDS = 300_000
-_SEEDS = [np.uint64(pow(0xA3EC647659359ACD, j + 1, 1 << 64) | 1) for j in range(MORE_BANDS * ROWS)]
+_SEEDS = [np.uint64(pow(0xA3EC647659359ACD, j + 1, 1 << 64) | 1) for j in range(BANDS * ROWS)]
 _BASE = 0xD1342543DE82EF95
 _BASE_BACK = pow(_BASE, -1, 1 << 64)
 
@@ -141,23 +140,22 @@ def _segments(begin: np.ndarray, size: np.ndarray, rank: np.ndarray, valid: np.n
 
 
 def band_keys(found: Units) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """MinHash of the units' shingles, ROWS at a time, as 32-bit keys, with the numbers of their units.
+    """MinHash of the shingles of paragraphs and segments, ROWS at a time, as 32-bit keys, with the numbers of their units.
 
-    Paragraphs and segments have MORE_BANDS, windows the first BANDS of them.
+    Windows have none: equal ones are one class, and two that differ are hardly
+    ever similar, as one changed word breaks up to five of their 26 shingles.
     """
-    window = found.kind == WINDOW
-    some = np.flatnonzero(window)
-    others = np.flatnonzero(~window)
-    ends = np.column_stack([found.at[others], found.at[others] + found.length[others] - SHINGLE + 1]).ravel()
-    for b in range(MORE_BANDS):
-        mine = others if b >= BANDS else np.r_[others, some]
+    mine = np.flatnonzero(found.kind != WINDOW)
+    if not len(mine):
+        return
+    # In the order of the text, or what lies between two units would be gone over for every unit.
+    mine = mine[np.argsort(found.at[mine], kind="stable")]
+    ends = np.column_stack([found.at[mine], found.at[mine] + found.length[mine] - SHINGLE + 1]).ravel()
+    for b in range(BANDS):
         key = np.full(len(mine), b + 1, np.uint64)
         for seed in _SEEDS[b * ROWS:(b + 1) * ROWS]:
             hashed = mix(found.shingles * seed) >> np.uint64(32)
-            least = np.minimum.reduceat(np.r_[hashed, np.uint64(0)], ends)[::2] if len(others) else hashed[:0]
-            if b < BANDS:
-                least = np.r_[least, _slide(hashed, _SHINGLES)[found.at[some]]]
-            key = mix(key + least)
+            key = mix(key + np.minimum.reduceat(np.r_[hashed, np.uint64(0)], ends)[::2])
         yield (key >> np.uint64(32)).astype(np.uint32), mine
 
 
@@ -200,8 +198,9 @@ def _postings(docs: DataFrame, parts: int) -> DataFrame:
         cache, held, size = WordHash(), [], 0
         for rows, _, texts in _chunks(batches):
             found = units(texts, cache)
-            cls, pick = np.unique(found.classes(), return_index=True)
-            found = found.pick(pick)
+            classes, banded = found.classes(), np.flatnonzero(found.kind != WINDOW)
+            cls, pick = np.unique(classes[banded], return_index=True)
+            found = found.pick(banded[pick])
             tags = (mix(np.array(rows, np.int64).view(np.uint64)) & np.uint64(0xFFFF)).astype(np.int64)[found.text]
             for key, mine in band_keys(found):
                 held.append((key, cls[mine], tags[mine]))
@@ -337,7 +336,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     once = durable(places.groupBy("cls").agg(
         F.count("*").alias("size"), F.min("row").alias("low"), F.max("row").alias("high"),
         F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "row")).alias("first")), "units")
-    entries = once.count() * (BANDS + MORE_BANDS) // 2
+    entries = once.count() * BANDS // 3  # most units are windows
     parts = int(max(4, entries // similarity.ENTRIES_PER_PART + 1))
     tiles = durable(similarity.shared_tiles(_postings(docs, parts), parts, tags=True), "tiles")
     chosen = durable(tiles.select("cls").distinct().join(once.select("cls", F.col("first.row").alias("row")), "cls"), "chosen")
