@@ -242,3 +242,22 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session, "x")
+
+
+def test_null_keys_in_a_statistics_document(spark):
+    from vigilog.operators import stats
+    table = spark.createDataFrame([("event_type", None, 3), ("event_type", "LOGOUT", 2), ("severity", None, 5), ("total", "total", 5)],
+                                  "dimension string, key string, n long")
+    back = stats.read_stats_document(stats.stats_document(table))
+    assert {(r.dimension, r.key): r.n for r in back.collect()} == {
+        ("event_type", None): 3, ("event_type", "LOGOUT"): 2, ("severity", None): 5, ("total", "total"): 5}
+
+
+def test_sketches_merge_to_the_union(spark):
+    from vigilog.operators import stats
+    def part(low, high):
+        return spark.range(low, high).selectExpr("concat('v', id) AS user_id", "CAST(NULL AS STRING) AS session_id")
+    columns = ("user_id", "session_id")
+    merged = stats.merge_sketches(*[stats.distinct_sketches(part(a, b), columns) for a, b in ((0, 4000), (3000, 9000), (0, 10))])
+    found = {r.dimension: r.n for r in stats.distinct_estimates(merged).collect()}
+    assert abs(found["user_id"] - 9000) <= 0.02 * 9000 and found["session_id"] == 0

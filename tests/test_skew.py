@@ -200,3 +200,28 @@ def test_sampler_closed_form_equals_the_loop(spark, windows, budget):
     want = sorted((w, i) for w, seq in enumerate(windows) for i in sequential_sample(seq, budget))
     got = sampling.priority_sample(df, ["w"], budget).select("w", "arrival_seq").collect()
     assert sorted(tuple(r) for r in got) == want
+
+
+@pytest.mark.parametrize("budget", [10, 4000])
+def test_sampling_of_one_window_with_any_budget(spark, budget):
+    """A third of all events in one window, and a budget on either side of what Spark cuts before the shuffle."""
+    from vigilog.operators import sampling
+    n = 20_000
+    e = spark.range(n).select(
+        F.col("id").alias("arrival_seq"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("w"),
+        F.when(F.col("id") % 7 == 0, "HIGH").otherwise("INFO").alias("severity"))
+    got = {}
+    for r in sampling.priority_sample(e, ["w"], budget).collect():
+        got.setdefault(r.w, []).append((r.place, r.arrival_seq, r.accepted))
+    windows = {}
+    for i in range(n):
+        windows.setdefault(0 if i % 3 == 0 else i % 500, []).append((i, i % 7 == 0))
+    for w, events in windows.items():
+        accepted, want = 0, []
+        for place, (i, high) in enumerate(events, 1):
+            if accepted >= budget:
+                break
+            if high or place % 3 == 0 or accepted <= budget // 2:
+                accepted += 1
+                want.append((place, i, accepted))
+        assert sorted(got.get(w, [])) == want

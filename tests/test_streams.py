@@ -162,6 +162,35 @@ def test_windows_without_events_leave_the_sampler(spark, tmp_path):
         assert sorted(r.w for r in state.collect()) == list(range(max(0, batch_id - 1), batch_id + 1))
 
 
+@pytest.mark.parametrize("keys", [["w"], ["shard", "w"]])
+def test_a_closed_window_never_gets_a_second_budget(spark, tmp_path, keys):
+    """Sixty events of one window around a batch without any of it: 30 at most are accepted, before and after."""
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    step = batches.sampled(out, state, keys, budget=30, sampling=False, forget_after=1)
+
+    def events(w, first, n, shard="a"):
+        return [(first + i, w, shard, "HIGH", f"e{first + i}") for i in range(n)]
+    parts = [events(5, 0, 20), events(5, 20, 20), events(6, 40, 5), events(5, 45, 20) + events(7, 65, 3) + events(5, 70, 4, "b"), []]
+    for batch_id, part in enumerate(parts):
+        df = spark.createDataFrame(part, "arrival_seq long, w long, shard string, severity string, event_id string")
+        for _ in range(2):
+            step(df, batch_id)
+    got = {(r.shard, r.w): r.n for r in spark.read.parquet(out).groupBy("shard", "w").agg(F.count(F.lit(1)).alias("n")).collect()}
+    other = {("b", 5): 4} if len(keys) == 2 else {}
+    assert got == {("a", 5): 30, ("a", 6): 5, ("a", 7): 3, **other}
+    assert spark.read.parquet(snapshots.latest_version(spark, f"{state}_closed")).count() == len(keys)
+
+
+def test_state_of_the_sampler_stays_small(spark, tmp_path):
+    step = batches.sampled(str(tmp_path / "out"), str(tmp_path / "state"), ["w"], budget=2, forget_after=2)
+    sizes = []
+    for batch_id in range(12):
+        step(spark.createDataFrame([(batch_id * 4 + i, batch_id, "INFO", "e") for i in range(4)],
+                                   "arrival_seq long, w long, severity string, event_id string"), batch_id)
+        sizes.append(spark.read.parquet(snapshots.latest_version(spark, str(tmp_path / "state"))).count())
+    assert max(sizes) <= 2
+
+
 def test_whole_consumer_on_the_recorded_run(spark, tmp_path):
     """56 events in several batches, all within one window: 30 are accepted, retained and counted."""
     for part in range(0, 56, 12):

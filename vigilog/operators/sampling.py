@@ -14,9 +14,23 @@ from pyspark.sql import functions as F
 from vigilog.functions import codes
 
 
+MAP_SIDE_ROWS = 10_000  # spark.sql.optimizer.windowGroupLimitThreshold of our sessions
+SALTS = 64
+
+
 def _head(events: DataFrame, keys: list[str], rows: int, order: str) -> DataFrame:
-    """The first rows per window, numbered. Spark cuts before the shuffle as well as after it."""
+    """The first rows per window, numbered.
+
+    Spark cuts before the shuffle as well as after it, up to MAP_SIDE_ROWS.
+    Beyond, a window is first cut in SALTS groups of its own, each by another
+    task: the first rows of the window are among the first rows of its groups,
+    so the task that numbers them meets SALTS x ``rows`` rows at most.
+    """
     place = F.row_number().over(W.partitionBy(*keys).orderBy(order))
+    if rows > MAP_SIDE_ROWS:
+        salt = F.pmod(F.xxhash64(order), F.lit(SALTS))
+        group = F.row_number().over(W.partitionBy(*keys, "_salt").orderBy(order))
+        events = events.withColumn("_salt", salt).withColumn("_rank", group).filter(F.col("_rank") <= rows).drop("_salt", "_rank")
     return events.withColumn("place", place).filter(F.col("place") <= rows).withColumn(
         "place", F.col("place").cast("bigint"))
 

@@ -110,6 +110,20 @@ def priority_sample(spark, sf_dir):
         "event_id", "day", "place", "accepted")
 
 
+LARGE = 4000
+
+
+@query(SE + f"""SELECT event_id, place, accepted FROM (
+  SELECT *, CAST(sum(CASE WHEN candidate THEN 1 ELSE 0 END) OVER (ORDER BY place) AS BIGINT) AS accepted
+  FROM (SELECT *, place <= {LARGE // 2 + 1} OR {HIGH} OR place % 3 = 0 AS candidate
+        FROM (SELECT event_id, severity, row_number() OVER (ORDER BY arrival_seq) AS place FROM se) a) b) c
+  WHERE candidate AND accepted <= {LARGE}""")
+def priority_sample_large(spark, sf_dir):
+    """The whole log as one window with a budget beyond what Spark cuts before the shuffle."""
+    e = sec_events(spark, sf_dir).withColumn("window_no", F.lit(0))
+    return sampling.priority_sample(e, ["window_no"], LARGE).select("event_id", "place", "accepted")
+
+
 @query(SE + """SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt_number
   FROM se WHERE event_type = 'LOGIN_FAILURE'""")
 def login_attempt_number(spark, sf_dir):

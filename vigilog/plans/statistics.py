@@ -140,3 +140,16 @@ def top_event_types(spark, sf_dir):
   FROM (SELECT date_trunc('minute', ts) AS minute, count(*) AS n FROM se GROUP BY 1) t GROUP BY 1""")
 def rate_mode(spark, sf_dir):
     return stats.rate_per_day(sec_events(spark, sf_dir))
+
+
+@query(SE + " UNION ALL ".join(f"""SELECT '{c}' AS dimension, count(DISTINCT {c}) AS n, true AS close FROM se"""
+                               for c in stats.SKETCHED))
+def stats_distinct(spark, sf_dir):
+    """Exact distinct counts, and whether merged sketches of three overlapping parts of the log come within 2 % of them."""
+    e = sec_events(spark, sf_dir)
+    parts = [stats.distinct_sketches(e.filter(F.col("event_id") % 5 < k + 3).filter(F.col("event_id") % 5 >= k)) for k in range(3)]
+    found = stats.distinct_estimates(stats.merge_sketches(*parts)).withColumnRenamed("n", "estimate")
+    exact = e.agg(*[F.count_distinct(c).alias(c) for c in stats.SKETCHED])
+    rows = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).alias("n")) for c in stats.SKETCHED])
+    return exact.select(F.explode(rows).alias("r")).select("r.*").join(found, "dimension").select(
+        "dimension", "n", (F.abs(F.col("estimate") - F.col("n")) <= 0.02 * F.col("n")).alias("close"))

@@ -151,32 +151,59 @@ def sampled(out: str, state: str, keys: list[str], budget: int = 30, sampling: b
     The state, places used and events accepted per window, is a small
     versioned table. Only the first 3 x budget events of a window in a batch
     can be accepted, and those are cut out before the shuffle; the other
-    events are counted map-side. ``then`` gets the accepted events. A window
-    without an event in the last ``forget_after`` batches is dropped from the
-    state; should it come back, its places start anew.
+    events are counted map-side. ``then`` gets the accepted events.
+
+    A window without an event in the last ``forget_after`` batches is closed and
+    leaves the state. The last of ``keys`` numbers the windows, others name
+    groups of them: per group the highest closed number is kept (in ``state`` with
+    ``_closed`` added to its name), and an event of a window up to it that is
+    not open any more is refused, so no window can spend its budget twice.
     """
+    group, number = keys[:-1], keys[-1]
+    shut = f"{state.rstrip('/')}_closed"
+
     def on_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
+        zero = F.lit(0).cast("bigint")
         touched = F.lit(batch_id).cast("bigint")
-        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("seen")).withColumns(
-            {"accepted": F.lit(0).cast("bigint"), "touched": touched})
+        shape = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("seen")).withColumns({"accepted": zero, "touched": touched})
         path = snapshots.latest_version(spark, state, before=batch_id)
-        old = spark.read.schema(counted.schema).parquet(path) if path else counted.limit(0)
+        old = spark.read.schema(shape.schema).parquet(path) if path else spark.createDataFrame([], shape.schema)
+        if forget_after is not None:
+            path = snapshots.latest_version(spark, shut, before=batch_id)
+            closed = spark.read.schema(df.select(*keys).schema).parquet(path) if path else df.select(*keys).limit(0)
+            df = _still_open(df, old, closed, keys)
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("seen")).withColumns({"accepted": zero, "touched": touched})
         write_batch(continue_sample(df, old.drop("touched"), keys, budget, sampling), out, batch_id)
         accepted = spark.read.parquet(batch_path(out, batch_id))
-        added = accepted.groupBy(*keys).agg(F.lit(0).cast("bigint").alias("seen"),
-                                            F.count(F.lit(1)).alias("accepted"), F.max(touched).alias("touched"))
+        added = accepted.groupBy(*keys).agg(zero.alias("seen"), F.count(F.lit(1)).alias("accepted"), F.max(touched).alias("touched"))
         states = old.unionByName(counted).unionByName(added).groupBy(*keys).agg(
             F.sum("seen").alias("seen"), F.sum("accepted").alias("accepted"),
             F.coalesce(F.max("touched"), touched).alias("touched"))
         if forget_after is not None:
-            states = states.filter(F.col("touched") > batch_id - forget_after)
+            over = F.col("touched") <= batch_id - forget_after
+            highest = states.filter(over).select(*keys).unionByName(closed).groupBy(*group).agg(F.max(number).alias(number))
+            snapshots.write_version(highest.filter(F.col(number).isNotNull()).select(*keys), shut, batch_id)
+            states = states.filter(~over)
         snapshots.write_version(states, state, batch_id)
         if then is not None:
             then(accepted.drop("place", "accepted"), batch_id)
     return on_batch
 
 
+def _still_open(df: DataFrame, open_: DataFrame, closed: DataFrame, keys: list[str]) -> DataFrame:
+    """Events of windows that are open, or behind all closed ones of their group."""
+    group, number = keys[:-1], keys[-1]
+    live = open_.select(*keys, F.lit(True).alias("_live"))
+    marked = df.join(live, keys, "left")
+    if group:
+        marked = marked.join(closed.select(*group, F.col(number).alias("_closed")), group, "left")
+    else:
+        marked = marked.withColumn("_closed", closed.agg(F.max(number)).scalar())
+    fresh = F.coalesce(F.col(number) > F.col("_closed"), F.lit(True)) | F.coalesce("_live", F.lit(False))
+    return marked.filter(fresh).drop("_live", "_closed")
+
+
 def session_log(out: str, state: str, max_age: str = sessions.MAX_SESSION, lateness: str = "10 minutes") -> OnBatch:
     """One row per session when it is over, in event time.
 
