@@ -237,6 +237,25 @@ def test_session_lifecycle(spark, tmp_path):
         "closed": ("closed", 3), "old": ("expired", 2), "stray": ("unopened", 1), "young": ("active", 1)}
 
 
+def test_a_session_that_goes_on_after_its_end_has_one_row(spark, tmp_path):
+    out = str(tmp_path / "out")
+    step = batches.session_log(f"{out}/ended", f"{out}/open")
+
+    def events(*rows_):
+        return spark.createDataFrame([(i, t, f"2024-01-0{d} {h:02d}:00:00") for i, t, d, h in rows_],
+                                     "session_id string, event_type string, t string").withColumn("ts", F.col("t").cast("timestamp"))
+    parts = [events(("s", "LOGIN_SUCCESS", 1, 1), ("s", "LOGOUT", 1, 2)), events(("x", "DATA_ACCESS", 1, 5)),
+             events(("s", "DATA_ACCESS", 1, 6)), events(("s", "DATA_ACCESS", 1, 7), ("x", "DATA_ACCESS", 1, 8)), events(("y", "LOGOUT", 1, 23))]
+    for batch_id, part in enumerate(parts):
+        for _ in range(2):
+            step(part, batch_id)
+    ended = [(r.session_id, r.state, r.events) for r in spark.read.parquet(f"{out}/ended").collect()]
+    assert sorted(ended) == [("s", "closed", 2), ("x", "unopened", 2)]
+    step(events(("z", "LOGOUT", 9, 1)), 5)
+    kept = spark.read.parquet(snapshots.latest_version(spark, f"{out}/open")).filter("session_id IS NOT NULL")
+    assert {r.session_id for r in kept.collect()} == {"y", "z"}
+
+
 def test_gap_session_stream_equals_batch(spark, inbox, tmp_path):
     far = record(999, timestamp="2026-01-01T00:00:00Z", user_id="zz", arrival=999)
     write_lines(inbox, "part-9.json", [far])

@@ -204,13 +204,16 @@ def _still_open(df: DataFrame, open_: DataFrame, closed: DataFrame, keys: list[s
     return marked.filter(fresh).drop("_live", "_closed")
 
 
-def session_log(out: str, state: str, max_age: str = sessions.MAX_SESSION, lateness: str = "10 minutes") -> OnBatch:
+def session_log(out: str, state: str, max_age: str = sessions.MAX_SESSION, lateness: str = "10 minutes",
+                remember: str = "1 day") -> OnBatch:
     """One row per session when it is over, in event time.
 
     The state is a versioned table of the sessions still open, so it is sized
-    by what is live within ``max_age``, not by history. The events of a batch
-    are combined per session map-side before they meet it. A row without
-    session id keeps the clock: the newest event time so far.
+    by what is live within ``max_age``, not by history, and of those that ended
+    within ``remember`` before the clock: what comes later of these is left out
+    and can't make a second row. The events of a batch are combined per session
+    map-side before they meet it. A row without session id keeps the clock: the
+    newest event time so far.
     """
     def newest(rows: DataFrame, column: str) -> int:
         return rows.agg(F.max(F.unix_micros(column))).first()[0] or 0
@@ -219,16 +222,22 @@ def session_log(out: str, state: str, max_age: str = sessions.MAX_SESSION, laten
         spark = df.sparkSession
         parts, now = sessions.session_parts(df), newest(df, "ts")
         path = snapshots.latest_version(spark, state, before=batch_id)
+        told = None
         if path:
             old = spark.read.parquet(path)
             now = max(now, newest(old.filter(F.col("session_id").isNull()), "last_seen"))
-            parts = old.filter(~F.col("over")).drop("over").unionByName(parts)
+            told = old.filter("over").withColumn("told", F.lit(True))
+            parts = parts.join(told.select("session_id"), "session_id", "left_anti")
+            parts = old.filter(~F.col("over")).drop("over", "told").unionByName(parts)
         clock = spark.range(1).select(F.timestamp_micros(F.lit(now)).alias("last_seen"))
         merged = sessions.merge_parts(parts.unionByName(clock, allowMissingColumns=True))
         passed = F.timestamp_micros(F.lit(now)) - F.expr(f"INTERVAL {lateness}")
         over = F.col("session_id").isNotNull() & F.coalesce(sessions.ends_at(max_age) < passed, F.lit(False))
-        snapshots.write_version(merged.withColumn("over", over), state, batch_id)
-        ended = spark.read.parquet(snapshots.version_path(state, batch_id)).filter("over").drop("over")
+        states = merged.withColumns({"over": over, "told": F.lit(False)})
+        if told is not None:
+            states = states.unionByName(told.filter(sessions.ends_at(max_age) >= passed - F.expr(f"INTERVAL {remember}")))
+        snapshots.write_version(states, state, batch_id)
+        ended = spark.read.parquet(snapshots.version_path(state, batch_id)).filter("over AND NOT told").drop("over", "told")
         write_batch(sessions.session_state(ended.withColumn("expires_at", sessions.ends_at(max_age)), passed)
                     .drop("expires_at"), out, batch_id)
     return on_batch
