@@ -106,3 +106,20 @@ def test_console(spark, capsys):
     assert "batch 7 |" in shown and "3 records" in shown and "id-2" in shown
     batches.console(5)(events(spark, 3).filter("false"), 8)
     assert capsys.readouterr().out == ""
+
+
+def test_statistics_documents_in_versions_and_corrupt_ones(spark, tmp_path):
+    from vigilog.operators import stats
+    path, backup = tmp_path / "stats", str(tmp_path / "backup")
+    table = spark.createDataFrame([("severity", "LOW", 2), ("total", "total", 2)], "dimension string, key string, n long")
+    for version, factor in ((0, 1), (1, 2)):
+        doc = stats.stats_document(table.withColumn("n", table.n * factor))
+        snapshots.write_version(doc, str(path), version, files=1, fmt="text")
+    loaded = {(r.dimension, r.key): r.n for r in files.load_stats_document(spark, str(path), backup).collect()}
+    assert loaded == {("severity", "LOW"): 4, ("total", "total"): 4}
+    broken = tmp_path / "broken.json"
+    broken.write_text('{"severity_counts": {"LOW"')
+    for _ in range(2):
+        assert files.load_stats_document(spark, str(broken), backup).count() == 0
+    assert [r.raw for r in spark.read.parquet(backup).collect()] == ['{"severity_counts": {"LOW"'] * 2
+    assert files.load_stats_document(spark, str(tmp_path / "none")).count() == 0

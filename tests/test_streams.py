@@ -315,6 +315,11 @@ def test_observed_metrics_reach_the_listener(spark, inbox, tmp_path):
         spark.streams.removeListener(listener)
     assert listener.events == 63 and listener.batches == 4
     assert len(lines) == 3 and lines[-1].startswith("63 events")
+    events = batch(spark, inbox)
+    for dimension in ("event_type", "severity"):
+        want = {(dimension, r[0]): r[1] for r in events.groupBy(dimension).count().collect()}
+        assert {k: n for k, n in listener.counts.items() if k[0] == dimension} == want
+    assert listener.top("event_type", 1).split()[0] in TYPES
 
 
 def test_processing_time_trigger(spark, inbox, tmp_path):

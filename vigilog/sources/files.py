@@ -49,15 +49,24 @@ def load_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.STATS).parquet(latest)
 
 
-def load_stats_document(spark: SparkSession, path: str) -> DataFrame:
-    """Statistics from JSON documents; missing gives the empty table, an unreadable one counts nothing."""
+def load_stats_document(spark: SparkSession, path: str, backup: str | None = None) -> DataFrame:
+    """Statistics from a JSON document, or from the latest of a folder of versions.
+
+    Missing gives the empty table. What is no JSON object counts nothing and,
+    with ``backup``, is appended there as it was found, with the time.
+    """
     try:
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.option("wholetext", True).text(snapshots.latest_version(spark, path) or path)
     except AnalysisException as error:
         if not _missing(error):
             raise
         return stats.empty_stats(spark)
-    return stats.read_stats_document(text).filter(F.col("key").isNotNull())
+    readable = F.json_object_keys("value").isNotNull()
+    if backup is not None:
+        bad = text.filter(~readable).select(F.col("value").alias("raw"), F.current_timestamp().alias("found_at"))
+        if not bad.isEmpty():
+            bad.write.mode("append").parquet(backup)
+    return stats.read_stats_document(text.filter(readable))
 
 
 def stream_json(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
