@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import record, rows
 from tests.test_streams import batch, drain, stream, write_lines
 from vigilog.operators import sessions, stats
+from vigilog.plans import streams
 from vigilog.streaming import ingest, lifecycle, timeline
 
 HOUR = 3_600_000_000
@@ -144,3 +145,30 @@ def test_timeline_needs_more_than_five_events(spark, tmp_path):
     assert timeline.timeline(spark, out).count() == 0
     step(events.limit(1), 1)
     assert timeline.timeline(spark, out).agg(F.sum("n")).first()[0] == 6
+
+
+def test_state_has_a_row_per_bucket_not_per_session(spark, tmp_path):
+    """Any number of sessions in four buckets is four values of state and four timers."""
+    folder = tmp_path / "in"
+    write_lines(folder, "a.json", [at(i, f"13T01:{i % 60:02d}:00", ["LOGIN_SUCCESS", "LOGOUT"][i // 100], f"s{i % 100}") for i in range(200)])
+    write_lines(folder, "b.json", [at(200, "15T12:00:00", session=None)])
+    sizes = []
+
+    def on_batch(df, batch_id):
+        sizes.append(df.count())
+    query = ingest.run_stream(lifecycle.session_rows(stream(spark, folder), buckets=4), on_batch, str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert sum(sizes) == 100
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 4 * 4  # timers have two indexes
+
+
+def test_files_of_the_log_follow_in_time_whatever_the_ids(spark, tmp_path):
+    ids = spark.range(200).select(
+        (F.col("id") * 7 % 200).alias("event_id"), F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"))
+    ids.write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    path = streams.in_files(spark, str(tmp_path / "sf"), by="ts")
+    spans = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(
+        F.min("ts").alias("low"), F.max("ts").alias("high"), F.count("*").alias("n"),
+        F.min("_metadata.file_modification_time").alias("written")).orderBy("written").collect()
+    assert len(spans) == streams.BATCHES and sum(s.n for s in spans) == 200
+    assert all(a.high < b.low for a, b in zip(spans, spans[1:]))

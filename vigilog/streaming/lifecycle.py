@@ -8,18 +8,23 @@ one, after its beginning. Events up to that end belong to it, later ones don't.
 
 State per id: the session so far, folded in the order of event time, and the
 events the watermark has not passed yet, as only those can still be preceded by
-others. A timer at the end that the events so far suggest decides: by then
-nothing earlier can come, so the row is given out once and does not change with
-the order of arrival or the cut into batches. The id is remembered for
-``remember`` after the end, so that events behind it can't open the session
-anew, and forgotten by a second timer.
-
-An id is one key of state. What it holds is bounded by its events within the
-lateness, whatever the length of the session.
+others. The end that the events so far suggest decides once the watermark is
+behind it: by then nothing earlier can come, so the row is given out once and
+does not change with the order of arrival or the cut into batches. The id is
+remembered for ``remember`` after the end, so that events behind it can't open
+the session anew, and then forgotten.
+
+Every call for state or a timer is a round trip to the JVM, and a table has as
+many ids as it has sessions. So a key of state is a bucket of ids: one value
+with all its ids, one timer at the earliest end among them, and a handful of
+calls per bucket and batch, however many ids it has. What an id holds is bounded
+by its events within the lateness, whatever the length of the session. The
+number of buckets belongs to the checkpoint.
 """
 
 from __future__ import annotations
 
+import json
 import sys
 from datetime import datetime, timedelta, timezone
 from typing import NamedTuple
@@ -37,8 +42,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 ROWS = ("session_id string, created_at timestamp, ended_at timestamp, first_seen timestamp, last_seen timestamp, "
         "events long, ends_at timestamp, state string")
-_SESSION = "first long, created long, ended long, last long, events long, over boolean"
-_EVENTS = "at long, n long, login boolean, logout boolean"
+BUCKETS = 4096
 
 
 class Session(NamedTuple):
@@ -82,47 +86,50 @@ class LifecycleProcessor(StatefulProcessor):
 
     def init(self, handle):
         self.handle = handle
-        self.session = handle.getValueState("session", _SESSION)
-        self.waiting = handle.getListState("waiting", _EVENTS)
+        self.held = handle.getValueState("held", "sessions string")
 
     def handleInputRows(self, key, rows, timerValues):
-        new = [(r.at, 1, r.login, r.logout) for r in rows]
-        held = self.session.get() if self.session.exists() else None
-        if held is None or not held[5]:
-            yield from self._go_on(key, held, new, timerValues.getCurrentWatermarkInMs())
+        new: dict[str, list[tuple[int, int, bool, bool]]] = {}
+        for r in rows:
+            new.setdefault(r.session_id, []).append((r.at, 1, r.login, r.logout))
+        yield from self._go_on(new, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = self.session.get() if self.session.exists() else None
-        if held is not None and held[5]:
-            self.session.clear()
-        else:
-            yield from self._go_on(key, held, [], timerValues.getCurrentWatermarkInMs())
+        yield from self._go_on({}, timerValues.getCurrentWatermarkInMs())
 
     def close(self):
         pass
 
-    def _go_on(self, key, held, new, watermark_ms):
-        passed = watermark_ms * 1000
-        session = None if held is None else Session(*held[:5])
-        waiting = combine([tuple(r) for r in self.waiting.get()] + new)
-        session = fold(session, [e for e in waiting if e[0] < passed], self.max_age)
-        waiting = [e for e in waiting if e[0] >= passed]
-        end = fold(session, waiting, self.max_age).end(self.max_age)
+    def _go_on(self, new, watermark_ms):
+        """All ids of the bucket: those with new events, and those whose end or time to be forgotten has come."""
+        passed = watermark_ms * 1000  # up to here, and including it, nothing can come any more
+        state = self.held.get()
+        held = {} if state is None else json.loads(state[0])
+        kept, next_due = {}, None
+        for session_id in {**held, **new}:
+            session, waiting, forget = held.get(session_id, (None, [], None))
+            if forget is None:
+                session = None if session is None else Session(*session)
+                waiting = combine([*map(tuple, waiting), *new.get(session_id, ())])
+                session = fold(session, [e for e in waiting if e[0] <= passed], self.max_age)
+                waiting = [e for e in waiting if e[0] > passed]
+                due = fold(session, waiting, self.max_age).end(self.max_age)
+                if due <= passed:
+                    yield self._row(session_id, session, due)
+                    session, waiting, forget = None, [], due + self.remember
+            if forget is not None:
+                due = forget
+                if due <= passed:
+                    continue
+            kept[session_id] = (session, waiting, forget)
+            next_due = due if next_due is None else min(next_due, due)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if end < passed:
-            self.waiting.clear()
-            self.session.update((*session, True))
-            self.handle.registerTimer((end + self.remember) // 1000 + 1)
-            yield self._row(key[0], session, end)
-            return
-        if session is not None:
-            self.session.update((*session, False))
-        if waiting:
-            self.waiting.put(waiting)
+        if kept:
+            self.held.update((json.dumps(kept),))
+            self.handle.registerTimer(-(-next_due // 1000))
         else:
-            self.waiting.clear()
-        self.handle.registerTimer(end // 1000 + 1)
+            self.held.clear()
 
     def _row(self, session_id, session: Session, end: int) -> Row:
         def time(us):
@@ -137,7 +144,8 @@ def _micros(spark, interval: str) -> int:
     return spark.sql(f"SELECT unix_micros(TIMESTAMP '1970-01-01 00:00:00 UTC' + INTERVAL {interval})").first()[0]
 
 
-def session_rows(events: DataFrame, max_age: str = MAX_SESSION, lateness: str = "10 minutes", remember: str = "1 day") -> DataFrame:
+def session_rows(events: DataFrame, max_age: str = MAX_SESSION, lateness: str = "10 minutes", remember: str = "1 day",
+                 buckets: int = BUCKETS) -> DataFrame:
     """One row per session when the watermark has passed its end (append mode).
 
     Events behind the watermark are left out; events without session id only
@@ -148,9 +156,10 @@ def session_rows(events: DataFrame, max_age: str = MAX_SESSION, lateness: str =
     # A plain filter would be pushed below the watermark, which must see all events; one that is not deterministic stays.
     known = F.when(F.spark_partition_id() >= 0, F.col("session_id").isNotNull() & F.col("ts").isNotNull())
     rows = events.withWatermark("ts", lateness).filter(known).select(
-        "session_id", "ts", F.unix_micros("ts").alias("at"), (kind == "LOGIN_SUCCESS").alias("login"), (kind == "LOGOUT").alias("logout"))
+        F.pmod(F.xxhash64("session_id"), F.lit(buckets)).alias("bucket"), "session_id", "ts", F.unix_micros("ts").alias("at"),
+        (kind == "LOGIN_SUCCESS").alias("login"), (kind == "LOGOUT").alias("logout"))
     processor = LifecycleProcessor(_micros(spark, max_age), _micros(spark, remember))
-    return rows.groupBy("session_id").transformWithState(processor, ROWS, "Append", "EventTime", eventTimeColumnName="ends_at")
+    return rows.groupBy("bucket").transformWithState(processor, ROWS, "Append", "EventTime", eventTimeColumnName="ends_at")
 
 
 def live_lookup(events: DataFrame, sessions: DataFrame, max_age: str = MAX_SESSION, lateness: str = "10 minutes") -> DataFrame:
