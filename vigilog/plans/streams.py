@@ -19,14 +19,18 @@ SE = se_cte()
 BATCHES = 4
 
 
-def in_files(spark, sf_dir, flush=()):
-    """The event table in files of successive times, as a log would grow; ``flush`` adds bare rows so much later, a file each."""
+def in_files(spark, sf_dir, flush=(), by="event_id"):
+    """The event table in files of successive arrival or, ``by`` the column ``ts``, of successive times, as a log would grow;
+    ``flush`` adds bare rows so much later, a file each. Row groups are small, so that many tasks read a file."""
     source = table(spark, sf_dir, "events")
-    low, high = source.agg(F.min("event_id"), F.max("event_id")).first()
+    place = F.col(by) if by == "event_id" else F.unix_micros(F.col(by).cast("timestamp"))
+    cuts = source.agg(F.percentile_approx(place, [i / BATCHES for i in range(1, BATCHES)], F.lit(10000)).alias("cuts")).first()["cuts"]
     path = f"{scratch_dir(spark, 'log')}/events.parquet"
-    step = (high - low) // BATCHES + 1
-    for start in range(low, high + 1, step):
-        source.filter(F.col("event_id").between(start, start + step - 1)).coalesce(1).write.mode("append").parquet(path)
+    edges = [None, *sorted(set(cuts or ())), None]
+    for low, high in zip(edges, edges[1:]):
+        above = place.isNull() if low is None else F.lit(False)
+        above |= (F.lit(True) if low is None else place > low) & (F.lit(True) if high is None else place <= high)
+        source.filter(above).repartition(1).write.mode("append").option("parquet.block.size", 8 << 20).parquet(path)
     for after in flush:
         late = source.agg((F.max("ts") + F.expr(f"INTERVAL {after}")).alias("ts"))
         late.select(*[F.col("ts") if c == "ts" else F.lit(None).cast(source.schema[c].dataType).alias(c) for c in source.columns]) \
@@ -215,7 +219,7 @@ def session_lifecycle(spark, sf_dir):
 @query(se_cte(LIFE) + "SELECT * FROM life WHERE ends_at < (SELECT max(ts) FROM se) - INTERVAL 10 MINUTES")
 def stream_session_state(spark, sf_dir):
     """Sessions as keyed state with timers, over a log of several files: those over when it stops."""
-    e = stream_events(spark, sf_dir, path=in_files(spark, sf_dir)).select("session_id", "event_type", "ts")
+    e = stream_events(spark, sf_dir, path=in_files(spark, sf_dir, by="ts")).select("session_id", "event_type", "ts")
     spark, out = _drain(lifecycle.session_rows(e), "session-state")
     return _ntz(spark.read.parquet(out).drop("batch_id"), *TIMES)
 
@@ -225,7 +229,7 @@ def stream_session_state(spark, sf_dir):
   FROM se LEFT JOIN life ON se.session_id = life.session_id""")
 def stream_session_lookup(spark, sf_dir):
     """Every event of the log with its live session: two streams of several files, joined by interval."""
-    path = in_files(spark, sf_dir, flush=["3 days", "6 days"])
+    path = in_files(spark, sf_dir, flush=["3 days", "6 days"], by="ts")
     columns = ["event_id", "session_id", "event_type", "ts"]
     events, again = (stream_events(spark, sf_dir, path=path).select(*columns) for _ in range(2))
     found = lifecycle.live_lookup(events, lifecycle.session_rows(again))
