@@ -172,3 +172,13 @@ def test_files_of_the_log_follow_in_time_whatever_the_ids(spark, tmp_path):
         F.min("_metadata.file_modification_time").alias("written")).orderBy("written").collect()
     assert len(spans) == streams.BATCHES and sum(s.n for s in spans) == 200
     assert all(a.high < b.low for a, b in zip(spans, spans[1:]))
+
+
+def test_costly_work_per_row_is_spread_over_tasks(spark, sf_dir, tmp_path):
+    """The event table is one row group, which one task would read and parse."""
+    parts = []
+    for spread in (False, True):
+        events = streams.stream_events(spark, sf_dir, spread=spread)
+        ingest.run_stream(events, lambda df, batch_id: parts.append((df.rdd.getNumPartitions(), df.count())),
+                          str(tmp_path / f"cp{spread}")).awaitTermination()
+    assert parts[0] == (1, parts[1][1]) and parts[1][0] > 1

@@ -38,10 +38,17 @@ def in_files(spark, sf_dir, flush=(), by="event_id"):
     return path
 
 
-def stream_events(spark, sf_dir, with_location=False, path=None):
-    """The event log as a stream, its time as an instant: one batch, or with ``path`` a batch per file of it."""
+def stream_events(spark, sf_dir, with_location=False, path=None, spread=False):
+    """The event log as a stream, its time as an instant: one batch, or with ``path`` a batch per file of it.
+
+    ``spread`` deals the narrow source rows to all tasks, for queries whose work
+    per row is large: a scan has no more tasks than the file has row groups.
+    """
     source = table(spark, sf_dir, "events")
-    flat = event_table(files.stream_table(spark, path or f"{sf_dir}/events.parquet", source.schema, 1 if path else None))
+    rows = files.stream_table(spark, path or f"{sf_dir}/events.parquet", source.schema, 1 if path else None)
+    if spread:
+        rows = rows.repartition(4 * spark.sparkContext.defaultParallelism)
+    flat = event_table(rows)
     if with_location:
         flat = located(flat, table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
     return flat.withColumn("ts", F.col("ts").cast("timestamp"))
@@ -251,7 +258,7 @@ ACCEPTED = se_cte(also=f""", kept AS (SELECT event_id FROM (
 @query(ACCEPTED + statistics.LONG_FORM.replace("FROM se", "FROM taken"))
 def stream_consume(spark, sf_dir):
     """The whole consumer on records, some of them broken or invalid: statistics of what it accepted."""
-    records_ = as_records(stream_events(spark, sf_dir, with_location=True))
+    records_ = as_records(stream_events(spark, sf_dir, with_location=True, spread=True))
     root = scratch_dir(spark, "consume")
     ingest.consume(records_, f"{root}/out", f"{root}/checkpoint", window_seconds=86400, horizon="31 days").awaitTermination()
     return files.load_stats(spark, f"{root}/out/stats")
@@ -260,7 +267,7 @@ def stream_consume(spark, sf_dir):
 @query(SE + "SELECT arrival_seq, 'unreadable record' AS reason FROM se WHERE arrival_seq % 19 = 0")
 def stream_dead_letter(spark, sf_dir):
     """What the consumer's own batches refuse, beside what they pass on."""
-    checked = ingest.checked_records(as_records(stream_events(spark, sf_dir)))
+    checked = ingest.checked_records(as_records(stream_events(spark, sf_dir, spread=True)))
     spark, out = _drain(checked, "dead", lambda path: batches.persisted(batches.checked(
         f"{path}/dead", f"{path}/invalid", lambda df, batch_id: batches.write_batch(df, f"{path}/good", batch_id))))
     return spark.read.parquet(f"{out}/dead").select("arrival_seq", "reason")
