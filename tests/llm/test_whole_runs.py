@@ -9,11 +9,12 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm import brute
-from vigilog.llm import queries, token_store, url_filter
+from vigilog.llm import passage_dedup, queries, similarity, token_store, url_filter
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -93,3 +94,18 @@ def test_the_pipeline_equals_plain_stages(spark, small_corpus):
     found = Counter(r["doc_id"] for r in got if r["doc_id"] < 4000)
     assert found == +want
     assert {r["shard"] for r in got} == {""} and {r["shard_rows"] for r in got} == {len(got)}
+
+
+def test_sets_are_shuffled_once_and_only_wanted_ones_are_read_again(spark):
+    """A set that its row has twice comes once, without an aggregation behind the join; of 200 sets the wanted ones are picked."""
+    line = " ".join(f"w{i}" for i in range(9))
+    docs = spark.createDataFrame([(0, 0, f"{line}\n\nother\n\n{line}"), (1, 1, line)], "row long, doc_id long, text string")
+    places = passage_dedup._places(docs)
+    chosen = places.groupBy("cls").agg(F.min("row").alias("row"))
+    contents = passage_dedup._contents(docs, chosen)
+    got = contents.select("cls").collect()
+    assert len(got) == len(set(got)) == chosen.count() > 0
+    assert "Aggregate" not in contents._jdf.queryExecution().optimizedPlan().toString().split("LeftSemi")[0]
+    sets = spark.range(200).select(F.col("id").alias("cls"), F.lit(b"x").alias("items"))
+    kept = {r.cls for r in similarity.picked(sets, spark.range(3).withColumnRenamed("id", "cls")).collect()}
+    assert {0, 1, 2} <= kept and len(kept) < 20

@@ -220,7 +220,10 @@ def _postings(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def _contents(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Shingle sets of the chosen units (``cls``, ``row``), from one row each."""
+    """Shingle sets of the chosen units (``cls``, ``row``, each ``cls`` once), from one row each.
+
+    A row's texts are in one chunk, so a set comes from it once and is shuffled once.
+    """
     spark = docs.sparkSession
     rows_wanted = spark.sparkContext.broadcast(similarity.class_filter(chosen.select("row").distinct()))
     wanted = spark.sparkContext.broadcast(similarity.class_filter(chosen.select("cls")))
@@ -233,6 +236,8 @@ def _contents(docs: DataFrame, chosen: DataFrame) -> DataFrame:
             found = units(texts, cache)
             classes = found.classes()
             picked = np.flatnonzero(similarity.may_have(wanted.value, classes))
+            _, once = np.unique(np.stack([found.text[picked], classes[picked]]), axis=1, return_index=True)
+            picked = picked[np.sort(once)]
             sets = [found.set_of(i) for i in picked.tolist()]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.array(rows, np.int64)[found.text[picked]]), pa.array(classes[picked]), pa.array([len(x) for x in sets], pa.int64()),
@@ -240,7 +245,7 @@ def _contents(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                 ["row", "cls", "n", "bits", "items"])
 
     found = docs.mapInArrow(fetch, "row long, cls long, n long, bits array<long>, items binary")
-    return found.join(chosen, ["row", "cls"], "left_semi").dropDuplicates(["cls"])
+    return found.join(chosen, ["row", "cls"], "left_semi")
 
 
 def _spots(docs: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -341,7 +346,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     tiles = durable(similarity.shared_tiles(_postings(docs, parts), parts, tags=True), "tiles")
     chosen = durable(tiles.select("cls").distinct().join(once.select("cls", F.col("first.row").alias("row")), "cls"), "chosen")
     contents = durable(_contents(docs, chosen), "contents")
-    linked = similarity.link(tiles, contents.select("cls", "n", "bits", "row"), lambda _: contents.select("cls", "items"))
+    linked = similarity.link(tiles, contents.select("cls", "n", "bits", "row"), lambda wanted: similarity.picked(contents, wanted))
     named = once.join(linked, F.col("cls") == F.col("node"), "left") \
         .select("cls", "size", "low", "high", "first", F.coalesce("root", "cls").alias("group_id"), F.col("node").isNotNull().alias("links")) \
         .where("size > 1 or links")

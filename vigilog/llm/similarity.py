@@ -189,6 +189,17 @@ def may_have(bits: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
 
 
+def picked(contents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``cls`` and ``items`` of the wanted classes and of few others, filtered where they are read, before any shuffle."""
+    bits = contents.sparkSession.sparkContext.broadcast(class_filter(wanted))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_have(bits.value, batch.column("cls").to_numpy(zero_copy_only=False))))
+
+    return contents.select("cls", "items").mapInArrow(pick, "cls long, items binary")
+
+
 # --- links
 
 def overlap_bound(n: Column, bits: Column, other_bits: Column) -> Column:
