@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from tests.llm import brute
@@ -185,6 +186,28 @@ def test_decontaminate_names_at_sentence_starts():
     assert find("Clean words stand here. Nobody has 7 apples and nobody buys more.") == set()
 
 
+def test_decontaminate_words_by_plain_rules(monkeypatch):
+    class Counted:
+        asked, rule = 0, decontaminate._NUMBER
+
+        def fullmatch(self, word):
+            Counted.asked += 1
+            return self.rule.fullmatch(word)
+
+    words = ["Bob", "bob,", "BOB.", "The", "kg", "KG.", "twelve", "Twelve?)", "12", "3.5%", "$4.", "+", "-$%", "é", "École.", "été»", "mètre|", "five\"",
+             "a1", "1a", "5th", "--", "K", "İx", "x.y", "ok!*", "٣", "²"] + [f"mot{chr(c)}" for c in range(0xE0, 0x17F)]
+    monkeypatch.setattr(decontaminate, "_NUMBER", Counted())
+    own, flags = decontaminate.Tokens().of([w.encode() for w in words])
+    assert Counted.asked < 20  # the rule for numbers is asked only where one can begin
+    for word, value, got in zip(words, own.tolist(), flags.tolist()):
+        plain = word.strip(decontaminate._EDGE)
+        low = plain.lower()
+        want = bool(Counted.rule.fullmatch(plain) or low in decontaminate._NUMBER_WORDS) | 2 * (plain[:1].isupper() and plain[1:].islower()) \
+            | 4 * (low in decontaminate.UNITS) | 8 * (word.rstrip("\"')]}»”*#&$%")[-1:] in (".", "!", "?", ":", "|")) \
+            | 16 * (not low.strip("-+$%")) | 32 * (low in decontaminate._OPENERS)
+        assert (value, got) == (xxhash.xxh64_intdigest(low), want), word
+
+
 def test_toxicity(spark, make_docs):
     r = random.Random(3)
     rows, labels = [], []

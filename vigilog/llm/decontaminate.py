@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,28 +30,61 @@ _OPENERS = frozenset("""a an the this that these those it its he she they we you
 why how if is are was were do does did has have had can could should would shall and or but so then there here in on at to of for from by with
 as after before while during each every all some both either neither no not one let find calculate determine given suppose""".split())
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "-+$%")
+_EDGE_BYTES = _EDGE.encode()
+_CLOSERS, _ENDS, _SIGNS, _NUMBER_STARTS = "\"')]}»”*#&$%", (".", "!", "?", ":", "|"), "-+$%", "-+$€£"
+_CLOSERS_BYTES, _ENDS_BYTES = b"\"')]}*#&$%", (b".", b"!", b"?", b":", b"|")
+_WORD_FLAGS = {x: (w in _NUMBER_WORDS) | 4 * (w in UNITS) | 32 * (w in _OPENERS)
+               for w in _NUMBER_WORDS | UNITS | _OPENERS for x in (w, w.encode())}
 PLAIN, NUMBER, NAME, UNIT = range(4)
 PLACEHOLDERS = np.array([0, *(xxhash.xxh64_intdigest(f"<{x}>") for x in ("number", "name", "unit"))], np.uint64)
 
 
 class Tokens(dict):
-    """Word to (hash in lower case without punctuation, kind flags): 1 number, 2 capital, 4 unit, 8 ends a sentence, 16 nothing left,
-    32 begins sentences and is no name."""
+    """Word to its number; ``hashes`` and ``flags`` have, by that number, the hash in lower case without punctuation and the kind:
+    1 number, 2 capital, 4 unit, 8 ends a sentence, 16 nothing left, 32 begins sentences and is no name."""
+
+    def __init__(self):
+        self.hashes, self.flags = array("Q"), bytearray()
+
+    def __missing__(self, word: bytes) -> int:
+        plain = word.strip(_EDGE_BYTES)
+        if plain.isalpha():  # ASCII letters alone between punctuation: no number but a number word
+            low = plain.lower()
+            flags = _WORD_FLAGS[low] if low in _WORD_FLAGS else 0
+            if plain[0] < 97 and plain[1:].islower():
+                flags |= 2
+            if len(plain) < len(word) and word.rstrip(_CLOSERS_BYTES).endswith(_ENDS_BYTES):
+                flags |= 8
+        else:
+            text = word.decode("utf-8", "replace")
+            plain = text.strip(_EDGE)
+            low = plain.lower()
+            flags = _WORD_FLAGS[low] if low in _WORD_FLAGS else 0
+            first = plain[:1]
+            if (first.isdigit() or first in _NUMBER_STARTS) and _NUMBER.fullmatch(plain):
+                flags |= 1
+            if first.isupper() and plain[1:].islower():
+                flags |= 2
+            if not text[-1:].isalpha() and text.rstrip(_CLOSERS).endswith(_ENDS):
+                flags |= 8
+            if low[:1] in _SIGNS and not low.strip(_SIGNS):
+                flags |= 16
+        self.hashes.append(xxhash.xxh64_intdigest(low))
+        self.flags.append(flags)
+        value = self[word] = len(self.flags) - 1
+        return value
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and flags of the words. Forgets everything between texts when it has grown large."""
         if len(self) >= 300_000:
             self.clear()
-        text = word.decode("utf-8", "replace")
-        plain = text.strip(_EDGE)
-        low = plain.lower()
-        flags = bool(_NUMBER.fullmatch(plain) or low in _NUMBER_WORDS) | 2 * (plain[:1].isupper() and plain[1:].islower()) \
-            | 4 * (low in UNITS) | 8 * (text.rstrip("\"')]}»”*#&$%")[-1:] in (".", "!", "?", ":", "|")) | 16 * (not low.strip("-+$%")) | 32 * (low in _OPENERS)
-        value = self[word] = (xxhash.xxh64_intdigest(low), int(flags))
-        return value
+            self.__init__()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.frombuffer(self.hashes, np.uint64)[at], np.frombuffer(self.flags, np.uint8)[at]
 
 
-def template(text: bytes | None, cache: Tokens) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of each word: its own hash, its kind, its hashes in the readings of the template.
+def template(text: bytes | None, cache: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word: its own hash, its kind, its hashes in the readings of the template, a row each.
 
     A number stays for any number, a unit right after a number for any unit, and
     a capitalised word for any name: in the first reading inside a sentence only, in the
@@ -58,27 +92,31 @@ def template(text: bytes | None, cache: Tokens) -> tuple[np.ndarray, np.ndarray,
     the last all words are as they are. The kind is that of the second reading.
     """
     words = text.split() if text else []
-    pairs = list(map(cache.__getitem__, words))
-    own = np.fromiter((p[0] for p in pairs), np.uint64, len(pairs))
-    flags = np.fromiter((p[1] for p in pairs), np.uint8, len(pairs))
+    own, flags = cache.of(words)
     keep = flags & 16 == 0
-    before_ends = np.r_[True, (flags[:-1] & 8) > 0] if len(flags) else np.zeros(0, bool)
-    starts = [0] if len(flags) else []
-    inside = ~before_ends
-    own, flags, inside = own[keep], flags[keep], inside[keep]
-    number = flags & 1 > 0
-    after = np.r_[False, number[:-1]] if len(number) else number
-    values = np.where(number, NUMBER, np.where((flags & 4 > 0) & after, UNIT, PLAIN))
+    inside = np.empty(len(flags), bool)
+    inside[:1], inside[1:] = False, flags[:-1] & 8 == 0
+    if not keep.all():
+        own, flags, inside = own[keep], flags[keep], inside[keep]
+    values = np.where(flags & 1, np.int8(NUMBER), np.int8(PLAIN))
+    values[1:][(values[1:] == PLAIN) & (flags[1:] & 4 > 0) & (values[:-1] == NUMBER)] = UNIT
     capital = (values == PLAIN) & (flags & 2 > 0)
-    kinds = [np.where(capital & inside, NAME, values), np.where(capital & (inside | (flags & 32 == 0)), NAME, values), values]
-    return own, kinds[1], [*(np.where(k == PLAIN, own, PLACEHOLDERS[k]) for k in kinds), own]
+    kinds = np.tile(values, (4, 1))
+    kinds[0][capital & inside] = NAME
+    kinds[1][capital & (inside | (flags & 32 == 0))] = NAME
+    kinds[3] = PLAIN
+    readings = PLACEHOLDERS[kinds]
+    np.copyto(readings, own, where=kinds == PLAIN)
+    return own, kinds[1], readings
 
 
-def windows(readings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def windows(readings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows of all readings and their places; equal ones of one place once."""
-    all_ = [positions(x) for x in readings]
-    fresh = [np.flatnonzero(np.logical_and.reduce([x != y for y in all_[:i]])) if i else np.arange(len(x)) for i, x in enumerate(all_)]
-    return np.concatenate([x[f] for x, f in zip(all_, fresh)]), np.concatenate(fresh)
+    all_ = positions(readings)
+    fresh = np.ones(all_.shape, bool)
+    for i in range(1, len(all_)):
+        np.logical_and.reduce(all_[:i] != all_[i], out=fresh[i])
+    return all_[fresh], np.nonzero(fresh)[1]
 
 
 def spaced(text: bytes | None) -> bytes | None:

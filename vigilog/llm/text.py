@@ -72,14 +72,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def positions(hashes: np.ndarray) -> np.ndarray:
-    """Hash of the five words from each position on; fewer words than five give one for all of them."""
-    n = len(hashes)
+    """Hash of the five words from each position on; fewer words than five give one for all of them. Rows of a table each for itself."""
+    n = hashes.shape[-1]
     if n == 0:
-        return np.empty(0, np.uint64)
+        return np.empty(hashes.shape, np.uint64)
     width = min(n, SHINGLE)
-    total = np.full(n - width + 1, np.uint64(width)) * _STEP
+    total = np.full((*hashes.shape[:-1], n - width + 1), np.uint64(width)) * _STEP
     for j in range(width):
-        total += hashes[j:n - width + 1 + j] * _POWERS[j]
+        total += hashes[..., j:n - width + 1 + j] * _POWERS[j]
     return mix(total)
 
 
