@@ -87,6 +87,26 @@ def test_jaccard_join_has_every_link(make_docs, odd_rows):
     assert max(count.values()) > 5
 
 
+def test_link_counts_make_no_row_per_pair(spark, monkeypatch):
+    """Sixty sets of one component, in blocks of about eight: exact counts from rows that grow with blocks, not with pairs."""
+    monkeypatch.setattr("vigilog.llm.similarity.CELL_CLASSES", 8)
+    r = np.random.default_rng(4)
+    sets = [np.unique(np.r_[r.choice(60, 52, replace=False), 1000 + 10 * i + np.arange(i % 4)]).astype(np.uint64) for i in range(60)]
+    sets += [np.arange(5000 + 100 * i, 5030 + 100 * i + j).astype(np.uint64) for i in range(3) for j in (0, 2)]
+    roots = [0] * 60 + [60, 60, 62, 62, 64, 64]
+    linked = spark.createDataFrame(list(enumerate(roots)), "node long, root long")
+    marks = spark.createDataFrame([(i, len(x)) for i, x in enumerate(sets)], "cls long, n long")
+    items = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "cls long, items binary")
+    found = similarity.cells(linked, marks, lambda wanted: items.join(wanted, "cls"))
+    assert found.count() == 60 * 8 + 6
+    want = {(i, j) for i in range(66) for j in range(i + 1, 66) if roots[i] == roots[j]
+            and 4 * len(np.intersect1d(sets[i], sets[j])) >= 3 * len(np.union1d(sets[i], sets[j]))}
+    assert 300 < len(want) < 60 * 59 // 2
+    assert sorted(tuple(x) for x in similarity.all_links(found).collect()) == sorted(want)
+    count = Counter(x for pair in want for x in pair)
+    assert {x["cls"]: x["links"] for x in similarity.link_counts(found).collect() if x["links"]} == count
+
+
 def test_a_hot_key_is_not_cut_off_behind_an_unmarked_row(spark):
     """Class 1 comes without a mark first; its key is hot in the other flush, so class 9 must meet classes 2 and 3."""
     def packed(classes, hot_local):

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.llm import similarity
-from vigilog.llm.components import components
 from vigilog.llm.text import WordHash, bitmap, input_columns, raw, set_hash, shingle_sets
 from vigilog.session import durable
 
@@ -112,8 +111,8 @@ def _postings(docs: DataFrame, order, parts: int) -> DataFrame:
 
 
 def _contents(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Sets of the wanted classes, read from one row each."""
-    chosen = durable(wanted.join(classes, "cls").select("cls", "row"), "wanted")
+    """Sets of the wanted classes, read from one row each, beside the columns of ``wanted``."""
+    chosen = durable(wanted.join(classes.select("cls", "row"), "cls"), "wanted")
     bits = docs.sparkSession.sparkContext.broadcast(similarity.class_filter(chosen.select("row")))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,12 +122,15 @@ def _contents(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFra
             items = [x.tobytes() for x in shingle_sets(raw(mine.column("text")), cache)]
             yield pa.RecordBatch.from_arrays([mine.column("row"), pa.array(items, pa.binary())], ["row", "items"])
 
-    return durable(docs.mapInArrow(fetch, "row long, items binary").join(chosen, "row").select("cls", "items"), "items")
+    return docs.mapInArrow(fetch, "row long, items binary").join(chosen, "row").select(*wanted.columns, "items")
 
 
 def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The whole join: documents as by ``near_duplicates`` but with ``links`` as the exact number of classes that theirs links
-    with, and all links as pairs of classes ``a`` < ``b``, each once. Their documents are those with these ``cls``."""
+    with, and all links as pairs of classes ``a`` < ``b``, each once. Their documents are those with these ``cls``.
+
+    Components come first, with only as many checks as they need; then all classes of a component are compared in blocks.
+    That is quadratic in the size of a component, as the links of near copies are, but no row is made for a pair unless pairs are asked for."""
     return _joined(docs, True)
 
 
@@ -167,8 +169,8 @@ def _joined(docs: DataFrame, every: bool) -> tuple[DataFrame, DataFrame | None]:
     tiles = durable(similarity.shared_tiles(_postings(docs, order, parts), parts), "tiles")
     marks = durable(classes.join(tiles.select("cls").distinct(), "cls").select("cls", "n", "bits"), "marks")
     fetch = lambda wanted: _contents(docs, classes, wanted)
-    pairs = similarity.all_links(tiles, marks, fetch) if every else None
-    linked = durable(components(pairs) if every else similarity.link(tiles, marks, fetch), "linked")
+    linked = durable(similarity.link(tiles, marks, lambda wanted: durable(fetch(wanted), "items")), "linked")
+    cells = similarity.cells(linked, marks, fetch) if every else None  # links are within components
 
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), F.col("row")))
     rooted = sets.where("cls <> 0").groupBy("cls").agg(first.alias("least")) \
@@ -177,13 +179,13 @@ def _joined(docs: DataFrame, every: bool) -> tuple[DataFrame, DataFrame | None]:
     best = rooted.where("links").groupBy("root").agg(F.min("least").alias("best"))
     named = rooted.join(best, "root", "left").select("cls", "links", F.coalesce("best", "least").alias("best"))
     if every:
-        named = named.drop("links").join(similarity.link_counts(pairs), "cls", "left")
+        named = named.drop("links").join(similarity.link_counts(cells), "cls", "left")
     none = F.lit(0).cast("long") if every else F.lit(False)
     return sets.join(named, "cls", "left").select(
         "row", "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("best").isNull(), F.col("doc_id")).when(F.col("best.doc_id") != _LAST, F.col("best.doc_id")).alias("component_id"),
         F.coalesce(F.col("row") == F.col("best.row"), F.lit(True)).alias("keep"),
-        "cls", F.coalesce("links", none).alias("links")), pairs
+        "cls", F.coalesce("links", none).alias("links")), similarity.all_links(cells) if every else None
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -29,6 +29,9 @@ CENTERS = 4
 MORE_CENTERS = 16
 LIKELY = 2
 FILTER_BITS_MOST = 1 << 28
+CELL_CLASSES = 512       # classes of a block of a component, about
+CELL_ITEMS = 1_000_000   # elements of their sets together, about
+CELL_WIDTH = 4_096
 
 
 # --- postings: (key, class, band) packed per part, so that the shuffle moves 13 bytes an entry
@@ -318,16 +321,97 @@ def link(tiles: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
     return _joined(known, verify(durable(near.distinct(), "pairs"), fetch))
 
 
-def all_links(tiles: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
-    """Every pair ``a`` < ``b`` of similar classes, once; similar classes always share a tile. As many rows as there are links."""
-    pairs = tiles.alias("x").join(tiles.alias("y"), "tile").where("x.cls < y.cls") \
-        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    return durable(verify(durable(bounded(pairs, marks).select("a", "b"), "pairs"), fetch), "pairs")
+def cells(linked: DataFrame, marks: DataFrame, fetch: Fetch) -> DataFrame:
+    """The comparisons of all classes of each component (``linked`` as by ``link``; ``fetch`` keeps the columns it gets): ``cls``, ``items``, in a cell named by
+    ``root``, ``i``, ``j``; ``right`` says that the class is of block j, not i.
 
+    A component's classes are dealt to blocks of some CELL_CLASSES classes and CELL_ITEMS elements, and two blocks, or
+    one with itself, are a cell. Any two classes of a component meet in one cell, so a group of k classes takes
+    k * ceil(k / CELL_CLASSES) rows, not k * k. Most components are one block.
+    """
+    sized = linked.join(marks.select("cls", "n"), F.col("node") == F.col("cls")).select("cls", "root", "n")
+    blocks = sized.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / CELL_CLASSES, F.sum("n") / CELL_ITEMS)).cast("long").alias("blocks"))
+    placed = durable(sized.join(blocks, "root").select("cls", "root", "blocks", F.expr("pmod(xxhash64(cls), blocks)").alias("block")), "placed")
+    return fetch(placed) \
+        .select("cls", "root", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"), "items") \
+        .select("cls", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                (F.col("block") > F.col("other")).alias("right"), "items")
+
+
+def similar_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Which sets of ``left`` and ``right`` (of ``left`` and itself, if there is no ``right``) are similar, as a table.
 
-def link_counts(links: DataFrame) -> DataFrame:
-    """Number of links of each class with one: ``cls``, ``links``."""
-    return links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg(F.count("*").alias("links"))
+    Elements of one set alone don't count; the others make rows of zeros and ones whose products are the sizes of intersections.
+    """
+    sets = [*left, *right]
+    sizes = np.array([len(x) for x in sets])
+    _, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = counts > 1
+    keep = shared[at]
+    row, column = np.repeat(np.arange(len(sets)), sizes)[keep], (np.cumsum(shared) - 1)[at[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    others = slice(len(left), None) if right else slice(None)
+    common = np.zeros((len(left), len(sizes[others])), np.int64)
+    width = int(min(CELL_WIDTH, shared.sum()))
+    for start in range(0, int(shared.sum()), width or 1):
+        mine = slice(*np.searchsorted(column, [start, start + width]))
+        table = np.zeros((len(sets), width), np.float32)  # sums up to CELL_WIDTH are exact
+        table[row[mine], column[mine] - start] = 1
+        common += (table[:len(left)] @ table[others].T).astype(np.int64)
+    similar = 7 * common >= 3 * (sizes[:len(left), None] + sizes[others])
+    if not right:
+        np.fill_diagonal(similar, False)
+    return similar
+
+
+def _compared(found: DataFrame, schema: str, result: Callable[..., list[np.ndarray]]) -> DataFrame:
+    """``result`` of the classes of both sides and the table of the similar ones, for each cell."""
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, ([], [], [], [])
+        for batch in batches:
+            out = []
+            for *now, cls, right, items in zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j", "cls", "right")), batch.column("items")):
+                if now != key:
+                    out += cell(key, held)
+                    key, held = now, ([], [], [], [])
+                held[2 * right].append(cls)
+                held[2 * right + 1].append(np.frombuffer(items.as_buffer(), np.uint64))
+            yield rows(out)
+        yield rows(cell(key, held))
+
+    def cell(key: list | None, held: tuple) -> list[list[np.ndarray]]:
+        left, sets, right, others = held
+        if not left or len(left) + len(right) < 2 or (key[1] != key[2] and not right):  # nothing to compare
+            return []
+        table = similar_pairs(sets, others)
+        return [result(np.array(left, np.int64), np.array(right or left, np.int64), table, bool(right))]
+
+    def rows(out: list[list[np.ndarray]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *x])) for x in (zip(*out) if out else [()] * 2)], names)
+
+    return found.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(compare, schema)
+
+
+def link_counts(found: DataFrame) -> DataFrame:
+    """Exact number of links of each class of the cells: ``cls``, ``links``."""
+    def count(left: np.ndarray, right: np.ndarray, table: np.ndarray, two: bool) -> list[np.ndarray]:
+        if not two:
+            return [left, table.sum(axis=1)]
+        return [np.r_[left, right], np.r_[table.sum(axis=1), table.sum(axis=0)]]
+
+    return _compared(found, "cls long, links long", count).groupBy("cls").agg(F.sum("links").alias("links"))
+
+
+def all_links(found: DataFrame) -> DataFrame:
+    """Every pair ``a`` < ``b`` of similar classes of the cells, once. As many rows as there are links."""
+    def pairs(left: np.ndarray, right: np.ndarray, table: np.ndarray, two: bool) -> list[np.ndarray]:
+        i, j = np.nonzero(table if two else np.triu(table))
+        return [np.minimum(left[i], right[j]), np.maximum(left[i], right[j])]
+
+    return _compared(found, "a long, b long", pairs)
 
 
 def _joined(known: DataFrame, more: DataFrame) -> DataFrame:
