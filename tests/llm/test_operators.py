@@ -107,6 +107,16 @@ def test_link_counts_make_no_row_per_pair(spark, monkeypatch):
     assert {x["cls"]: x["links"] for x in similarity.link_counts(found).collect() if x["links"]} == count
 
 
+def test_components_run_no_round_without_further_links(spark, monkeypatch):
+    known = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (7, 5)], "node long, root long")
+    none = spark.createDataFrame([], "a long, b long")
+    calls, real = [], similarity.components
+    monkeypatch.setattr("vigilog.llm.similarity.components", lambda edges: calls.append(1) or real(edges))
+    assert sorted(map(tuple, similarity._joined(known, none).collect())) == [(1, 1), (2, 1), (5, 5), (7, 5)] and not calls
+    more = spark.createDataFrame([(2, 7), (8, 9)], "a long, b long")
+    assert sorted(map(tuple, similarity._joined(known, more).collect())) == [(1, 1), (2, 1), (5, 1), (7, 1), (8, 8), (9, 8)] and calls
+
+
 def test_a_hot_key_is_not_cut_off_behind_an_unmarked_row(spark):
     """Class 1 comes without a mark first; its key is hot in the other flush, so class 9 must meet classes 2 and 3."""
     def packed(classes, hot_local):

@@ -415,5 +415,8 @@ def all_links(found: DataFrame) -> DataFrame:
 
 
 def _joined(known: DataFrame, more: DataFrame) -> DataFrame:
-    """Components of components and further links."""
+    """Components of components and further links; without any, no round is run."""
+    more = durable(more, "more")
+    if more.isEmpty():
+        return known
     return components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
