@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -109,3 +110,40 @@ def test_sets_are_shuffled_once_and_only_wanted_ones_are_read_again(spark):
     sets = spark.range(200).select(F.col("id").alias("cls"), F.lit(b"x").alias("items"))
     kept = {r.cls for r in similarity.picked(sets, spark.range(3).withColumnRenamed("id", "cls")).collect()}
     assert {0, 1, 2} <= kept and len(kept) < 20
+
+
+def test_filter_of_classes_lets_few_others_through(spark):
+    bits = similarity.class_filter(spark.range(20_000).withColumnRenamed("id", "cls"))
+    assert similarity.may_have(bits, np.arange(20_000)).all()
+    assert similarity.may_have(bits, np.arange(20_000, 220_000)).mean() < 0.01
+
+
+def test_repeated_classes_are_found_across_flushes(spark, monkeypatch):
+    monkeypatch.setattr("vigilog.llm.similarity.FLUSH", 3)
+    classes = [5, 1, 1, 1, 2, -7, 3, 4, -7, 9]
+    df = spark.createDataFrame([(x,) for x in classes], "cls long").repartition(3)
+    assert sorted(r.cls for r in similarity.repeated(df, 2).collect()) == [-7, 1]
+    assert similarity.repeated(df.where("cls > 100"), 2).count() == 0
+
+
+def test_spans_of_a_batch_are_those_of_each_row(monkeypatch):
+    monkeypatch.setattr("vigilog.llm.passage_dedup.PAIR_WORDS", 100)
+    rng = np.random.default_rng(3)
+    base, rows = rng.integers(0, 9, 200).astype(np.uint32), []
+    for i in range(60):
+        at, length = int(rng.integers(0, 120)), int(rng.integers(6, 40))
+        lead = min(at, passage_dedup.MARGIN)
+        words = base[at - lead:at + length + int(rng.integers(0, passage_dedup.MARGIN + 1))].copy()
+        kept = []
+        for _ in range(rng.integers(1, 5)):
+            other = words.copy()
+            other[rng.integers(0, len(words), 2)] += np.uint32(rng.integers(0, 2))
+            other[:lead // 2] += np.uint32(rng.integers(0, 2))
+            kept.append({"lead": lead, "length": length - int(rng.integers(0, 2)), "words": other.tobytes()})
+        rows.append({"group_id": i % 7, "lead": lead, "length": length, "words": words.tobytes(), "kept": kept})
+    kept = pa.list_(pa.struct([("lead", pa.int32()), ("length", pa.int32()), ("words", pa.binary())]))
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([("group_id", pa.int64()), ("lead", pa.int32()), ("length", pa.int32()), ("words", pa.binary()), ("kept", kept)]))
+    want = [passage_dedup.shared_span(np.frombuffer(r["words"], np.uint32), r["lead"], r["length"],
+                                      [(np.frombuffer(k["words"], np.uint32), k["lead"], k["length"]) for k in r["kept"]]) for r in rows]
+    for part, wanted in ((batch, want), (batch.slice(11, 20), want[11:31])):
+        assert list(zip(*(x.tolist() for x in passage_dedup._spans(part, {})))) == wanted

@@ -25,6 +25,8 @@ MARGIN = SPACING - 1  # the first and last window of a repeated passage lie at m
 PARAGRAPH, SEGMENT, WINDOW = range(3)
 _SHINGLES = LENGTH - SHINGLE + 1
 _CHUNK_WORDS = 300_000
+PAIR_WORDS = 4_000_000  # words compared at once
+SPANS_KNOWN = 20_000
 _SEEDS = [np.uint64(pow(0xA3EC647659359ACD, j + 1, 1 << 64) | 1) for j in range(BANDS * ROWS)]
 _BASE = 0xD1342543DE82EF95
 _BASE_BACK = pow(_BASE, -1, 1 << 64)
@@ -139,6 +141,16 @@ def _segments(begin: np.ndarray, size: np.ndarray, rank: np.ndarray, valid: np.n
     return lead[rest >= LEAST], rest[rest >= LEAST]
 
 
+def _top_of_mix(x: np.ndarray, seed: np.uint64, out: np.ndarray, moved: np.ndarray) -> None:
+    """``mix(x * seed) >> 32`` without arrays of its own; the last step of ``mix`` leaves these bits as they are."""
+    np.multiply(x, seed, out=out)
+    for shift, factor in ((31, 0x7FB5D329728EA185), (27, 0x81DADEF4BC2DD44D)):
+        np.right_shift(out, np.uint64(shift), out=moved)
+        np.bitwise_xor(out, moved, out=out)
+        np.multiply(out, np.uint64(factor), out=out)
+    np.right_shift(out, np.uint64(32), out=out)
+
+
 def band_keys(found: Units) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """MinHash of the shingles of paragraphs and segments, ROWS at a time, as 32-bit keys, with the numbers of their units.
 
@@ -151,11 +163,12 @@ def band_keys(found: Units) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     # In the order of the text, or what lies between two units would be gone over for every unit.
     mine = mine[np.argsort(found.at[mine], kind="stable")]
     ends = np.column_stack([found.at[mine], found.at[mine] + found.length[mine] - SHINGLE + 1]).ravel()
+    hashed, moved = np.zeros(len(found.shingles) + 1, np.uint64), np.empty(len(found.shingles), np.uint64)
     for b in range(BANDS):
         key = np.full(len(mine), b + 1, np.uint64)
         for seed in _SEEDS[b * ROWS:(b + 1) * ROWS]:
-            hashed = mix(found.shingles * seed) >> np.uint64(32)
-            key = mix(key + np.minimum.reduceat(np.r_[hashed, np.uint64(0)], ends)[::2])
+            _top_of_mix(found.shingles, seed, hashed[:-1], moved)
+            key = mix(key + np.minimum.reduceat(hashed, ends)[::2])
         yield (key >> np.uint64(32)).astype(np.uint32), mine
 
 
@@ -285,14 +298,15 @@ def shared_span(words: np.ndarray, lead: int, length: int, kept: list[tuple[np.n
     From the first to the last common shingle, and on to both sides as long as words are equal.
     Without a common shingle (similar by others of the group only) it is the unit.
     """
-    low, high = None, None
+    low, high, here = None, None, None
     mine = words[lead:lead + length]
     for other, other_lead, other_length in kept:
         if other_length == length and (other[other_lead:other_lead + length] == mine).all():
             pairs = [(lead, other_lead)]
             last = [(lead + length, other_lead + length)]
         else:
-            here, there = positions(mine.astype(np.uint64)), positions(other.astype(np.uint64))
+            here = positions(mine.astype(np.uint64)) if here is None else here
+            there = positions(other.astype(np.uint64))
             common = np.flatnonzero(np.isin(here, there))
             if not len(common):
                 continue
@@ -304,20 +318,76 @@ def shared_span(words: np.ndarray, lead: int, length: int, kept: list[tuple[np.n
     return (0, length) if low is None else (int(low), int(high))
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All words of a column of packed words, and where each row's begin."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset).astype(np.int64) // 4
+    return np.frombuffer(column.buffers()[2], np.uint32, offsets[-1]), offsets[:-1]
+
+
+def _run(words: np.ndarray, at: np.ndarray, other: np.ndarray, there: np.ndarray, room: np.ndarray, step: int) -> np.ndarray:
+    """How many words from each place on (back, with step -1) are equal, MARGIN or ``room`` at most."""
+    ahead = np.arange(MARGIN)
+    mine = words[np.clip(at[:, None] + step * ahead, 0, len(words) - 1)]
+    same = (mine == other[np.clip(there[:, None] + step * ahead, 0, len(other) - 1)]) & (ahead < room[:, None])
+    return np.logical_and.accumulate(same, axis=1).sum(axis=1)
+
+
+def _spans(batch: pa.RecordBatch, known: dict) -> tuple[np.ndarray, np.ndarray]:
+    """``shared_span`` of each row: places of the same words all at once, the others of a row one by one, once per context."""
+    words, begin = _flat(batch.column("words"))
+    lead, length = (batch.column(c).to_numpy().astype(np.int64) for c in ("lead", "length"))
+    size = np.diff(np.r_[begin, len(words)])
+    counts = np.diff(batch.column("kept").offsets.to_numpy().astype(np.int64))
+    other_lead, other_length, packed = batch.column("kept").flatten().flatten()
+    others, there = _flat(packed)
+    other_size = np.diff(np.r_[there, len(others)])
+    other_lead, other_length = (x.to_numpy().astype(np.int64) for x in (other_lead, other_length))
+    row = np.repeat(np.arange(len(counts)), counts)
+    same = length[row] == other_length
+    pairs = np.flatnonzero(same)
+    for some in np.array_split(pairs, int(length[row[pairs]].sum()) // PAIR_WORDS + 1):
+        if len(some):
+            n = length[row[some]]
+            first = np.cumsum(n) - n
+            step = np.arange(n.sum()) - np.repeat(first, n)
+            mine, its = (begin + lead)[row[some]], (there + other_lead)[some]
+            same[some] = np.logical_and.reduceat(words[np.repeat(mine, n) + step] == others[np.repeat(its, n) + step], first)
+    low, high = np.full(len(counts), np.iinfo(np.int64).max), np.full(len(counts), -1)
+    pairs = np.flatnonzero(same)
+    for some in np.array_split(pairs, len(pairs) * MARGIN // PAIR_WORDS + 1):
+        i, mine, its = row[some], (begin + lead)[row[some]], (there + other_lead)[some]
+        left = _run(words, mine - 1, others, its - 1, np.minimum(lead[i], other_lead[some]), -1)
+        rest = np.minimum((size - lead - length)[i], (other_size - other_lead - other_length)[some])
+        right = _run(words, mine + length[i], others, its + length[i], rest, 1)
+        np.minimum.at(low, i, -left)
+        np.maximum.at(high, i, length[i] + right)
+    pairs, groups = np.flatnonzero(~same), batch.column("group_id")
+    for mine in np.split(pairs, np.flatnonzero(np.diff(row[pairs])) + 1) if len(pairs) else []:
+        i = int(row[mine[0]])
+        own = words[begin[i]:begin[i] + size[i]]
+        key = (groups[i].as_py(), lead[i], length[i], own.tobytes())
+        if key not in known:
+            if len(known) >= SPANS_KNOWN:
+                known.clear()
+            kept = [(others[there[k]:there[k] + other_size[k]], int(other_lead[k]), int(other_length[k])) for k in mine.tolist()]
+            known[key] = shared_span(own, int(lead[i]), int(length[i]), kept)
+        low[i], high[i] = min(low[i], known[key][0]), max(high[i], known[key][1])
+    return low, high
+
+
 def _fitted(removed: DataFrame, kept: DataFrame) -> DataFrame:
     """Windows and segments to remove with ``start`` and ``end`` of what they share with the kept document."""
     names = [c for c in removed.columns if c not in ("start", "length", "kind", "lead", "words")]
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in removed.select(names).schema.fields)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
         for batch in batches:
-            starts, ends = [], []
-            for start, length, lead, words, others in zip(*(batch.column(c).to_pylist() for c in ("start", "length", "lead", "words", "kept"))):
-                others = [(np.frombuffer(x["words"], np.uint32), x["lead"], x["length"]) for x in others]
-                low, high = shared_span(np.frombuffer(words, np.uint32), lead, length, others)
-                starts.append(start + low)
-                ends.append(start + high)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())],
+            if not batch.num_rows:
+                continue
+            start = batch.column("start").to_numpy()
+            low, high = _spans(batch, known)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array((start + low).astype(np.int32)), pa.array((start + high).astype(np.int32))],
                                              [*names, "start", "end"])
 
     return removed.join(kept, "group_id").mapInArrow(fit, f"{fields}, start int, end int")
@@ -338,12 +408,13 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     docs = input_columns(docs).select("*", F.monotonically_increasing_id().alias("row"))
     places = durable(_places(docs), "places")
-    once = durable(places.groupBy("cls").agg(
-        F.count("*").alias("size"), F.min("row").alias("low"), F.max("row").alias("high"),
-        F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "row")).alias("first")), "units")
-    entries = once.count() * BANDS // 3  # most units are windows
+    entries = places.count() * BANDS // 3  # most units are windows
     parts = int(max(4, entries // similarity.ENTRIES_PER_PART + 1))
     tiles = durable(similarity.shared_tiles(_postings(docs, parts), parts, tags=True), "tiles")
+    several = durable(similarity.repeated(places, parts).union(tiles.select("cls")).distinct(), "several")  # all others stand alone
+    once = durable(similarity.among(places, several).groupBy("cls").agg(
+        F.count("*").alias("size"), F.min("row").alias("low"), F.max("row").alias("high"),
+        F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "row")).alias("first")), "units")
     chosen = durable(tiles.select("cls").distinct().join(once.select("cls", F.col("first.row").alias("row")), "cls"), "chosen")
     contents = durable(_contents(docs, chosen), "contents")
     linked = similarity.link(tiles, contents.select("cls", "n", "bits", "row"), lambda wanted: similarity.picked(contents, wanted))

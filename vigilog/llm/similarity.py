@@ -150,9 +150,10 @@ def shared_tiles(postings: DataFrame, parts: int, tags: bool = False) -> DataFra
 # --- a membership filter of bounded size for classes
 
 def class_filter(classes: DataFrame) -> np.ndarray:
-    """Bits of the numbers in the only column, for a cheap first test; a bit may be set by chance, never missing.
+    """Bits of the numbers in the only column, for a cheap first test; they may be set by chance, never missing.
 
-    Sixteen bits a number, FILTER_BITS_MOST (32 MB) at most; beyond that it only lets more through.
+    Sixteen bits a number, three of them set: one in 200 others passes by chance. FILTER_BITS_MOST (32 MB) at most;
+    beyond that it only lets more through.
     """
     count = classes.count()
     bits = 1 << 16
@@ -163,11 +164,10 @@ def class_filter(classes: DataFrame) -> np.ndarray:
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine: dict[int, np.ndarray] = {}
         for batch in batches:
-            at = mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) % np.uint64(bits)
-            at = np.unique(at.astype(np.int64))
-            for number in np.unique(at // block):
-                own = mine.setdefault(int(number), np.zeros(block, np.uint8))
-                own[at[at // block == number] % block] = 1
+            at = np.unique(np.concatenate(_places_of(batch.column(0).to_numpy(zero_copy_only=False), bits)))
+            numbers, starts = np.unique(at // block, return_index=True)
+            for number, places in zip(numbers.tolist(), np.split(at % block, starts[1:])):
+                mine.setdefault(number, np.zeros(block, np.uint8))[places] = 1
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(mine), pa.int64()), pa.array([np.packbits(x).tobytes() for x in mine.values()], pa.binary())],
             ["block", "bits"])
@@ -186,21 +186,65 @@ def class_filter(classes: DataFrame) -> np.ndarray:
     return total
 
 
+def _places_of(classes: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The places of three bits of each class."""
+    mixed = mix(classes.view(np.uint64))
+    return [((mixed >> np.uint64(shift)) % np.uint64(bits)).astype(np.int64) for shift in (0, 18, 36)]
+
+
 def may_have(bits: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Which classes pass the filter."""
-    at = mix(classes.view(np.uint64)) % np.uint64(len(bits) * 8)
-    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
+    found = np.ones(len(classes), bool)
+    for at in _places_of(classes, len(bits) * 8):
+        found &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+    return found
 
 
-def picked(contents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``cls`` and ``items`` of the wanted classes and of few others, filtered where they are read, before any shuffle."""
-    bits = contents.sparkSession.sparkContext.broadcast(class_filter(wanted))
+def among(table: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of the wanted classes (``cls``) and of few others, filtered where they are read, before any shuffle."""
+    bits = table.sparkSession.sparkContext.broadcast(class_filter(wanted))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(may_have(bits.value, batch.column("cls").to_numpy(zero_copy_only=False))))
 
-    return contents.select("cls", "items").mapInArrow(pick, "cls long, items binary")
+    return table.mapInArrow(pick, table.schema)
+
+
+def picked(contents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``cls`` and ``items`` of the wanted classes and of few others."""
+    return among(contents.select("cls", "items"), wanted)
+
+
+def repeated(table: DataFrame, parts: int) -> DataFrame:
+    """``cls`` that has several rows in the table. Eight bytes a class are shuffled, and two of each at most from one flush."""
+    most = FLUSH  # as the driver has it
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch.column(0).to_numpy(zero_copy_only=False))
+            size += batch.num_rows
+            if size >= most:
+                yield flush(held)
+                held, size = [], 0
+        if size:
+            yield flush(held)
+
+    def flush(held: list) -> pa.RecordBatch:
+        classes = np.sort(np.concatenate(held))
+        classes = classes[np.r_[[True] * min(2, len(classes)), classes[2:] != classes[:-2]]]
+        part = ((classes.view(np.uint64) >> np.uint64(7)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        numbers, starts = np.unique(part[order], return_index=True)
+        pieces = np.split(classes[order], starts[1:])
+        return pa.RecordBatch.from_arrays([pa.array(numbers), pa.array([x.tobytes() for x in pieces], pa.binary())], ["part", "classes"])
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        classes = np.sort(np.frombuffer(b"".join(pdf["classes"]), np.int64))
+        return pd.DataFrame({"cls": np.unique(classes[1:][classes[1:] == classes[:-1]])})
+
+    return table.select("cls").mapInArrow(pack, "part long, classes binary").groupBy("part").applyInPandas(meet, "cls long")
 
 
 # --- links
