@@ -147,3 +147,12 @@ def test_spans_of_a_batch_are_those_of_each_row(monkeypatch):
                                       [(np.frombuffer(k["words"], np.uint32), k["lead"], k["length"]) for k in r["kept"]]) for r in rows]
     for part, wanted in ((batch, want), (batch.slice(11, 20), want[11:31])):
         assert list(zip(*(x.tolist() for x in passage_dedup._spans(part, {})))) == wanted
+
+
+def test_one_row_per_key_keeps_classes_apart_once(spark):
+    keys, classes = np.arange(400, dtype=np.uint32), np.repeat(np.arange(4), 100).astype(np.int64)
+    batch = similarity.pack(keys, classes, np.full(400, 80), np.full(400, 84), 1, 1_000)
+    assert sum(len(v.as_py()) for name in batch.schema.names[1:] for v in batch.column(name)) < 400 * 6
+    twice = pa.Table.from_batches([batch, similarity.pack(keys, classes + 10, np.full(400, 80), np.full(400, 84), 1, 1_000)]).to_pylist()
+    found = similarity.shared_tiles(spark.createDataFrame([tuple(r.values()) for r in twice], similarity.POSTINGS), 1).groupBy("tile").agg({"cls": "collect_set"})
+    assert {tuple(sorted(r[1])) for r in found.collect()} == {(i, i + 10) for i in range(4)}

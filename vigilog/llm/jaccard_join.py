@@ -122,7 +122,7 @@ def _contents(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFra
             items = [x.tobytes() for x in shingle_sets(raw(mine.column("text")), cache)]
             yield pa.RecordBatch.from_arrays([mine.column("row"), pa.array(items, pa.binary())], ["row", "items"])
 
-    return docs.mapInArrow(fetch, "row long, items binary").join(chosen, "row").select(*wanted.columns, "items")
+    return docs.mapInArrow(fetch, "row long, items binary").join(similarity.few(chosen), "row").select(*wanted.columns, "items")
 
 
 def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -162,12 +162,14 @@ def _joined(docs: DataFrame, every: bool) -> tuple[DataFrame, DataFrame | None]:
         .orderBy(F.desc("n"), "cls").limit(COMMON_MOST).toArrow()
     order = spark.sparkContext.broadcast(Order(top.column("cls").to_numpy().view(np.uint64), top.column("n").to_numpy()))
     classes = durable(scanned.where("kind = 2").groupBy("cls").agg(
-        F.min("row").alias("row"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
+        F.min("row").alias("row"), F.first("n").alias("n")), "classes")
     sets = scanned.where("kind = 0").select("row", "doc_id", "cls", "n")
     entries = sets.agg(F.coalesce(F.sum(F.expr("n div 4 + 1")), F.lit(0))).first()[0]
     parts = int(max(4, entries // similarity.ENTRIES_PER_PART + 1))
     tiles = durable(similarity.shared_tiles(_postings(docs, order, parts), parts), "tiles")
-    marks = durable(classes.join(tiles.select("cls").distinct(), "cls").select("cls", "n", "bits"), "marks")
+    tiled = durable(tiles.select("cls").distinct(), "tiled")
+    marks = durable(similarity.among(scanned.where("kind = 2").select("cls", "n", "bits"), tiled).groupBy("cls").agg(
+        F.first("n").alias("n"), F.first("bits").alias("bits")).join(tiled, "cls", "left_semi"), "marks")
     fetch = lambda wanted: _contents(docs, classes, wanted)
     linked = durable(similarity.link(tiles, marks, lambda wanted: durable(fetch(wanted), "items")), "linked")
     cells = similarity.cells(linked, marks, fetch) if every else None  # links are within components

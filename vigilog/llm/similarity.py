@@ -32,9 +32,10 @@ FILTER_BITS_MOST = 1 << 28
 CELL_CLASSES = 512       # classes of a block of a component, about
 CELL_ITEMS = 1_000_000   # elements of their sets together, about
 CELL_WIDTH = 4_096
+FEW = 1 << 20            # rows of ids that are broadcast rather than shuffle the sets they are joined to
 
 
-# --- postings: (key, class, band) packed per part, so that the shuffle moves 13 bytes an entry
+# --- postings: (key, class, band) packed per part. A key takes 5 bytes in the shuffle, and a class 14 per part, however many of its keys are there
 
 def size_band(n: np.ndarray) -> np.ndarray:
     """Size on a scale of FINE steps per factor 4/3, the smallest ratio of similar sets."""
@@ -67,19 +68,23 @@ def pack(keys: np.ndarray, classes: np.ndarray, bands: np.ndarray, limits: np.nd
     lead = np.flatnonzero(hot & np.r_[True, whole[1:] != whole[:-1]])
     spread = ((classes.view(np.uint64) >> np.uint64(7)) % np.uint64(parts)).astype(np.int64)
     part = np.r_[np.where(hot, parts + spread, keys.astype(np.int64) % parts), keys[lead].astype(np.int64) % parts]
-    order = np.argsort(part, kind="stable")
+    order = np.lexsort((np.r_[bands, bands[lead]], np.r_[classes, classes[lead]], part))
     above = (limits - bands).clip(-128, HOT_MARK - 1).astype(np.int8)
-    columns = [np.r_[x, x[lead]][order] for x in (keys, classes, bands.astype(np.uint16))]
-    columns.append(np.r_[above, np.full(len(lead), HOT_MARK, np.int8)][order])
-    part = part[order]
+    part, keys, classes, bands = part[order], *(np.r_[x, x[lead]][order] for x in (keys, classes, bands.astype(np.uint16)))
+    above = np.r_[above, np.full(len(lead), HOT_MARK, np.int8)][order]
     starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
     ends = np.r_[starts[1:], len(part)]
+    runs = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (classes[1:] != classes[:-1]) | (bands[1:] != bands[:-1])])
+    counts = np.diff(np.r_[runs, len(part)]).astype(np.uint32)
+    run_starts, run_ends = np.searchsorted(runs, starts), np.searchsorted(runs, ends)
+    packed = lambda x, starts, ends: pa.array([x[i:j].tobytes() for i, j in zip(starts.tolist(), ends.tolist())], pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(part[starts], pa.int64()), *[pa.array([x[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()) for x in columns]],
-        ["part", "keys", "classes", "bands", "limits"])
+        [pa.array(part[starts], pa.int64()), packed(keys, starts, ends), packed(above, starts, ends),
+         *(packed(x, run_starts, run_ends) for x in (classes[runs], bands[runs], counts))], POSTING_NAMES)
 
 
-POSTINGS = "part long, keys binary, classes binary, bands binary, limits binary"
+POSTING_NAMES = ["part", "keys", "limits", "classes", "bands", "counts"]
+POSTINGS = "part long, keys binary, limits binary, classes binary, bands binary, counts binary"
 
 
 def _partnered(tiles: np.ndarray, bands: np.ndarray, limits: np.ndarray) -> np.ndarray:
@@ -103,8 +108,9 @@ def shared_tiles(postings: DataFrame, parts: int, tags: bool = False) -> DataFra
     """
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         keys = np.frombuffer(b"".join(pdf["keys"]), np.uint32).astype(np.int64)
-        classes = np.frombuffer(b"".join(pdf["classes"]), np.int64)
-        bands = np.frombuffer(b"".join(pdf["bands"]), np.uint16).astype(np.int64)
+        counts = np.frombuffer(b"".join(pdf["counts"]), np.uint32)
+        classes = np.repeat(np.frombuffer(b"".join(pdf["classes"]), np.int64), counts)
+        bands = np.repeat(np.frombuffer(b"".join(pdf["bands"]), np.uint16).astype(np.int64), counts)
         limits = bands + np.frombuffer(b"".join(pdf["limits"]), np.int8)
         own = pdf["part"].iloc[0] < parts  # not one of the spread parts
         if own:  # most keys have one class: drop those first
@@ -216,6 +222,11 @@ def picked(contents: DataFrame, wanted: DataFrame) -> DataFrame:
     return among(contents.select("cls", "items"), wanted)
 
 
+def few(ids: DataFrame) -> DataFrame:
+    """``ids`` as the side of a join that is broadcast, if it has FEW rows at most."""
+    return F.broadcast(ids) if ids.count() <= FEW else ids
+
+
 def repeated(table: DataFrame, parts: int) -> DataFrame:
     """``cls`` that has several rows in the table. Eight bytes a class are shuffled, and two of each at most from one flush."""
     most = FLUSH  # as the driver has it
