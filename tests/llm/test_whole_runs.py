@@ -156,3 +156,12 @@ def test_one_row_per_key_keeps_classes_apart_once(spark):
     twice = pa.Table.from_batches([batch, similarity.pack(keys, classes + 10, np.full(400, 80), np.full(400, 84), 1, 1_000)]).to_pylist()
     found = similarity.shared_tiles(spark.createDataFrame([tuple(r.values()) for r in twice], similarity.POSTINGS), 1).groupBy("tile").agg({"cls": "collect_set"})
     assert {tuple(sorted(r[1])) for r in found.collect()} == {(i, i + 10) for i in range(4)}
+
+
+def test_only_distinct_stems_are_looked_up():
+    """Case and punctuation behind a word take no entry of their own; words that may hold a special token stay whole."""
+    texts = ["Word word, WORD. word?! été, 9. <|endoftext|>, H̱. Word.", None, "T̈, İ. x٣: '."]
+    words = token_store.WordIds(FILE, "<u2")
+    ids, n = token_store.ids_of(pa.array(texts), words, "<u2", 2)
+    assert ids.tolist() == [i for t in texts for i in [*Tokenizer.from_file(FILE).encode(t or "", add_special_tokens=False).ids, 2]] and n.sum() == len(ids)
+    assert {b"word", b",", b"<|endoftext|>,"} <= set(words) and not {b"Word", b"WORD.", b"word,", "été,".encode(), b"9."} & set(words)

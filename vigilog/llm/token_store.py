@@ -25,6 +25,7 @@ PART_TOKENS = 8_000_000    # tokens of a file, about
 PIECE_BYTES = 8 << 20      # of text that is split at a time
 _CACHE = 600_000
 _PUNCTUATION = b".,#*&$%!|:;?"
+_STEM_END = "[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]$"
 _PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 # The letters of bytes that no printable character has: U+0100 on, in order (fixed by the vocabulary files).
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
@@ -49,12 +50,7 @@ class WordIds(dict):
         self.model, self.pack = self.tokenizer.model, {"<u2": "H", "<u4": "I"}[kind]
 
     def _encode(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(text):
-            ids = [token.id for token in self.model.tokenize(word.decode("latin-1").translate(_BYTE_LETTERS))]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return array(self.pack, ids).tobytes()
+        return array(self.pack, self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= _CACHE:
@@ -67,11 +63,15 @@ class WordIds(dict):
         return value
 
     def _fresh(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if _PLAIN.fullmatch(text):
+            piece = text if word.isascii() else word.decode("latin-1").translate(_BYTE_LETTERS)
+            return array(self.pack, [token.id for token in self.model.tokenize(piece)]).tobytes()
         if b"<" in word:
             return self._encode(word)
         if not word.isascii():
             stem = word.rstrip(_PUNCTUATION)
-            if stem == word and (text := word.decode("utf-8", "replace")) != text.lower() and _PLAIN.fullmatch(text.lower()):
+            if stem == word and text != text.lower() and _PLAIN.fullmatch(text.lower()):
                 return self[text.lower().encode()]
             letter = stem.decode("utf-8", "replace")[-1:].lower()[-1:]
             return self._encode(word) if stem == word or not letter.isalpha() else self[stem] + self[word[len(stem):]]
@@ -102,14 +102,39 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = end
 
 
+def _bytes(words: pa.Array) -> list[bytes]:
+    """Words without null as bytes, without a scalar for each."""
+    return words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
+def _known(distinct: pa.Array, words: WordIds) -> list[bytes]:
+    """Ids of distinct words.
+
+    Arrow lower-cases ASCII words and cuts punctuation behind letters and digits, so that only distinct stems are
+    looked up. A word with "<" may hold a special token and is looked up as it is.
+    """
+    free = pc.invert(pc.match_substring(distinct, "<"))
+    low = pc.if_else(pc.and_(free, pc.string_is_ascii(distinct)), pc.ascii_lower(distinct), distinct)
+    stems = pc.ascii_rtrim(low, characters=_PUNCTUATION.decode())
+    cut = pc.and_(pc.and_(free, pc.not_equal(stems, low)), pc.match_substring_regex(stems, _STEM_END))
+    named = pc.dictionary_encode(pc.if_else(cut, stems, low))
+    found = [words[word] if word else b"" for word in _bytes(named.dictionary)]
+    known = [found[i] for i in named.indices.to_numpy().tolist()]
+    at = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+    sizes = pc.binary_length(stems.filter(cut)).to_numpy().tolist()
+    for i, word, size in zip(at.tolist(), _bytes(low.filter(cut)), sizes):
+        known[i] += words[word[size:]]
+    return known
+
+
 def ids_of(texts: pa.Array, words: WordIds, kind: str, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, each with the end id, and their number per text.
 
-    Arrow splits the texts and names their distinct words; only these are looked up.
+    Arrow splits the texts and names their distinct words; only the stems of these are looked up.
     """
     lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     named = pc.dictionary_encode(lists.flatten())
-    known = [words[word] if word else b"" for word in named.dictionary.cast(pa.binary()).to_pylist()]
+    known = _known(named.dictionary, words)
     known.append(np.array([end], kind).tobytes())
     length = np.array([len(x) for x in known], np.int64) // np.dtype(kind).itemsize
     first = np.cumsum(length) - length
