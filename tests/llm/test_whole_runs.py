@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm import brute
-from vigilog.llm import passage_dedup, queries, similarity, token_store, url_filter
+from vigilog.llm import passage_dedup, queries, similarity, text, token_store, url_filter
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -149,6 +149,31 @@ def test_spans_of_a_batch_are_those_of_each_row(monkeypatch):
         assert list(zip(*(x.tolist() for x in passage_dedup._spans(part, {})))) == wanted
 
 
+def test_words_of_lines_are_those_of_split():
+    """Hashes tell words apart as ``lower().split()`` does, across blocks and for words longer than a block."""
+    texts = [None, b"", b"\n", b"A b\tC\n\n d\x0be\x0cf\rg", b"x" * 70_000 + b" Y y", b"  lead", b"trail \n", "\u00c4 \u00a0 z\u00e9".encode()]
+    texts += [b" ".join(b"w%d" % (i * i % 977) for i in range(30_000))]
+    of, sizes, hashes = text.line_words(texts)
+    lines = [[x.split() for x in (t or b"").lower().split(b"\n")] for t in texts]
+    assert of.tolist() == [i for i, t in enumerate(lines) for _ in t] and sizes.tolist() == [len(x) for t in lines for x in t]
+    words = [w for t in lines for x in t for w in x]
+    assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+
+
+def test_spots_carry_only_words_that_are_needed(spark):
+    """Of the copies of a class that is linked to no other one, only the words around it are handed on; of a removed paragraph none."""
+    line = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(0, 0, f"a b c\n{line}\nd"), (1, 1, f"{line}\ne f")], "row long, doc_id long, text string")
+    spots = lambda links: passage_dedup._spots(docs, passage_dedup._places(docs).groupBy("cls").agg(F.count("*").alias("n"))
+                                               .where("n = 2").select("cls", F.lit(0).cast("long").alias("keep_row"), F.lit(links).alias("links"))).collect()
+    found = spots(False)
+    assert {(r.row, r.length, r.left_out, r.lead, len(r.words)) for r in found if r.kind == passage_dedup.PARAGRAPH} \
+        == {(0, 2, 38, 3, 4 * 6), (1, 0, 40, 0, 0)}
+    windows = [r for r in found if r.kind == passage_dedup.WINDOW]
+    assert windows and all(r.length == 2 and r.left_out == 28 and len(r.words) <= 4 * (2 + 2 * passage_dedup.MARGIN) for r in windows)
+    assert {r.length for r in spots(True) if r.kind == passage_dedup.WINDOW} == {30}
+
+
 def test_one_row_per_key_keeps_classes_apart_once(spark):
     keys, classes = np.arange(400, dtype=np.uint32), np.repeat(np.arange(4), 100).astype(np.int64)
     batch = similarity.pack(keys, classes, np.full(400, 80), np.full(400, 84), 1, 1_000)

@@ -7,11 +7,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.llm import similarity
-from vigilog.llm.text import SHINGLE, WordHash, bitmap, input_columns, mix, positions, raw
+from vigilog.llm.text import SHINGLE, bitmap, input_columns, line_words, mix, positions, raw
 from vigilog.session import durable
 
 LENGTH = 30          # words of a window
@@ -26,7 +26,6 @@ PARAGRAPH, SEGMENT, WINDOW = range(3)
 _SHINGLES = LENGTH - SHINGLE + 1
 _CHUNK_WORDS = 300_000
 PAIR_WORDS = 4_000_000  # words compared at once
-SPANS_KNOWN = 20_000
 _SEEDS = [np.uint64(pow(0xA3EC647659359ACD, j + 1, 1 << 64) | 1) for j in range(BANDS * ROWS)]
 _BASE = 0xD1342543DE82EF95
 _BASE_BACK = pow(_BASE, -1, 1 << 64)
@@ -69,7 +68,7 @@ class Units(NamedTuple):
         return Units(*(x[chosen] for x in self[:6]), self.words, self.shingles)
 
 
-def units(texts: list, cache: WordHash) -> Units:
+def units(texts: list) -> Units:
     """Windows, paragraphs and segments of many texts.
 
     A window is LENGTH words from a place whose shingle hash is the least of some
@@ -80,11 +79,8 @@ def units(texts: list, cache: WordHash) -> Units:
     segments, at places whose shingle hash is the least within CUT words, so
     that near copies inside of long ones have nearly the same segments.
     """
-    lines = [[x.split() for x in t.lower().split(b"\n")] if t else [] for t in texts]
-    in_text = np.repeat(np.arange(len(texts)), [len(x) for x in lines])
-    sizes = np.array([len(x) for line in lines for x in line], np.int64)
+    in_text, sizes, hashes = line_words(texts)
     counts = np.bincount(in_text, sizes, len(texts)).astype(np.int64)
-    hashes = cache.of([w for line in lines for x in line for w in x])
     if len(hashes) < LENGTH + SPACING - 1:
         hashes = np.r_[hashes, np.zeros(LENGTH + SPACING, np.uint64)]
     all_ = positions(hashes)
@@ -192,9 +188,8 @@ def _places(docs: DataFrame) -> DataFrame:
     """Every unit at every place: ``row``, ``doc_id``, ``cls``."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHash()
         for rows, ids, texts in _chunks(batches):
-            found = units(texts, cache)
+            found = units(texts)
             cls = found.classes()
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.array(rows, np.int64)[found.text]), pa.array(ids, pa.int64()).take(pa.array(found.text)), pa.array(cls)],
@@ -208,11 +203,14 @@ def _postings(docs: DataFrame, parts: int) -> DataFrame:
     most, hot_local = similarity.FLUSH, similarity.HOT_LOCAL  # as the driver has them
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, held, size = WordHash(), [], 0
+        held, size, seen = [], 0, np.empty(0, np.int64)
         for rows, _, texts in _chunks(batches):
-            found = units(texts, cache)
+            found = units(texts)
             classes, banded = found.classes(), np.flatnonzero(found.kind != WINDOW)
             cls, pick = np.unique(classes[banded], return_index=True)
+            fresh = ~np.isin(cls, seen)
+            cls, pick = cls[fresh], pick[fresh]
+            seen = np.r_[seen, cls]
             found = found.pick(banded[pick])
             tags = (mix(np.array(rows, np.int64).view(np.uint64)) & np.uint64(0xFFFF)).astype(np.int64)[found.text]
             for key, mine in band_keys(found):
@@ -220,14 +218,13 @@ def _postings(docs: DataFrame, parts: int) -> DataFrame:
                 size += len(mine)
             if size >= most:
                 yield flush(held)
-                held, size = [], 0
+                held, size, seen = [], 0, np.empty(0, np.int64)
         if size:
             yield flush(held)
 
     def flush(held: list) -> pa.RecordBatch:
         keys, classes, tags = map(np.concatenate, zip(*held))
-        once = np.unique(mix(classes.view(np.uint64) + keys), return_index=True)[1]
-        return similarity.pack(keys[once], classes[once], tags[once], tags[once], parts, hot_local)
+        return similarity.pack(keys, classes, tags, tags, parts, hot_local)
 
     return docs.mapInArrow(post, similarity.POSTINGS)
 
@@ -242,11 +239,10 @@ def _contents(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     wanted = spark.sparkContext.broadcast(similarity.class_filter(chosen.select("cls")))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHash()
         mine = (batch.filter(pa.array(similarity.may_have(rows_wanted.value, batch.column("row").to_numpy(zero_copy_only=False))))
                 for batch in batches)
         for rows, _, texts in _chunks(mine):
-            found = units(texts, cache)
+            found = units(texts)
             classes = found.classes()
             picked = np.flatnonzero(similarity.may_have(wanted.value, classes))
             _, once = np.unique(np.stack([found.text[picked], classes[picked]]), axis=1, return_index=True)
@@ -261,28 +257,55 @@ def _contents(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return found.join(chosen, ["row", "cls"], "left_semi")
 
 
+def _place_of(cls: Column, row: Column) -> Column:
+    """One number for a class in a row."""
+    return cls.bitwiseXOR(F.shiftleft(row, 7))
+
+
 def _spots(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """Every place of the chosen classes, perhaps of a few others, with its words and up to MARGIN around them as 32-bit
-    hashes: ``row``, ``doc_id``, ``start``, ``length``, ``kind``, ``cls``, ``lead`` (words before it), ``words``."""
-    wanted = docs.sparkSession.sparkContext.broadcast(similarity.class_filter(chosen.select("cls")))
+    hashes: ``row``, ``doc_id``, ``start``, ``length``, ``left_out``, ``kind``, ``cls``, ``lead`` (words before it), ``words``.
+
+    A class that is linked to no other (not ``links``) has the same words in all places, so its number stands for them:
+    ``length`` is then 2, and ``left_out`` so many words more. A paragraph that does not stay is removed as a whole, without words.
+    """
+    share = docs.sparkSession.sparkContext.broadcast
+    wanted = share(similarity.class_filter(chosen.select("cls")))
+    linked = share(similarity.class_filter(chosen.where("links").select("cls")))
+    stays = share(similarity.class_filter(chosen.select(_place_of(F.col("cls"), F.col("keep_row")))))
 
     def spot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHash()
         for rows, ids, texts in _chunks(batches):
-            found = units(texts, cache)
+            found = units(texts)
             classes = found.classes()
             picked = np.flatnonzero(similarity.may_have(wanted.value, classes))
-            found, short = found.pick(picked), (found.words >> np.uint64(32)).astype(np.uint32)
-            lead = np.minimum(found.start, MARGIN)
-            begin, stop = found.at - lead, found.at + found.length + np.minimum(found.after, MARGIN)
+            found, classes = found.pick(picked), classes[picked]
+            row = np.array(rows, np.int64)[found.text]
+            short = (found.words >> np.uint64(32)).astype(np.uint32)
+            bare = (found.kind == PARAGRAPH) & ~similarity.may_have(stays.value, classes ^ (row << 7))
+            lead, tail = (np.where(bare, 0, np.minimum(x, MARGIN)) for x in (found.start, found.after))
+            alone = ~similarity.may_have(linked.value, classes)
+            length = np.where(bare, 0, np.where(alone, 2, found.length))
+            words = _cut(short, classes.view(np.uint32), found.at, found.length, lead, tail, alone, bare)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.array(rows, np.int64)[found.text]), pa.array(ids, pa.int64()).take(pa.array(found.text)),
-                pa.array(found.start.astype(np.int32)), pa.array(found.length.astype(np.int32)), pa.array(found.kind.astype(np.int32)),
-                pa.array(classes[picked]), pa.array(lead.astype(np.int32)),
-                pa.array([short[i:j].tobytes() for i, j in zip(begin.tolist(), stop.tolist())], pa.binary())],
-                ["row", "doc_id", "start", "length", "kind", "cls", "lead", "words"])
+                pa.array(row), pa.array(ids, pa.int64()).take(pa.array(found.text)),
+                *(pa.array(x.astype(np.int32)) for x in (found.start, length, found.length - length, found.kind)), pa.array(classes), pa.array(lead.astype(np.int32)),
+                pa.array(words, pa.binary())], ["row", "doc_id", "start", "length", "left_out", "kind", "cls", "lead", "words"])
+
+    return docs.mapInArrow(spot, "row long, doc_id long, start int, length int, left_out int, kind int, cls long, lead int, words binary")
 
-    return docs.mapInArrow(spot, "row long, doc_id long, start int, length int, kind int, cls long, lead int, words binary")
+
+def _cut(words: np.ndarray, names: np.ndarray, at: np.ndarray, length: np.ndarray, lead: np.ndarray, tail: np.ndarray, alone: np.ndarray, bare: np.ndarray) -> list:
+    """Bytes of the words of units and around them; units that are alone have their two numbers instead, bare ones nothing."""
+    out = []
+    for k, (i, n, before, after, one, none) in enumerate(zip(*(x.tolist() for x in (at, length, lead, tail, alone, bare)))):
+        if none:
+            out.append(b"")
+        elif one:
+            out.append(words[i - before:i].tobytes() + names[2 * k:2 * k + 2].tobytes() + words[i + n:i + n + after].tobytes())
+        else:
+            out.append(words[i - before:i + n + after].tobytes())
+    return out
 
 
 def _equal(a: np.ndarray, b: np.ndarray) -> int:
@@ -332,8 +355,8 @@ def _run(words: np.ndarray, at: np.ndarray, other: np.ndarray, there: np.ndarray
     return np.logical_and.accumulate(same, axis=1).sum(axis=1)
 
 
-def _spans(batch: pa.RecordBatch, known: dict) -> tuple[np.ndarray, np.ndarray]:
-    """``shared_span`` of each row: places of the same words all at once, the others of a row one by one, once per context."""
+def _spans(batch: pa.RecordBatch, _: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``shared_span`` of each row, of all rows at once: places of the same words first, then the others by their common shingles."""
     words, begin = _flat(batch.column("words"))
     lead, length = (batch.column(c).to_numpy().astype(np.int64) for c in ("lead", "length"))
     size = np.diff(np.r_[begin, len(words)])
@@ -361,33 +384,56 @@ def _spans(batch: pa.RecordBatch, known: dict) -> tuple[np.ndarray, np.ndarray]:
         right = _run(words, mine + length[i], others, its + length[i], rest, 1)
         np.minimum.at(low, i, -left)
         np.maximum.at(high, i, length[i] + right)
-    pairs, groups = np.flatnonzero(~same), batch.column("group_id")
-    for mine in np.split(pairs, np.flatnonzero(np.diff(row[pairs])) + 1) if len(pairs) else []:
-        i = int(row[mine[0]])
-        own = words[begin[i]:begin[i] + size[i]]
-        key = (groups[i].as_py(), lead[i], length[i], own.tobytes())
-        if key not in known:
-            if len(known) >= SPANS_KNOWN:
-                known.clear()
-            kept = [(others[there[k]:there[k] + other_size[k]], int(other_lead[k]), int(other_length[k])) for k in mine.tolist()]
-            known[key] = shared_span(own, int(lead[i]), int(length[i]), kept)
-        low[i], high[i] = min(low[i], known[key][0]), max(high[i], known[key][1])
+    pairs = np.flatnonzero(~same)
+    if len(pairs):
+        mine_all, their_all = positions(words.astype(np.uint64)), positions(others.astype(np.uint64))
+        sizes = length[row[pairs]] + other_size[pairs]
+        for some in np.split(pairs, np.flatnonzero(np.diff(np.cumsum(sizes) // PAIR_WORDS)) + 1):
+            i, mine = row[some], (begin + lead)[row[some]]
+            pair, place = _each(length[i] - SHINGLE + 1)
+            other, there_at = _each(other_size[some] - SHINGLE + 1)
+            keys = mix(mine_all[mine[pair] + place] ^ mix(pair.astype(np.uint64)))
+            theirs = mix(their_all[there[some][other] + there_at] ^ mix(other.astype(np.uint64)))
+            order = np.argsort(theirs)
+            theirs = theirs[order]
+            common = np.flatnonzero(theirs[np.minimum(np.searchsorted(theirs, keys), len(theirs) - 1)] == keys)
+            for step, ends in ((-1, np.r_[True, np.diff(pair[common]) > 0]), (1, np.r_[np.diff(pair[common]) > 0, True])):
+                at = common[ends[:len(common)]]
+                low_at = np.searchsorted(theirs, keys[at])
+                which, rank = _each(np.searchsorted(theirs, keys[at], "right") - low_at)
+                at, j = at[which], there_at[order[low_at[which] + rank]]
+                own, from_, its = i[pair[at]], place[at], some[pair[at]]
+                # Only at an edge of the unit can words beyond the shingle be equal, else it were not the first or last one.
+                if step < 0:
+                    room = np.where(from_ == 0, np.minimum(lead[own], j), 0)
+                    np.minimum.at(low, own, from_ - _run(words, mine[pair[at]] + from_ - 1, others, there[its] + j - 1, room, -1))
+                else:
+                    from_, j = from_ + SHINGLE, j + SHINGLE
+                    room = np.where(from_ == length[own], np.minimum((size - lead - length)[own], other_size[its] - j), 0)
+                    np.maximum.at(high, own, from_ + _run(words, mine[pair[at]] + from_, others, there[its] + j, room, 1))
+    none = high < 0
+    low[none], high[none] = 0, length[none]
     return low, high
 
 
+def _each(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """0 .. count - 1 for each count, and which count it is of."""
+    which = np.repeat(np.arange(len(counts)), counts)
+    return which, np.arange(len(which)) - (np.cumsum(counts) - counts)[which]
+
+
 def _fitted(removed: DataFrame, kept: DataFrame) -> DataFrame:
     """Windows and segments to remove with ``start`` and ``end`` of what they share with the kept document."""
-    names = [c for c in removed.columns if c not in ("start", "length", "kind", "lead", "words")]
+    names = [c for c in removed.columns if c not in ("start", "length", "left_out", "kind", "lead", "words")]
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in removed.select(names).schema.fields)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
-            start = batch.column("start").to_numpy()
-            low, high = _spans(batch, known)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array((start + low).astype(np.int32)), pa.array((start + high).astype(np.int32))],
+            start, left_out = batch.column("start").to_numpy(), batch.column("left_out").to_numpy()
+            low, high = _spans(batch)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array((start + low).astype(np.int32)), pa.array((start + left_out + high).astype(np.int32))],
                                              [*names, "start", "end"])
 
     return removed.join(kept, "group_id").mapInArrow(fit, f"{fields}, start int, end int")
@@ -424,13 +470,13 @@ def repeats(docs: DataFrame) -> DataFrame:
     named = durable(named, "named")
     groups = named.groupBy("group_id").agg(
         F.sum("size").alias("group_size"), F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))
-    chosen = durable(named.select("cls", "group_id").join(groups.where("low < high"), "group_id").select(
-        "cls", "group_id", "group_size", F.when(F.col("first.doc_id") != (1 << 63) - 1, F.col("first.doc_id")).alias("keep_id"),
+    chosen = durable(named.select("cls", "group_id", "links").join(groups.where("low < high"), "group_id").select(
+        "cls", "group_id", "links", "group_size", F.when(F.col("first.doc_id") != (1 << 63) - 1, F.col("first.doc_id")).alias("keep_id"),
         F.col("first.row").alias("keep_row")), "repeated")
-    marked = durable(_spots(docs, chosen).join(chosen, "cls").drop("cls")
+    marked = durable(_spots(docs, chosen).join(chosen.drop("links"), "cls").drop("cls")
                      .withColumn("removed", F.col("row") != F.col("keep_row")).drop("keep_row"), "marked")
     kept = marked.where("not removed").groupBy("group_id").agg(F.collect_set(F.struct("lead", "length", "words")).alias("kept"))
-    whole = marked.where(~F.col("removed") | (F.col("kind") == PARAGRAPH)).withColumn("end", F.col("start") + F.col("length"))
+    whole = marked.where(~F.col("removed") | (F.col("kind") == PARAGRAPH)).withColumn("end", F.col("start") + F.col("length") + F.col("left_out"))
     fitted = _fitted(marked.where(F.col("removed") & (F.col("kind") != PARAGRAPH)), kept)
     columns = ["doc_id", "row", "start", "end", "group_id", "group_size", "keep_id", "removed"]
     return whole.select(columns).union(fitted.select(columns))

@@ -60,7 +60,7 @@ def pack(keys: np.ndarray, classes: np.ndarray, bands: np.ndarray, limits: np.nd
     goes to the key's part too, for entries of other tasks to meet.
     """
     whole = keys.astype(np.int64) << 16 | bands
-    order = np.lexsort((-limits, whole))
+    order = np.argsort(whole) if limits is bands else np.lexsort((-limits, whole))
     whole, keys, classes, bands, limits = whole[order], keys[order], classes[order], bands[order], limits[order]
     heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     runs = np.diff(np.r_[heads, len(keys)])
@@ -68,7 +68,8 @@ def pack(keys: np.ndarray, classes: np.ndarray, bands: np.ndarray, limits: np.nd
     lead = np.flatnonzero(hot & np.r_[True, whole[1:] != whole[:-1]])
     spread = ((classes.view(np.uint64) >> np.uint64(7)) % np.uint64(parts)).astype(np.int64)
     part = np.r_[np.where(hot, parts + spread, keys.astype(np.int64) % parts), keys[lead].astype(np.int64) % parts]
-    order = np.lexsort((np.r_[bands, bands[lead]], np.r_[classes, classes[lead]], part))
+    order = np.argsort(np.r_[classes, classes[lead]], kind="stable")  # a class has one band, as a rule
+    order = order[np.argsort(part.astype(np.uint16 if 2 * parts <= 1 << 16 else np.int64)[order], kind="stable")]
     above = (limits - bands).clip(-128, HOT_MARK - 1).astype(np.int8)
     part, keys, classes, bands = part[order], *(np.r_[x, x[lead]][order] for x in (keys, classes, bands.astype(np.uint16)))
     above = np.r_[above, np.full(len(lead), HOT_MARK, np.int8)][order]

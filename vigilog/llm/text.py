@@ -19,6 +19,10 @@ BATCH_ROWS = 1_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [np.uint64(pow(0xD1342543DE82EF95, j, 1 << 64)) for j in range(SHINGLE)]
 _CACHE = 400_000
+HASH_BYTES = 1 << 16  # bytes whose running sums are taken together; a longer word is taken alone
+_BYTE_BASE = 0x9FB21C651E98DF25
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
 def lower_ascii(text: Column) -> Column:
@@ -59,6 +63,35 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def line_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lines of many texts: the text each is of, its number of words, and 64-bit hashes of all words, one after the other.
+
+    A word's hash is a polynomial of its bytes, taken from running sums over
+    HASH_BYTES bytes at a time, so there is no object for a word.
+    """
+    data = _LOWER[np.frombuffer(b"\n".join(t or b"" for t in texts) + b"\n", np.uint8)]
+    turns = np.flatnonzero(np.diff(np.r_[True, _IS_SPACE[data]]))
+    start, stop = turns[::2], turns[1::2]
+    newline = np.flatnonzero(data == 10)
+    text_end = np.cumsum(np.array([len(t or b"") + 1 for t in texts], np.int64)) - 1
+    sizes = np.bincount(np.searchsorted(newline, start), minlength=len(newline))
+    hashes = np.empty(len(start), np.uint64)
+    edges = np.unique(np.r_[0, np.searchsorted(stop, np.arange(HASH_BYTES, len(data), HASH_BYTES)), len(stop)])
+    for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        first = start[i]
+        length = int(stop[j - 1] - first)
+        powers, back = _BYTE_POWERS if length <= HASH_BYTES else _byte_powers(length)
+        total = np.zeros(length + 1, np.uint64)
+        np.cumsum((data[first:first + length].astype(np.uint64) + np.uint64(1)) * powers[:length], out=total[1:])
+        begin = start[i:j] - first
+        hashes[i:j] = mix((total[stop[i:j] - first] - total[begin]) * back[begin])
+    return np.searchsorted(text_end, newline), sizes, hashes
+
+
+def _byte_powers(n: int) -> list[np.ndarray]:
+    return [np.cumprod(np.r_[np.uint64(1), np.full(n - 1, x, np.uint64)]) for x in (_BYTE_BASE, pow(_BYTE_BASE, -1, 1 << 64))]
+
+
 def raw(column: pa.Array) -> list:
     """Strings of an Arrow column as bytes, None for null."""
     return column.cast(pa.binary()).to_pylist()
@@ -107,3 +140,6 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     bits = np.zeros(longs * 64, np.uint8)
     bits[at] = 1
     return np.packbits(bits).view(np.int64)
+
+
+_BYTE_POWERS = _byte_powers(HASH_BYTES)
