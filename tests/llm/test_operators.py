@@ -117,6 +117,18 @@ def test_components_run_no_round_without_further_links(spark, monkeypatch):
     assert sorted(map(tuple, similarity._joined(known, more).collect())) == [(1, 1), (2, 1), (5, 1), (7, 1), (8, 8), (9, 8)] and calls
 
 
+def test_components_of_one_task_need_no_round_and_nothing_is_broadcast(spark, monkeypatch):
+    """A chain that one task holds is written once; one that tasks share takes rounds whose joins send nothing through the driver."""
+    tables, real, plans = [], components.durable, []
+    monkeypatch.setattr("vigilog.llm.components.durable", lambda df, label: tables.append(label) or plans.append(df) or real(df, label))
+    chain = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
+    want = [(i, 0) for i in range(201)]
+    assert sorted(map(tuple, components.components(chain.coalesce(1)).collect())) == want and len(tables) == 1
+    shared = components.components(chain.repartition(7))
+    assert sorted(map(tuple, shared.collect())) == want and 1 < len(tables) < 8
+    assert all("Broadcast" not in x._jdf.queryExecution().executedPlan().toString() for x in plans)
+
+
 def test_a_hot_key_is_not_cut_off_behind_an_unmarked_row(spark):
     """Class 1 comes without a mark first; its key is hot in the other flush, so class 9 must meet classes 2 and 3."""
     def packed(classes, hot_local):

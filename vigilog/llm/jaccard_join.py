@@ -161,12 +161,14 @@ def _joined(docs: DataFrame, every: bool) -> tuple[DataFrame, DataFrame | None]:
     top = scanned.where("kind = 1").groupBy("cls").agg(F.sum("n").alias("n")) \
         .orderBy(F.desc("n"), "cls").limit(COMMON_MOST).toArrow()
     order = spark.sparkContext.broadcast(Order(top.column("cls").to_numpy().view(np.uint64), top.column("n").to_numpy()))
+    del top
     classes = durable(scanned.where("kind = 2").groupBy("cls").agg(
         F.min("row").alias("row"), F.first("n").alias("n")), "classes")
     sets = scanned.where("kind = 0").select("row", "doc_id", "cls", "n")
     entries = sets.agg(F.coalesce(F.sum(F.expr("n div 4 + 1")), F.lit(0))).first()[0]
     parts = int(max(4, entries // similarity.ENTRIES_PER_PART + 1))
     tiles = durable(similarity.shared_tiles(_postings(docs, order, parts), parts), "tiles")
+    order.unpersist()  # tiles are written; the driver need not hold it until its garbage is collected
     tiled = durable(tiles.select("cls").distinct(), "tiled")
     marks = durable(similarity.among(scanned.where("kind = 2").select("cls", "n", "bits"), tiled).groupBy("cls").agg(
         F.first("n").alias("n"), F.first("bits").alias("bits")).join(tiled, "cls", "left_semi"), "marks")
